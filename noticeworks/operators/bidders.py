@@ -28,10 +28,12 @@ def latest_version(versions: Column, element: StructType, version: str = "versio
 def explode_bidders(raw: DataFrame) -> DataFrame:
     """One row per participant of each document's latest version."""
     versions = parse(F.col("participation"), schemas.PARTICIPATION)
+    # The outer form keeps the planner from deriving a filter that parses the text again;
+    # documents without suppliers go at the second explode.
     return (
         raw.select("documentId", versions.alias("_versions"))
         .select("documentId", latest_version(F.col("_versions"), schemas.STATEMENT).alias("_latest"))
-        .select("documentId", F.explode("_latest.statementSuppliers").alias("_supplier"))
+        .select("documentId", F.explode_outer("_latest.statementSuppliers").alias("_supplier"))
         .select("documentId", F.explode("_supplier.statementParticipants").alias("_participant"))
         .select("_participant.*", "documentId")
     )

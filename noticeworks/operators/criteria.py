@@ -15,14 +15,16 @@ def explode_criteria(detail: DataFrame, id_column: str = "documentId", keep: lis
     """One row per award criterion; notices without a (filled) criteria section give none."""
     keep = keep or []
     section = parse(F.col("section2"), schemas.SECTION2)["section22"]
+    # The outer form keeps the planner from deriving a filter that parses the text again.
     return (
         detail.select(id_column, *keep, section.alias("_section"))
         .select(
             id_column,
             *keep,
             F.col("_section.shortDescription").alias("short_description"),
-            F.explode("_section.noticeAwardCriteriaList").alias("_criterion"),
+            F.explode_outer("_section.noticeAwardCriteriaList").alias("_criterion"),
         )
+        .where(F.col("_criterion").isNotNull())
         .select(
             id_column,
             *keep,

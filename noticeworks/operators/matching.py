@@ -14,18 +14,20 @@ from noticeworks import schemas
 from noticeworks.functions import text
 from noticeworks.operators.ranking import keep_first
 
-# A taxonomy within these bounds is scored inside each row; a larger one is joined.
-MAX_ENTRIES = 512
+# Up to IN_ROW_ENTRIES entries a taxonomy is scored inside each row. Up to MAX_ENTRIES and
+# MAX_BYTES it is broadcast, and may stand in a prompt. Beyond, both sides are shuffled.
+IN_ROW_ENTRIES = 32
+MAX_ENTRIES = 10_000
 MAX_BYTES = 4 * 1024 * 1024
 
 
-def fits_in_row(taxonomy: DataFrame, content: str) -> bool:
-    """Measures a taxonomy: is it small enough to be carried to every task?"""
+def measured_entries(taxonomy: DataFrame, content: str) -> int | None:
+    """Number of entries of a taxonomy, or None if it exceeds either bound."""
     size = taxonomy.limit(MAX_ENTRIES + 1).agg(
         F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length(content)), F.lit(0)).alias("bytes")
     )
-    within = (F.col("n") <= MAX_ENTRIES) & (F.col("bytes") <= MAX_BYTES)
-    return size.select(within).first()[0]
+    row = size.first()
+    return row["n"] if row["n"] <= MAX_ENTRIES and row["bytes"] <= MAX_BYTES else None
 
 
 def model_criteria_of_groups(criteria: DataFrame, groups: list[int]) -> DataFrame:
@@ -39,7 +41,7 @@ def taxonomy_text(taxonomy: DataFrame, key: str, content: str) -> Column:
 
     It goes into every prompt, so a taxonomy beyond the measured bound is an error.
     """
-    if not fits_in_row(taxonomy, content):
+    if measured_entries(taxonomy, content) is None:
         raise ValueError(f"a taxonomy in a prompt has at most {MAX_ENTRIES} entries, {MAX_BYTES} bytes")
     line = text.joined(F.col(key), ": ", F.col(content))
     ordered = F.sort_array(F.collect_list(F.struct(F.col(key).alias("k"), line.alias("line"))))
@@ -120,12 +122,15 @@ def best_match(
     """(key, entry key, overlap, jaccard) of the entry sharing most distinct words.
 
     The smallest entry key wins ties; criteria whose best overlap is below ``threshold``
-    are left out. Words are taken from whole texts. ``key`` identifies a criterion.
+    are left out, as are those without a key. Words are taken from whole texts.
     """
-    left = criteria.select(F.col(key).alias("_key"), text.tokens(F.col(content)).alias("_words"))
+    left = criteria.where(F.col(key).isNotNull()).select(F.col(key).alias("_key"), F.col(content).alias("_text"))
     right = taxonomy.select(F.col(entry_key).alias("_entry"), text.tokens(F.col(entry_content)).alias("_entry_words"))
-    within = fits_in_row(taxonomy, entry_content)
-    best = _best_in_row(left, right) if within else _best_by_join(left, right)
+    entries = measured_entries(taxonomy, entry_content)
+    if entries is not None and entries <= IN_ROW_ENTRIES:
+        best = _best_in_row(left, right)
+    else:
+        best = _best_by_join(left, right, broadcast=entries is not None)
     union = F.col("_n") + F.col("_m") - F.col("overlap")
     return best.where(F.col("overlap") >= threshold).select(
         F.col("_key").alias(key),
@@ -138,11 +143,12 @@ def best_match(
 def _best_in_row(left: DataFrame, right: DataFrame) -> DataFrame:
     """Small taxonomy: every row scores all entries itself; nothing is shuffled."""
     entries = right.agg(F.sort_array(F.collect_list(F.struct("_entry", "_entry_words")))).scalar()
+    vocabulary = right.select(F.explode("_entry_words").alias("w")).agg(F.collect_set("w")).scalar()
     # Entries come in key order, so of equal overlaps the earliest position wins.
     scores = F.transform(
         "_entries",
         lambda e, i: F.struct(
-            F.size(F.array_intersect(e["_entry_words"], F.col("_words"))).alias("overlap"),
+            F.size(F.array_intersect(e["_entry_words"], F.col("_known"))).alias("overlap"),
             (-i).alias("_before"),
             F.size(e["_entry_words"]).alias("_m"),
             e["_entry"].alias("_entry"),
@@ -150,28 +156,52 @@ def _best_in_row(left: DataFrame, right: DataFrame) -> DataFrame:
     )
     # As a generator the best score is computed once, also when it is filtered on.
     best = F.inline(F.array(F.array_max(scores)))
-    return left.withColumn("_entries", entries).select("_key", F.size("_words").alias("_n"), best)
+    known = F.array_intersect("_words", "_vocabulary")
+    return (
+        left.select("_key", text.tokens(F.col("_text")).alias("_words"))
+        .withColumns({"_entries": entries, "_vocabulary": vocabulary})
+        .select("_key", F.size("_words").alias("_n"), "_entries", known.alias("_known"))
+        .select("_key", "_n", best)
+    )
 
 
-def _best_by_join(left: DataFrame, right: DataFrame, spread: int = 64) -> DataFrame:
+def _best_by_join(left: DataFrame, right: DataFrame, broadcast: bool, spread: int = 64) -> DataFrame:
     """Taxonomy of any size: equi-join on the shared word.
 
-    A common word occurs in a large part of all criteria, so the criteria side is spread
-    over ``spread`` join keys per word and the (smaller) taxonomy side repeated for each.
-    The pair counts are aggregated within the map tasks before they are shuffled.
+    Copies of a criterion are scored once. A taxonomy of bounded size is broadcast.
+    Otherwise the criteria side, in which a common word occurs again and again, is spread
+    over ``spread`` join keys per word and the taxonomy side repeated for each. Pairs are
+    counted within the map tasks before they are shuffled.
     """
-    words = left.select("_key", F.size("_words").alias("_n"), F.explode("_words").alias("_word")).withColumn(
-        "_slot", F.pmod(F.xxhash64("_key"), F.lit(spread))
+    identity = ["_key", "_digest"]
+    # Never NULL, so that no filter is derived that would read the texts a second time.
+    digest = F.coalesce(F.unhex(F.md5("_text")), F.lit(b""))
+    left = left.withColumn("_digest", digest)
+    words = (
+        left.select(*identity, text.tokens(F.col("_text")).alias("_words"))
+        .dropDuplicates(identity)
+        .select(*identity, F.size("_words").alias("_n"), F.explode("_words").alias("_word"))
     )
     entry_words = right.select(
         "_entry", F.size("_entry_words").alias("_m"), F.explode("_entry_words").alias("_word")
-    ).withColumn("_slot", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))).cast("long"))
-    pairs = (
-        words.join(entry_words, ["_word", "_slot"])
-        .groupBy("_key", "_n", "_entry", "_m")
-        .agg(F.count("*").alias("overlap"))
     )
-    return keep_first(pairs, ["_key"], [F.col("overlap").desc(), F.col("_entry")])
+    if broadcast:
+        shared = words.join(F.broadcast(entry_words), "_word")
+    else:
+        slot = F.coalesce(F.pmod(F.xxhash64(*identity), F.lit(spread)), F.lit(0))
+        slots = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(spread - 1).cast("long")))
+        shared = words.withColumn("_slot", slot).join(
+            entry_words.withColumn("_slot", slots).hint("merge"), ["_word", "_slot"]
+        )
+    pairs = shared.groupBy(*identity, "_entry").agg(
+        F.count("*").alias("overlap"), F.max("_n").alias("_n"), F.max("_m").alias("_m")
+    )
+    best = keep_first(pairs, identity, [F.col("overlap").desc(), F.col("_entry")])
+    # The hash makes both sides of the join plain shuffles, so that hot copies can be split.
+    hashed = F.xxhash64(*identity)
+    return left.select(*identity, hashed.alias("_hash")).join(
+        best.withColumn("_hash", hashed), [*identity, "_hash"]
+    )
 
 
 def score_rows(

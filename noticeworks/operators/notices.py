@@ -57,7 +57,8 @@ def restrict_detail(detail: DataFrame, notices: DataFrame, types: list[int]) ->
 def restriction_flags(detail: DataFrame) -> DataFrame:
     """documentId and the three restriction flags of section 3, parsed once."""
     parsed = json_text.flags(F.col("section3"), schemas.RESTRICTION_FLAGS)
-    return detail.select("documentId", parsed.alias("_flags")).select("documentId", "_flags.*")
+    # As a generator the text is parsed once, also when the flags are filtered on.
+    return detail.select("documentId", F.inline(F.array(parsed)))
 
 
 def silver_list(notices: DataFrame, detail: DataFrame) -> DataFrame:

@@ -11,8 +11,10 @@ from noticeworks.functions.json_text import parse
 from noticeworks.sources.tables import small_table
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    return spark.read.csv(path, schema=schema, header=True, enforceSchema=True, escape='"', multiLine=True)
+def read_csv(spark: SparkSession, path: str, schema: StructType, multi_line: bool = True) -> DataFrame:
+    """CSV with a header. Quoted line breaks need whole files per task; ``multi_line=False``
+    lets large files without them be split."""
+    return spark.read.csv(path, schema=schema, header=True, escape='"', multiLine=multi_line)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -56,7 +58,10 @@ def model_criteria(documents: DataFrame, column: str) -> DataFrame:
 
 
 def read_attachments(spark: SparkSession, root: str, with_content: bool = False) -> DataFrame:
-    """Files below ``root/<document>/``; the bytes are read only if asked for."""
+    """Files below ``root/<document>/``; the bytes are read only if asked for.
+
+    The file source leaves out files without content.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
     parts = F.split("path", "/")
     columns = [
