@@ -30,19 +30,19 @@ def json_column(df: DataFrame, column: str) -> DataFrame:
 
 def criteria_sections(detail: DataFrame) -> DataFrame:
     """Why notices give no criteria, and criteria lacking one of the expected keys."""
-    section = parse(F.col("section2"), schemas.SECTION2)["section22"]
-    items = F.try_variant_get(F.col("_json"), "$.section22.noticeAwardCriteriaList", "array<string>")
+    section = parse(F.col("section2"), schemas.SECTION2_KEYS)["section22"]
     keys = F.array(*[F.lit(k) for k in V.CRITERION_KEYS])
-    incomplete = F.filter(items, lambda item: F.size(F.array_except(keys, F.json_object_keys(item))) > 0)
+    incomplete = F.filter("_list", lambda item: F.size(F.array_except(keys, F.map_keys(item))) > 0)
     return (
-        detail.select("section2", F.try_parse_json("section2").alias("_json"), section.alias("_section"))
+        detail.select("section2", malformed(F.col("section2")).alias("_malformed"), section.alias("_section"))
+        .withColumn("_list", F.col("_section.noticeAwardCriteriaList"))
         .agg(
             F.count("*").alias("n"),
             F.count_if(F.col("section2").isNull()).alias("missing"),
-            F.count_if(F.col("section2").isNotNull() & F.col("_json").isNull()).alias("malformed"),
+            F.count_if("_malformed").alias("malformed"),
             F.count_if(F.col("_section").isNull()).alias("no_section"),
-            F.count_if(F.col("_section.noticeAwardCriteriaList").isNull()).alias("no_list"),
-            F.count_if(F.size("_section.noticeAwardCriteriaList") == 0).alias("empty_list"),
+            F.count_if(F.col("_list").isNull()).alias("no_list"),
+            F.count_if(F.size("_list") == 0).alias("empty_list"),
             F.coalesce(F.sum(F.size(incomplete)), F.lit(0)).alias("incomplete"),
         )
     )

@@ -6,6 +6,7 @@ Table names are arguments of ``Tables``; the names used here are relative to it.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from noticeworks import fixed_values as V
 from noticeworks import schemas
@@ -81,6 +82,12 @@ def social_enterprises_in_social_contracts(tables: Tables, matched: DataFrame, i
     return reports.value_counts(split.where("social_contract"), "is_social_enterprise")
 
 
+def matched_criteria(tables: Tables, path: str, schema: StructType, id_column: str, url_base: str) -> None:
+    """Matched criteria exported as CSV -> table with the notice URL."""
+    matched = files.read_csv(tables.spark, path, schema)
+    tables.overwrite(matching.with_url(matched, id_column, url_base), "matched_criteria")
+
+
 def samples(tables: Tables, name: str, folder: str) -> None:
     """One CSV folder of sampled criteria per sample category."""
     drawn = sampling.sample_criteria(

@@ -83,6 +83,9 @@ SECTION2 = _struct(
     section22=_struct(shortDescription=_S, noticeAwardCriteriaList=ArrayType(CRITERION))
 )
 
+# The same section with every criterion as a map, to see which keys it has.
+SECTION2_KEYS = _struct(section22=_struct(noticeAwardCriteriaList=ArrayType(MapType(_S, _S))))
+
 CRITERIA_TABLE = StructType(
     [StructField("documentId", _S, True), StructField("short_description", _S, True)] + CRITERION.fields
 )

@@ -29,28 +29,35 @@ def load_new(
     schema: StructType,
     key: str,
     fmt: str = "json",
+    files_per_batch: int | None = None,
 ) -> None:
     """Loads the files not loaded so far and returns; rows of known ids are left out.
 
+    Of rows with the same id the one in the oldest file stays. ``files_per_batch`` bounds a
+    batch, so that a failure repeats no more than that.
+
     Every micro-batch owns one folder of the target and overwrites it, so a batch that
     is run again after a failure replaces its own rows. Ids are compared with the other
     batches' rows; only the id column of the target is read. One writer at a time.
     """
-    order = [F.col(c) for c in schema.names if c != key]
+    arrival = ["_file.file_modification_time", "_file.file_path"]
+    order = [F.col(c) for c in [*arrival, *schema.names] if c != key]
 
     def add(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        rows = keep_first(batch, [key], order)
+        rows = keep_first(batch, [key], order).drop("_file")
         if batch_id > 0:
             loaded = session.read.schema(target_schema(schema)).parquet(target)
             others = loaded.where(F.col(BATCH) != batch_id).select(key)
             rows = rows_not_in(rows, others, key, key)
         rows.write.mode("overwrite").parquet(f"{target}/{BATCH}={batch_id}")
 
+    source = spark.readStream.format(fmt).schema(schema)
+    if files_per_batch is not None:
+        source = source.option("maxFilesPerTrigger", files_per_batch)
     (
-        spark.readStream.format(fmt)
-        .schema(schema)
-        .load(landing)
+        source.load(landing)
+        .select("*", F.col("_metadata").alias("_file"))
         .writeStream.foreachBatch(add)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

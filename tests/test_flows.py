@@ -3,10 +3,10 @@
 import json
 
 import pytest
+from pyspark.sql.types import StringType, StructField, StructType
 
 from noticeworks import fixed_values as V
 from noticeworks import schemas
-from noticeworks.operators import matching
 from noticeworks.plans import flows
 from noticeworks.sources import files
 from noticeworks.sources.tables import Tables
@@ -116,6 +116,10 @@ def test_flow(spark, tables, tmp_path):
     flows.bidders_silver(tables, registry)
     silver = tables.read("bidders_silver")
     assert silver.schema.names == schemas.BIDDERS.names and silver.count() == 4
-    matched = matching.with_url(spark.createDataFrame([(1,), (1,)], "ID long"), "ID", URL)
+    (tmp_path / "matched.csv").write_text('ID,match\n1,"A, first"\n1,B\n')
+    as_text = StructType([StructField("ID", StringType()), StructField("match", StringType())])
+    flows.matched_criteria(tables, str(tmp_path / "matched.csv"), as_text, "ID", URL)
+    matched = tables.read("matched_criteria")
+    assert sorted(map(tuple, matched.collect())) == [("1", "A, first", URL + "1"), ("1", "B", URL + "1")]
     counts = flows.social_enterprises_in_social_contracts(tables, matched, "ID")
     assert sorted(map(tuple, counts.collect())) == [(False, 1), (True, 1)]

@@ -31,3 +31,16 @@ def test_each_file_and_each_id_once(spark, tmp_path):
     for record in (checkpoint / "commits").glob("*1*"):
         record.unlink()
     assert run() == expected
+
+
+def test_batches_of_single_files(spark, tmp_path):
+    landing = tmp_path / "landing"
+    for i, name in enumerate("abc"):
+        drop(landing, f"{name}.json", [str(i), "shared"], name)
+    incremental.load_new(
+        spark, str(landing), str(tmp_path / "t"), str(tmp_path / "c"), schemas.NOTICE_DETAIL, "documentId", files_per_batch=1
+    )
+    loaded = spark.read.parquet(str(tmp_path / "t"))
+    assert loaded.select("_batch").distinct().count() == 3
+    assert sorted(r["documentId"] for r in loaded.collect()) == ["0", "1", "2", "shared"]
+    assert loaded.where("documentId = 'shared'").first()["section2"] == "a"
