@@ -22,11 +22,21 @@ def has_suffix(name: Column, suffixes: list[str]) -> Column:
     return reduce(lambda a, b: a | b, [name.endswith(s) for s in suffixes])
 
 
+# The characters stripped as whitespace.
+WHITESPACE = (
+    " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007"
+    "\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+FENCE_START, FENCE_END = "```json", "```"
+
+
 def strip_fence(text: Column) -> Column:
     """JSON text out of a fenced code block: prefix, then suffix, then outer whitespace."""
-    opened = F.regexp_replace(text, r"\A```json", "")
-    closed = F.regexp_replace(opened, r"```\z", "")
-    return F.regexp_replace(closed, r"(?U)\A\s+|\s+\z", "")
+    rest = F.substring(text, F.lit(len(FENCE_START) + 1), F.length(text))
+    opened = F.when(text.startswith(FENCE_START), rest).otherwise(text)
+    inner = F.substring(opened, F.lit(1), F.length(opened) - len(FENCE_END))
+    closed = F.when(opened.endswith(FENCE_END), inner).otherwise(opened)
+    return F.btrim(closed, F.lit(WHITESPACE))
 
 
 def notice_url(notice_id: Column, base: str) -> Column:

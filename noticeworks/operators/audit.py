@@ -50,7 +50,7 @@ def criteria_sections(detail: DataFrame) -> DataFrame:
 
 def bidder_versions(raw: DataFrame) -> DataFrame:
     """Documents without a version from 1 on, which give no bidders."""
-    versions = parse(F.col("participation"), schemas.PARTICIPATION)
+    versions = parse(F.col("participation"), schemas.VERSIONS)
     valid = F.exists("_versions", lambda v: v["versionNo"] >= 1)
     return raw.select("participation", versions.alias("_versions")).agg(
         F.count("*").alias("n"),

@@ -84,16 +84,16 @@ def read_responses(responses: DataFrame, column: str) -> DataFrame:
     ``missing_key`` or ``extra_key``; those rows are for quarantine.
     """
     keys = F.array(*[F.lit(k) for k in V.RESPONSE_KEYS])
-    given = F.json_object_keys("_json")
     status = (
-        F.when(given.isNull(), "not_json")
-        .when(F.size(F.array_except(keys, given)) > 0, "missing_key")
-        .when(F.size(F.array_except(given, keys)) > 0, "extra_key")
+        F.when(F.col("_keys").isNull(), "not_json")
+        .when(F.size(F.array_except(keys, "_keys")) > 0, "missing_key")
+        .when(F.size(F.array_except("_keys", keys)) > 0, "extra_key")
         .otherwise("ok")
     )
     return (
         responses.withColumn("_json", text.strip_fence(F.col(column)))
-        .withColumns({"status": status, "_fields": F.from_json("_json", schemas.RESPONSE)})
+        .withColumns({"_keys": F.json_object_keys("_json"), "_fields": F.from_json("_json", schemas.RESPONSE)})
+        .withColumn("status", status)
         .select(
             *responses.columns,
             "status",

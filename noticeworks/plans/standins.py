@@ -64,7 +64,7 @@ def criteria_json(key: Column, n: Column, priority: Column, other: Column, secti
     def criterion(i: Column) -> Column:
         return F.struct(
             key.alias("noticeID"),
-            i.cast("long").alias("lotID"),
+            i.alias("lotID"),
             (key * 10 + i).alias("noticeAwardCriteriaID"),
             (i % 2 == 0).alias("directProportional"),
             F.when(i == 1, "Energie verde").otherwise("Garantie").alias("noticeAwardCriteriaName"),
@@ -76,7 +76,7 @@ def criteria_json(key: Column, n: Column, priority: Column, other: Column, secti
             F.lit(None).cast("boolean").alias("isFrameworkAgreementCriteria"),
         )
 
-    numbers = F.filter(F.sequence(F.lit(1), F.lit(8)), lambda i: i <= n)
+    numbers = F.when(n > 0, F.sequence(F.lit(1).cast("long"), n.cast("long"))).otherwise(F.array().cast("array<bigint>"))
     body = F.struct(
         priority.alias("shortDescription"),
         F.transform(numbers, criterion).alias("noticeAwardCriteriaList"),
@@ -133,7 +133,7 @@ def bidders_raw(spark: SparkSession, folder: str) -> DataFrame:
         )
 
     def statement(version: Column, copy: Column) -> Column:
-        suppliers = F.filter(F.sequence(F.lit(1), F.lit(2)), lambda s: s <= cust % 2 + 1)
+        suppliers = F.sequence(F.lit(1).cast("long"), cust % 2 + 1)
         return F.struct(
             version.alias("versionNo"),
             F.transform(

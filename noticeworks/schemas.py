@@ -120,6 +120,7 @@ STATEMENT = _struct(
 )
 
 PARTICIPATION = ArrayType(STATEMENT)
+VERSIONS = ArrayType(_struct(versionNo=_I))
 
 BIDDERS = StructType(
     PARTICIPANT.fields

@@ -72,3 +72,9 @@ def test_in_range_includes_both_days(spark):
 @pytest.mark.parametrize("value,expected", [("The cat, the CAT!", ["the", "cat"]), ("", []), ("Été 5", ["été", "5"])])
 def test_tokens(spark, value, expected):
     assert values(spark, text.tokens, [value]) == [expected]
+
+
+def test_strip_fence_strips_what_python_strips(spark):
+    inputs = ["\u2003x\u3000", "\x1c y \x85", "```json \u00a0{}\u2028```", "```", "`` `"]
+    expected = [i.removeprefix("```json").removesuffix("```").strip() for i in inputs]
+    assert values(spark, text.strip_fence, inputs) == expected
