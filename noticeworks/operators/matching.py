@@ -204,14 +204,25 @@ def _best_by_join(left: DataFrame, right: DataFrame, broadcast: bool, spread: in
     )
 
 
-def score_rows(
-    rows: DataFrame,
-    scorer: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]],
-    schema: StructType | str,
-) -> DataFrame:
+Scorer = Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]
+
+
+def score_rows(rows: DataFrame, scorer: Scorer, schema: StructType | str) -> DataFrame:
     """Runs a user's scorer over batches of rows on the executors."""
     return rows.mapInPandas(scorer, schema)
 
 
+def score_distinct(rows: DataFrame, column: str, scorer: Scorer, response: str = "response") -> DataFrame:
+    """Adds a scorer's answer to a text; each distinct text is scored once.
+
+    The scorer takes batches of the text column and gives batches of (text, answer).
+    """
+    # Never NULL, so that no filter is derived that would read the texts a second time.
+    digest = F.coalesce(F.unhex(F.md5(column)), F.lit(b"")).alias("_digest")
+    texts = rows.select(column).where(F.col(column).isNotNull()).distinct()
+    answers = score_rows(texts, scorer, f"{column} string, {response} string").select(digest, response)
+    return rows.select("*", digest).join(answers, "_digest", "left").drop("_digest")
+
+
 def with_url(matches: DataFrame, id_column: str, url_base: str) -> DataFrame:
     return matches.withColumn("URL", text.notice_url(F.col(id_column), url_base))

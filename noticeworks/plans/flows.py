@@ -6,6 +6,7 @@ Table names are arguments of ``Tables``; the names used here are relative to it.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from noticeworks import fixed_values as V
@@ -130,3 +131,20 @@ def social_prompts(tables: Tables) -> DataFrame:
         "noticeAwardCriteriaDescription",
         "algorithmDescription",
     )
+
+
+def social_matches(tables: Tables, scorer: matching.Scorer | None = None) -> DataFrame:
+    """Social criteria with the taxonomy entry they match.
+
+    With a scorer: its answers to the prompts, read and given a status. Without: the entry
+    that shares most words.
+    """
+    if scorer is not None:
+        asked = social_prompts(tables).select("documentId", "prompt")
+        answered = matching.score_distinct(asked, "prompt", scorer).drop("prompt")
+        return matching.read_responses(answered, "response")
+    parts = ["noticeAwardCriteriaName", "noticeAwardCriteriaDescription", "algorithmDescription"]
+    content = F.concat_ws(" ", *parts).alias("content")
+    criteria_texts = tables.read("social_criteria").select("documentId", content)
+    taxonomy = social_taxonomy(tables.spark)
+    return matching.best_match(criteria_texts, "documentId", "content", taxonomy, "title", "definition")

@@ -186,7 +186,7 @@ def landed_pages(spark, folder):
     listed = standins.notices(spark, folder)
     item = F.struct(*listed.columns)
     again = item.withField("contractTitle", F.concat("contractTitle", F.lit(" (again)")))
-    listed.select(F.lit(2).alias("total"), F.array(item, again).alias("items")).write.json(path)
+    listed.select(F.lit(2).alias("total"), F.array(item, again).alias("items")).write.json(path, compression="gzip")
     pages = files.read_list_pages(spark, path)
     return notices.dedupe_list(pages).select(
         "cNoticeId", "contractTitle", "total", F.col("sysProcedureState.id").alias("state_id")
@@ -607,9 +607,9 @@ def incremental_load(spark, folder):
     def run():
         incremental.load_new(spark, landing, target, checkpoint, EVENT, "event_id")
 
-    rows.where(F.col("event_type") != "click").write.mode("append").json(landing)
+    rows.where(F.col("event_type") != "click").write.mode("append").json(landing, compression="gzip")
     run()
-    rows.write.mode("append").json(landing)
+    rows.write.mode("append").json(landing, compression="gzip")
     run()
     run()
     return incremental.read_target(spark, target, EVENT)
@@ -698,6 +698,18 @@ def scorer_seam(spark, folder):
     return matching.score_rows(rows, text_lengths, "doc_id long, score long")
 
 
+@query
+def scorer_distinct(spark, folder):
+    """Event types scored once each and joined back to all events."""
+
+    def upper(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield batch.assign(response=batch["event_type"].str.upper())
+
+    rows = table(spark, folder, "events").select("event_id", "event_type")
+    return matching.score_distinct(rows, "event_type", upper)
+
+
 @query
 def keyword_filter(spark, folder):
     documents = table(spark, folder, "documents")

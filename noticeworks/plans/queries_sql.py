@@ -365,6 +365,7 @@ WITH taxonomy AS (SELECT * FROM (VALUES {', '.join(f'({quoted(k)}, {quoted(v)})'
   AS v(title, definition)),{overlap('taxonomy', 'title', 'definition')}
 SELECT doc_id, title, overlap, jaccard, '{URL_BASE}' || doc_id AS "URL" FROM best""",
     "scorer_seam": "SELECT doc_id, length(text) AS score FROM documents",
+    "scorer_distinct": "SELECT event_id, event_type, upper(event_type) AS response FROM events",
     "keyword_filter": """
 SELECT doc_id, lang FROM documents WHERE contains(text, 'the') AND contains(text, 'and') AND contains(text, 'ing')""",
 }

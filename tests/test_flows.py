@@ -112,6 +112,16 @@ def test_flow(spark, tables, tmp_path):
     assert prompt["prompt"].endswith(f"{V.GREEN_ENERGY_NAME}: d, solar supply")
     assert flows.social_prompts(tables).count() == 5
 
+    def answer(batches):
+        for batch in batches:
+            yield batch.assign(response=json.dumps(dict.fromkeys(V.RESPONSE_KEYS, "A")))
+
+    answers = flows.social_matches(tables, answer).collect()
+    assert len(answers) == 5 and {(r["status"], r["match"]) for r in answers} == {("ok", "A")}
+    by_words = flows.social_matches(tables)
+    assert by_words.columns == ["documentId", "title", "overlap", "jaccard"]
+    assert {r["title"][:2] for r in by_words.collect()} <= {"A.", "B.", "C.", "D.", "E "}
+
     registry = spark.createDataFrame([("7",)], schemas.REGISTRY)
     flows.bidders_silver(tables, registry)
     silver = tables.read("bidders_silver")

@@ -10,14 +10,14 @@ from noticeworks.operators import categories, joins, matching, ranking
 from noticeworks.sources import files
 
 FOLDER = "/root/testdata/sf0.001"
-ARROW_ONLY = {"scorer_seam"}
+SCORERS = {"scorer_seam", "scorer_distinct"}
 
 
 def plan(df, part="executedPlan"):
     return getattr(df._jdf.queryExecution(), part)().toString()
 
 
-@pytest.mark.parametrize("name", [n for n in entry_module.queries() if n not in ARROW_ONLY])
+@pytest.mark.parametrize("name", [n for n in entry_module.queries() if n not in SCORERS])
 def test_no_python_and_no_cross_join(spark, name):
     text = plan(entry_module.queries()[name](spark, FOLDER))
     assert "Python" not in text and "InPandas" not in text
@@ -125,3 +125,18 @@ def test_copies_of_a_criterion_are_split_and_scored_once(spark, hot, large, monk
     assert is_split(found, 300000)
     counts = {(r["e"], r["overlap"]): r["n"] for r in found.groupBy("e", "overlap").agg(F.count("*").alias("n")).collect()}
     assert counts == {(2, 2): 100000, (2, 1): 200000}
+
+
+def test_copies_of_a_text_are_split_and_scored_once(spark, hot, large):
+    seen = spark.sparkContext.accumulator(0)
+
+    def scorer(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch.assign(response=batch["t"].str.upper())
+
+    content = F.when(F.col("id") % 3 == 0, "green").otherwise(F.concat(F.lit("e"), F.col("id") % 5000))
+    found = matching.score_distinct(hot.select("id", content.alias("t")), "t", scorer)
+    assert is_split(found, 300000)
+    assert seen.value == 5001
+    assert found.where("response <> upper(t)").count() == 0
