@@ -20,20 +20,23 @@ from pyspark.sql import functions as F
 _ID, _HASH = "_member_id", "_member_hash"
 
 
-def _id_columns(df: DataFrame, column: str, other: DataFrame, other_column: str) -> tuple[Column, Column]:
-    if df.schema[column].dataType == other.schema[other_column].dataType:
-        return F.col(column), F.col(other_column)
-    return F.col(column).cast("string"), F.col(other_column).cast("string")
+def _id_columns(left: DataFrame, left_id: str, right: DataFrame, right_id: str) -> tuple[Column, Column]:
+    if left.schema[left_id].dataType == right.schema[right_id].dataType:
+        return F.col(left_id), F.col(right_id)
+    return F.col(left_id).cast("string"), F.col(right_id).cast("string")
+
+
+def _keyed(df: DataFrame, key: Column) -> DataFrame:
+    return df.withColumns({_ID: key, _HASH: F.xxhash64(key)})
 
 
 def _join(df: DataFrame, ids: DataFrame, column: str, id_column: str, how: str) -> DataFrame:
-    left_id, right_id = _id_columns(df, column, ids, id_column)
-    right = ids.select(right_id.alias(_ID)).where(F.col(_ID).isNotNull()).distinct()
-    right = right.withColumn(_HASH, F.xxhash64(_ID))
+    key, id_key = _id_columns(df, column, ids, id_column)
+    distinct = ids.select(id_key.alias(_ID)).where(F.col(_ID).isNotNull()).distinct()
+    right = _keyed(distinct, F.col(_ID))
     if how == "left":
         right = right.withColumn("_member", F.lit(True))
-    left = df.withColumns({_ID: left_id, _HASH: F.xxhash64(left_id)})
-    return left.join(right, [_ID, _HASH], how).drop(_ID, _HASH)
+    return _keyed(df, key).join(right, [_ID, _HASH], how).drop(_ID, _HASH)
 
 
 def rows_in(df: DataFrame, ids: DataFrame, column: str, id_column: str) -> DataFrame:
@@ -56,9 +59,5 @@ def detail_join(left: DataFrame, right: DataFrame, left_id: str, right_id: str)
     """Inner join on id; the right id goes, and so does any right column the left has too."""
     left_key, right_key = _id_columns(left, left_id, right, right_id)
     extra = [c for c in right.columns if c != right_id and c not in left.columns]
-    keyed = {side: {_ID: key, _HASH: F.xxhash64(key)} for side, key in (("l", left_key), ("r", right_key))}
-    return (
-        left.withColumns(keyed["l"])
-        .join(right.withColumns(keyed["r"]).select(_ID, _HASH, *extra), [_ID, _HASH], "inner")
-        .drop(_ID, _HASH)
-    )
+    keyed = _keyed(right, right_key).select(_ID, _HASH, *extra)
+    return _keyed(left, left_key).join(keyed, [_ID, _HASH], "inner").drop(_ID, _HASH)
