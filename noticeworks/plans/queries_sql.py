@@ -316,13 +316,13 @@ WHERE o_orderstatus IN ('F', 'P') AND NOT EXISTS (SELECT 1 FROM lineitem WHERE l
 SELECT count(*) AS "before", count(DISTINCT l_orderkey || '-' || l_linenumber) AS "after" FROM lineitem""",
     "audit_criteria": f"""
 WITH {CRITERIA}
-SELECT count(*) AS n, count_if(is_missing) AS missing, count_if(is_malformed) AS malformed,
-  count_if(NOT has_section) AS no_section, count_if(NOT has_section) AS no_list,
-  count_if(has_section AND o_orderkey % 4 = 0) AS empty_list, 0 AS incomplete
+SELECT count(*) AS n, count(*) FILTER (is_missing) AS missing, count(*) FILTER (is_malformed) AS malformed,
+  count(*) FILTER (NOT has_section) AS no_section, count(*) FILTER (NOT has_section) AS no_list,
+  count(*) FILTER (has_section AND o_orderkey % 4 = 0) AS empty_list, CAST(0 AS BIGINT) AS incomplete
 FROM details""",
     "audit_versions": """
-SELECT count(*) AS n, 0 AS malformed, count_if(o_orderkey % 3 = 0) AS no_valid_version FROM orders""",
-    "audit_codes": "SELECT count(*) AS n, count_if(o_orderkey % 97 = 0) AS missing FROM orders",
+SELECT count(*) AS n, CAST(0 AS BIGINT) AS malformed, count(*) FILTER (o_orderkey % 3 = 0) AS no_valid_version FROM orders""",
+    "audit_codes": "SELECT count(*) AS n, count(*) FILTER (o_orderkey % 97 = 0) AS missing FROM orders",
     "attachment_inventory": """
 WITH named AS (
   SELECT CAST(page_id AS VARCHAR) AS documentId, url, 'doc.v' || page_id AS stem, page_id FROM pages)
@@ -332,7 +332,7 @@ UNION ALL SELECT documentId, url, stem || '.pdf', false, stem || '.pdf' FROM nam
 UNION ALL SELECT documentId, url, CASE page_id % 3 WHEN 0 THEN '.hidden' WHEN 1 THEN 'noext' ELSE '.hidden.p7m' END,
   page_id % 3 = 2, CASE page_id % 3 WHEN 1 THEN 'noext' ELSE '.hidden' END FROM named""",
     "attachment_scan": """
-SELECT 'source=' || source AS documentId, sum(strlen(text) + 1) AS bytes FROM documents GROUP BY source""",
+SELECT 'source=' || source AS documentId, CAST(sum(strlen(text) + 1) AS BIGINT) AS bytes FROM documents GROUP BY source""",
     "table_roundtrip": """
 SELECT * FROM customer WHERE c_mktsegment <> 'BUILDING'
 UNION ALL SELECT * FROM customer WHERE c_mktsegment <> 'BUILDING' AND (c_nationkey < 10 OR c_nationkey >= 20)""",

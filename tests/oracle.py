@@ -1,4 +1,4 @@
-"""Compares a query with its SQL: columns by name, rows as a bag, values exactly."""
+"""Compares a query with its SQL: columns and types by name, rows as a bag, values exactly."""
 
 from __future__ import annotations
 
@@ -8,6 +8,9 @@ import os
 import duckdb
 
 
+TYPES = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DOUBLE": "double", "BOOLEAN": "boolean"}
+
+
 def connect(folder: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for path in glob.glob(f"{folder}/*.parquet"):
@@ -21,6 +24,10 @@ def difference(df, con: duckdb.DuckDBPyConnection, sql: str) -> str | None:
     names = [c[0] for c in cursor.description]
     if sorted(names) != sorted(df.columns):
         return f"columns {sorted(df.columns)} / {sorted(names)}"
+    given = {f.name: f.dataType.simpleString() for f in df.schema}
+    types = {c[0]: TYPES[str(c[1])] for c in cursor.description}
+    if given != types:
+        return f"types {sorted(given.items() ^ types.items())}"
     order = sorted(names)
     expected = sorted(repr([dict(zip(names, row))[c] for c in order]) for row in cursor.fetchall())
     actual = sorted(repr([row[c] for c in order]) for row in df.collect())
