@@ -120,33 +120,29 @@ def bidders_raw(spark: SparkSession, folder: str) -> DataFrame:
     """
     key, cust = F.col("o_orderkey"), F.col("o_custkey")
 
-    def participant(version: Column, copy: Column, supplier: Column) -> Column:
+    last = (key % 3).cast("int")
+
+    def participant(version: Column, copy: int, supplier: int) -> Column:
         fiscal = F.concat(F.lit("RO "), cust + supplier * 3 + copy)
         return F.struct(
             (key * 10 + supplier).cast("string").alias("statementSupplierId"),
             (key * 100 + supplier * 10 + version).cast("string").alias("statementParticipantId"),
             F.lit("class").alias("sysProcedureSupplierClass"),
-            F.when(supplier == 1, 62.5).otherwise(37.5).alias("contractPercent"),
-            (supplier == 1).alias("isLead"),
+            F.lit(62.5 if supplier == 1 else 37.5).alias("contractPercent"),
+            F.lit(supplier == 1).alias("isLead"),
             F.when(cust % 13 != 0, fiscal).alias("fiscalNumber"),
             F.concat(F.lit("Bidder "), cust).alias("name"),
         )
 
-    def statement(version: Column, copy: Column) -> Column:
-        suppliers = F.sequence(F.lit(1).cast("long"), cust % 2 + 1)
-        return F.struct(
-            version.alias("versionNo"),
-            F.transform(
-                suppliers,
-                lambda s: F.struct(F.array(participant(version, copy, s)).alias("statementParticipants")),
-            ).alias("statementSuppliers"),
+    def statement(version: Column, copy: int) -> Column:
+        first, second = (
+            F.struct(F.array(participant(version, copy, supplier)).alias("statementParticipants")) for supplier in (1, 2)
         )
+        suppliers = F.array_compact(F.array(first, F.when(cust % 2 == 1, second)))
+        return F.struct(version.alias("versionNo"), suppliers.alias("statementSuppliers"))
 
-    last = (key % 3).cast("int")
-    versions = F.concat(
-        F.transform(F.sequence(F.lit(0), last), lambda v: statement(v, F.lit(0))),
-        F.array(statement(last, F.lit(1))),
-    )
+    numbered = [F.when(last >= v, statement(F.lit(v), 0)) for v in range(3)]
+    versions = F.array_compact(F.array(*numbered, statement(last, 1)))
     return table(spark, folder, "orders").select(
         key.cast("string").alias("documentId"),
         to_text(F.struct((key * 10).alias("procedureId"))).alias("central_data"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from noticeworks.operators.joins import rows_not_in
 from noticeworks.operators.ranking import keep_first
@@ -21,6 +21,16 @@ def read_target(spark: SparkSession, target: str, schema: StructType) -> DataFra
     return spark.read.schema(target_schema(schema)).parquet(target).drop(BATCH)
 
 
+def unreadable(spark: SparkSession, landing: str, schema: StructType) -> DataFrame:
+    """Landed JSON records that do not parse, with their file."""
+    corrupt = StructField("_corrupt", StringType(), True)
+    records = spark.read.schema(StructType([*schema.fields, corrupt])).json(
+        landing, columnNameOfCorruptRecord="_corrupt"
+    )
+    file = F.col("_metadata.file_path").alias("file")
+    return records.select("*", file).where(F.col("_corrupt").isNotNull()).select("file", F.col("_corrupt").alias("record"))
+
+
 def load_new(
     spark: SparkSession,
     landing: str,
@@ -33,25 +43,29 @@ def load_new(
 ) -> None:
     """Loads the files not loaded so far and returns; rows of known ids are left out.
 
+    Records without an id are left out too; ``unreadable`` shows those that are malformed.
+
     Of rows with the same id the one in the oldest file stays. ``files_per_batch`` bounds a
     batch, so that a failure repeats no more than that.
 
     Every micro-batch owns one folder of the target and overwrites it, so a batch that
     is run again after a failure replaces its own rows. Ids are compared with the other
-    batches' rows; only the id column of the target is read. One writer at a time.
+    batches' rows; only the id column of the target is read. One writer at a time; should
+    the checkpoint be lost, loading all files again gives the same ids.
     """
     arrival = ["_file.file_modification_time", "_file.file_path"]
     order = [F.col(c) for c in [*arrival, *schema.names] if c != key]
 
     def add(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        rows = keep_first(batch, [key], order).drop("_file")
-        if batch_id > 0:
-            loaded = session.read.schema(target_schema(schema)).parquet(target)
-            others = loaded.where(F.col(BATCH) != batch_id).select(key)
-            rows = rows_not_in(rows, others, key, key)
+        rows = keep_first(batch.where(F.col(key).isNotNull()), [key], order).drop("_file")
+        loaded = session.read.schema(target_schema(schema)).parquet(target)
+        others = loaded.where(F.col(BATCH) != batch_id).select(key)
+        rows = rows_not_in(rows, others, key, key)
         rows.write.mode("overwrite").parquet(f"{target}/{BATCH}={batch_id}")
 
+    # An empty folder, so that the target can be read before the first batch.
+    spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{target}/{BATCH}=-1")
     source = spark.readStream.format(fmt).schema(schema)
     if files_per_batch is not None:
         source = source.option("maxFilesPerTrigger", files_per_batch)

@@ -32,6 +32,10 @@ def test_each_file_and_each_id_once(spark, tmp_path):
         record.unlink()
     assert run() == expected
 
+    # The checkpoint is lost: every file is loaded again.
+    checkpoint = tmp_path / "another"
+    assert [ident for ident, _ in run()] == ["1", "2", "3"]
+
 
 def test_batches_of_single_files(spark, tmp_path):
     landing = tmp_path / "landing"
@@ -44,3 +48,16 @@ def test_batches_of_single_files(spark, tmp_path):
     assert loaded.select("_batch").distinct().count() == 3
     assert sorted(r["documentId"] for r in loaded.collect()) == ["0", "1", "2", "shared"]
     assert loaded.where("documentId = 'shared'").first()["section2"] == "a"
+
+
+def test_unreadable_records(spark, tmp_path):
+    landing = tmp_path / "landing"
+    drop(landing, "a.json", ["1"])
+    (landing / "b.json").write_text('{"documentId": "2"\n{"section2": "no id"}\n{"documentId": "3"}')
+    incremental.load_new(
+        spark, str(landing), str(tmp_path / "t"), str(tmp_path / "c"), schemas.NOTICE_DETAIL, "documentId"
+    )
+    loaded = incremental.read_target(spark, str(tmp_path / "t"), schemas.NOTICE_DETAIL)
+    assert sorted(r["documentId"] for r in loaded.collect()) == ["1", "3"]
+    [bad] = incremental.unreadable(spark, str(landing), schemas.NOTICE_DETAIL).collect()
+    assert bad["record"] == '{"documentId": "2"' and bad["file"].endswith("b.json")
