@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
+from noticeworks.functions.json_text import field, malformed
 from noticeworks.operators.joins import rows_not_in
 from noticeworks.operators.ranking import keep_first
 
@@ -21,14 +22,12 @@ def read_target(spark: SparkSession, target: str, schema: StructType) -> DataFra
     return spark.read.schema(target_schema(schema)).parquet(target).drop(BATCH)
 
 
-def unreadable(spark: SparkSession, landing: str, schema: StructType) -> DataFrame:
-    """Landed JSON records that do not parse, with their file."""
-    corrupt = StructField("_corrupt", StringType(), True)
-    records = spark.read.schema(StructType([*schema.fields, corrupt])).json(
-        landing, columnNameOfCorruptRecord="_corrupt"
-    )
-    file = F.col("_metadata.file_path").alias("file")
-    return records.select("*", file).where(F.col("_corrupt").isNotNull()).select("file", F.col("_corrupt").alias("record"))
+def unreadable(spark: SparkSession, landing: str, key: str) -> DataFrame:
+    """Landed JSON lines that are malformed or have no id, with their file."""
+    record = F.col("record")
+    lines = spark.read.text(landing).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("record"))
+    lost = malformed(record) | field(record, key).isNull()
+    return lines.where((F.trim("record") != "") & lost)
 
 
 def load_new(
@@ -43,7 +42,7 @@ def load_new(
 ) -> None:
     """Loads the files not loaded so far and returns; rows of known ids are left out.
 
-    Records without an id are left out too; ``unreadable`` shows those that are malformed.
+    Records without an id are left out too; ``unreadable`` shows them.
 
     Of rows with the same id the one in the oldest file stays. ``files_per_batch`` bounds a
     batch, so that a failure repeats no more than that.
