@@ -21,11 +21,11 @@ def dedupe_list(landed: DataFrame, order: list[Column] | None = None) -> DataFra
     """One row per notice id: the first delivered.
 
     The default order takes landing position (``_page``, ``_pos``) where the rows carry
-    it, else the order asked of the source.
+    it, else the order asked of the source; a hash of the row decides between equals.
     """
     if order is None:
         positions = [F.col(c) for c in ("_page", "_pos") if c in landed.columns]
-        order = positions or newest_first()
+        order = positions or [*newest_first(), F.xxhash64(*landed.columns)]
     return keep_first(landed, ["cNoticeId"], order)
 
 

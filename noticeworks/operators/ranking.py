@@ -10,11 +10,24 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def first_n(df: DataFrame, keys: list[str], order: list[Column], n: int) -> DataFrame:
+# Up to this n Spark cuts before the shuffle (its windowGroupLimitThreshold).
+EARLY_CUT = 1000
+SLOTS = 64
+
+
+def _cut(df: DataFrame, keys: list[str], order: list[Column], n: int) -> DataFrame:
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return df.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")
 
 
+def first_n(df: DataFrame, keys: list[str], order: list[Column], n: int) -> DataFrame:
+    """First ``n`` rows per key; beyond the early cut a hot key is first cut in slots."""
+    if n > EARLY_CUT:
+        slot = F.pmod(F.xxhash64(*df.columns), F.lit(SLOTS))
+        df = _cut(df.withColumn("_slot", slot), [*keys, "_slot"], order, n).drop("_slot")
+    return _cut(df, keys, order, n)
+
+
 def keep_first(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """One row per key: the first in ``order``."""
     return first_n(df, keys, order, 1)

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from noticeworks.functions import dates
-from noticeworks.operators import reports, sampling
+from noticeworks.operators import ranking, reports, sampling
 
 # Criterion weights and their histogram.
 WEIGHTS = [
@@ -58,6 +58,15 @@ def test_sample_does_not_depend_on_partitioning(ids):
     assert draw(ids) != {r["k"] for r in sampling.sample_ids(ids, "k", 30, 43).collect()}
 
 
+@pytest.mark.parametrize("n", [1, 999, 1001, 3000])
+def test_first_n(spark, n):
+    rows = spark.range(6000).selectExpr("id % 2 as k", "id")
+    found = ranking.first_n(rows, ["k"], [F.col("id").desc()], n)
+    lowest = {r["k"]: (r["low"], r["n"]) for r in found.groupBy("k").agg(F.min("id").alias("low"), F.count("*").alias("n")).collect()}
+    count = min(n, 3000)
+    assert lowest == {0: (5998 - 2 * (count - 1), count), 1: (5999 - 2 * (count - 1), count)}
+
+
 def test_small_populations_come_whole(spark, ids):
     assert sampling.sample_ids(ids.limit(5), "k", 30, 42).count() == 5
     per = sampling.sample_ids_per(ids, "c", "k", 10, 42).groupBy("c").count().collect()
