@@ -186,7 +186,7 @@ def landed_pages(spark, folder):
     listed = standins.notices(spark, folder)
     item = F.struct(*listed.columns)
     again = item.withField("contractTitle", F.concat("contractTitle", F.lit(" (again)")))
-    listed.select(F.lit(2).alias("total"), F.array(item, again).alias("items")).write.json(path, compression="gzip")
+    listed.select(F.lit(2).alias("total"), F.array(item, again).alias("items")).write.json(path, compression="snappy")
     pages = files.read_list_pages(spark, path)
     return notices.dedupe_list(pages).select(
         "cNoticeId", "contractTitle", "total", F.col("sysProcedureState.id").alias("state_id")
@@ -607,9 +607,9 @@ def incremental_load(spark, folder):
     def run():
         incremental.load_new(spark, landing, target, checkpoint, EVENT, "event_id")
 
-    rows.where(F.col("event_type") != "click").write.mode("append").json(landing, compression="gzip")
+    rows.where(F.col("event_type") != "click").write.mode("append").json(landing, compression="snappy")
     run()
-    rows.write.mode("append").json(landing, compression="gzip")
+    rows.write.mode("append").json(landing, compression="snappy")
     run()
     run()
     return incremental.read_target(spark, target, EVENT)
