@@ -108,6 +108,12 @@ def test_hot_ids_are_split(hot, ids, large):
     assert is_split(joins.detail_join(hot, ids.distinct().withColumn("v", F.lit(1)), "k", "i"), n)
 
 
+def test_missing_ids_are_split(hot, ids, large):
+    rows = hot.withColumn("k", F.nullif("k", F.lit(7)))
+    assert is_split(joins.flag_in(rows, ids, "k", "i", "f"), 300000)
+    assert is_split(joins.rows_not_in(rows, ids, "k", "i"), joins.flag_in(rows, ids, "k", "i", "f").where("not f").count())
+
+
 @pytest.mark.parametrize("mode", ["all", "distinct_category"])
 def test_hot_prefix_is_split(spark, hot, large, mode):
     pairs = spark.range(0, 20000, 1, 4).selectExpr("cast(id % 97 as string) category", "cast(id + 10000 as string) prefix")
