@@ -89,8 +89,7 @@ def common_counts(words: list[bytes], places: dict[bytes, int]) -> list[int]:
     return counts
 
 
-@F.pandas_udf(_TYPE)
-def measured(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+def _measures_of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     places = {w.encode(): k for k, w in enumerate(COMMON_WORDS)}
     for texts in batches:
         rows = []
@@ -111,6 +110,10 @@ def measured(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=MEASURES)
 
 
+def measured(text: Column) -> Column:
+    return F.pandas_udf(_measures_of, _TYPE)(text)
+
+
 def js_distance(p: Column, q: Column) -> Column:
     """Jensen-Shannon distance of two arrays of counts of one length; 0 if either has no counts."""
 
