@@ -35,8 +35,10 @@ COMMON_WORDS = [
 ]
 MIN_WORDS = 40
 MIN_CHARS = 160
-MAX_CLASS_DISTANCE = 0.25
-MAX_WORD_DISTANCE = 0.60
+MAX_CLASS_DISTANCE = 0.30
+MAX_WORD_DISTANCE = 0.245
+#: A histogram of n words is noisy; its limit is higher by this over the root of n.
+WORD_NOISE = 1.1
 
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "class_counts", "common_counts"]
 _TYPE = (
@@ -154,6 +156,7 @@ def judge(
     min_chars: int = MIN_CHARS,
     max_class_distance: float = MAX_CLASS_DISTANCE,
     max_word_distance: float = MAX_WORD_DISTANCE,
+    word_noise: float = WORD_NOISE,
 ) -> DataFrame:
     """``docs`` without the text, with its measures, both distances, ``base_failed`` and ``kept``.
 
@@ -165,21 +168,14 @@ def judge(
     known = references(add_fields(docs.select(text, lang), measured(F.col(text)), MEASURES), lang)
     joined = measures.join(known, F.col(lang).eqNullSafe(F.col("_lang")), "left")
     long_enough = (F.col("n_words") >= min_words) & (F.col("word_chars") >= min_chars)
+    word_limit = max_word_distance + word_noise / F.sqrt(F.greatest("n_words", F.lit(1)))
+    near = (F.col("class_distance") <= max_class_distance) & (F.col("word_distance") <= word_limit)
     return (
         joined.withColumn("class_distance", js_distance(F.col("class_counts"), F.col("_class_reference")))
         .withColumn("word_distance", js_distance(F.col("common_counts"), F.col("_word_reference")))
         .withColumn("base_failed", (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words")))
         .withColumn("judged", long_enough)
-        .withColumn(
-            "kept",
-            ~F.col("base_failed")
-            & (
-                ~long_enough
-                | (
-                    (F.col("class_distance") <= max_class_distance) & (F.col("word_distance") <= max_word_distance)
-                )
-            ),
-        )
+        .withColumn("kept", ~F.col("base_failed") & (~long_enough | near))
         .drop("_lang", "_class_reference", "_word_reference")
     )
 

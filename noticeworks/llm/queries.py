@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from noticeworks.llm import bpe
+from noticeworks.llm import bpe, factorisation, line_dedup, mixing, pii, quality_rules
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -17,13 +18,51 @@ def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return line_dedup.remove_repeated_chunks(docs).select("doc_id", "text", "removed", "n_removed_lines")
+
+
+def op2_factorisation_machine(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = factorisation.train(docs, table(spark, folder, "labels"))
+    out = docs.withColumn("held_out", factorisation.held_out(F.col("doc_id")))
+    return factorisation.score(out, model).select("doc_id", "held_out", "score", "predicted")
+
+
+def op4_anchor_expansion(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    base = F.filter("spans", lambda x: x.kind.isin(pii.BASE_KINDS))
+    return pii.find_personal_data(docs).select(
+        "doc_id",
+        *[pii.count_of(kind).alias(f"n_{kind}") for kind in pii.BASE_KINDS],
+        F.sha2(pii.joined(base), 256).alias("base_sha256"),
+        pii.joined(F.col("spans")).alias("spans"),
+    )
+
+
 def op7_bpe(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return bpe.digests(docs, vocabulary_path()).select("doc_id", *bpe.DIGESTS)
 
 
+def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.report(table(spark, folder, "documents").select("doc_id", "source", "text"))
+
+
+def op10_distribution_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "lang", "text")
+    measures = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return quality_rules.judge(docs).select("doc_id", *measures, "base_failed", "kept", "class_distance", "word_distance")
+
+
 QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
+    "op2_factorisation_machine": op2_factorisation_machine,
+    "op4_anchor_expansion": op4_anchor_expansion,
     "op7_bpe": op7_bpe,
+    "op9_mixing": op9_mixing,
+    "op10_distribution_divergence": op10_distribution_divergence,
 }
 
 SQL: dict[str, str] = {}
