@@ -117,7 +117,9 @@ def _level(rows: DataFrame, level: int) -> DataFrame:
     """One level of the tree: every node's documents are rounded; ``due`` is left between 0 and 1 for at most one."""
 
     def combined(group: pa.Table) -> pa.Table:
-        group = group.take(pc.sort_indices(group, [("hash", "ascending"), ("doc_id", "ascending"), ("size", "ascending")]))
+        # Long documents first: the one that is left undecided is then mostly a short one.
+        order = [("size", "descending"), ("hash", "ascending"), ("doc_id", "ascending")]
+        group = group.take(pc.sort_indices(group, order))
         words = pc.multiply(group["size"], group["repeats"]).to_pylist()
         draws = drawn(group["hash"].to_numpy(), level).tolist()
         due, _ = round_in_pairs(words, group["due"].to_pylist(), draws)

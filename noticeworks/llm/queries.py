@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noticeworks.llm import bpe, factorisation, line_dedup, mixing, pii, quality_rules
+from noticeworks.llm import bpe, factorisation, jaccard_join, line_dedup, mixing, pii, quality_rules
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -30,6 +30,10 @@ def op2_factorisation_machine(spark: SparkSession, folder: str) -> DataFrame:
     return factorisation.score(out, model).select("doc_id", "held_out", "score", "predicted")
 
 
+def op3_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.near_copies(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 def op4_anchor_expansion(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     base = F.filter("spans", lambda x: x.kind.isin(pii.BASE_KINDS))
@@ -59,10 +63,37 @@ def op10_distribution_divergence(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_factorisation_machine": op2_factorisation_machine,
+    "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_anchor_expansion": op4_anchor_expansion,
     "op7_bpe": op7_bpe,
     "op9_mixing": op9_mixing,
     "op10_distribution_divergence": op10_distribution_divergence,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op3_ngram_jaccard": r"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, [w FOR w IN regexp_split_to_array(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[\x20\x09-\x0D]+') IF w <> ''] AS ws
+            FROM documents),
+        shingles AS (
+            SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+                ELSE [array_to_string(ws[i:i + 4], ' ') FOR i IN range(1, len(ws) - 3)] END) AS s
+            FROM words),
+        sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        common AS (
+            SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k
+            FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL),
+        links AS (
+            SELECT a, b FROM common JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+            WHERE 100 * k >= 75 * (p.n + q.n - k)),
+        reach AS (
+            SELECT doc_id AS a, doc_id AS b FROM documents
+            UNION
+            SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b)
+        SELECT d.doc_id, coalesce(n, 0) AS n_shingles, r.c AS component_id
+        FROM documents d LEFT JOIN sizes USING (doc_id)
+        JOIN (SELECT a, min(b) AS c FROM reach GROUP BY a) r ON r.a = d.doc_id
+        """,
+}
