@@ -47,6 +47,7 @@ FREQUENT = 65_536
 BROADCAST_ROWS = 1_000_000
 MIN_BITS, MAX_BITS = 64, 16_384
 _SMALLEST = -(2**63)
+_GROWTH = 100 / PERCENT + 1e-9
 
 
 def least(n):
@@ -199,7 +200,11 @@ def _shared_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def tiles(docs: DataFrame, text: str) -> DataFrame:
-    """(token, sid, n): the hashes by which a set has to meet those that it may link with. Written to the shared folder."""
+    """(token, centre, sid, n): each tile with the sets that hold its hash. Written to the shared folder.
+
+    Of hashes that the same sets hold, as those of a shared passage are, one is enough: the lists of two hashes are taken
+    as equal if their length and two 64-bit sums of their sids are.
+    """
     sorted_rows = prefixes(docs, text).repartition("token").sortWithinPartitions("token", "sid")
     shared = sorted_rows.mapInArrow(_shared_runs, "sid long, n int, token long, df int")
     own = Window.partitionBy("sid")
@@ -209,7 +214,11 @@ def tiles(docs: DataFrame, text: str) -> DataFrame:
         .withColumn("rank", F.row_number().over(own.orderBy("df", "token")))
         .where(F.col("rank") <= F.col("shared") - needed + 1)
     )
-    return written(ranked.select("token", "sid", "n"), "tiles")
+    met = written(ranked.select("token", "sid", "n"), "meetings")
+    sums = [F.bit_xor(F.xxhash64(F.lit(seed), "sid")).alias(f"sum{seed}") for seed in (1, 2)]
+    lists = met.groupBy("token").agg(F.count("*").alias("found"), F.min("sid").alias("centre"), *sums).where("found > 1")
+    chosen = lists.groupBy("found", "centre", "sum1", "sum2").agg(F.min("token").alias("token")).select("token", "centre")
+    return written(met.join(chosen, "token").select("token", "centre", "sid", "n"), "tiles")
 
 
 def sets_of(docs: DataFrame, known: DataFrame, wanted: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -274,7 +283,64 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def _band(n: Column) -> Column:
     """Sizes that link lie in one band or in neighbouring ones: the bands grow by 4/3, with a margin for rounding."""
-    return F.floor(F.log(n.cast("double")) / F.log(F.lit(100 / PERCENT + 1e-9))).cast("int")
+    return F.floor(F.log(n.cast("double")) / F.log(F.lit(_GROWTH))).cast("int")
+
+
+def _width(band: int) -> int:
+    """Bytes that the bitmaps of this band and the one below have at least."""
+    size, smallest = MIN_BITS, int(_GROWTH ** max(0, band - 1))
+    while size < min(2 * smallest, MAX_BITS):
+        size *= 2
+    return size // 8
+
+
+_CELL = ["band", "token", "i", "j"]
+
+
+def _near_in_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs that the bounds of sizes and bitmaps let through, of rows sorted by cell. Cells are bounded by ``BLOCK``.
+
+    All cells of a band are compared at once: each row with the next one, then with the one after that, and so on while
+    they share a cell.
+    """
+
+    def pairs(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        band = rows["band"].to_numpy()
+        for cut in np.split(np.arange(len(band)), np.flatnonzero(np.diff(band)) + 1):
+            own = rows.slice(int(cut[0]), len(cut))
+            _, token, i, j, sid, root, n, up, block = (
+                own[c].to_numpy() for c in [*_CELL, "sid", "root", "n", "up", "block"]
+            )
+            width = _width(int(band[cut[0]]))
+            bits = np.stack([folded(x, width) for x in _unpacked(own["bits"], np.uint8)])
+            new = np.r_[True, (token[1:] != token[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])]
+            cell = np.cumsum(new)
+            last = np.append(np.flatnonzero(new)[1:], len(cell))[cell - 1]  # behind the last row of the cell
+            first = np.arange(len(cell))
+            step = 1
+            while len(first := first[first + step < last[first]]):
+                a, b = first, first + step
+                step += 1
+                ok = (root[a] != root[b]) & ((up[a] == 0) | (up[b] == 0)) & ((i[a] == j[a]) | (block[a] != block[b]))
+                ok &= 100 * np.minimum(n[a], n[b]) >= PERCENT * np.maximum(n[a], n[b])
+                a, b = a[ok], b[ok]
+                if len(a):
+                    near = enough(overlap_bound(n[a], bits[a], n[b], bits[b]), n[a], n[b])
+                    a, b = sid[a[near]], sid[b[near]]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+    wait = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        rows = pa.concat_tables([wait, rows]) if wait is not None else rows
+        if not len(rows):
+            continue
+        same = np.logical_and.reduce([(v := rows[c].to_numpy()) == v[-1] for c in _CELL])
+        cut = int(np.argmax(same))
+        yield from pairs(rows.slice(0, cut)) if cut else ()
+        wait = rows.slice(cut)
+    if wait is not None and len(wait):
+        yield from pairs(wait)
 
 
 def open_pairs(tiles: DataFrame, sets: DataFrame, roots: DataFrame) -> DataFrame:
@@ -291,50 +357,26 @@ def open_pairs(tiles: DataFrame, sets: DataFrame, roots: DataFrame) -> DataFrame
     counted = placed.groupBy("token", "band").agg(
         F.count("*").alias("found"), F.sum(1 - F.col("up")).alias("own"), F.min("root").alias("r"), F.max("root").alias("s")
     )
-    counted = counted.where("own > 0 and r <> s").withColumn("blocks", F.ceil(F.col("found") / BLOCK)).drop("own", "r", "s")
+    counted = counted.where("own > 0 and r <> s").withColumn("blocks", F.ceil(F.col("found") / BLOCK)).drop("found", "own", "r", "s")
     cut = placed.join(counted, ["token", "band"]).withColumn("block", F.pmod(F.xxhash64("sid"), "blocks"))
     cells = F.transform(
         F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1),
         lambda j: F.struct(F.least("block", j).alias("i"), F.greatest("block", j).alias("j")),
     )
     spread = cut.select("token", "band", "sid", "root", "n", "up", "block", F.explode(cells).alias("cell"))
-    full = spread.select("token", "band", "cell.i", "cell.j", "sid", "root", "n", "up", "block").join(
+    full = spread.select("band", "token", "cell.i", "cell.j", "sid", "root", "n", "up", "block").join(
         sets.select("sid", "bits"), "sid"
     )
-
-    def compared(group: pa.Table) -> pa.Table:
-        sid, root, n, up, block, i, j = (
-            group[c].to_numpy() for c in ("sid", "root", "n", "up", "block", "i", "j")
-        )
-        bits = _unpacked(group["bits"], np.uint8)
-        width = min(map(len, bits))
-        bits = np.stack([folded(x, width) for x in bits])
-        found_a, found_b = [], []
-        for k in np.flatnonzero(up == 0):
-            # Each pair once: of two in this band the one with the smaller sid looks; the smaller band is looked at.
-            other = (root != root[k]) & ((up == 1) | (sid > sid[k]))
-            if i[0] != j[0]:
-                other &= block != block[k]
-            other = np.flatnonzero(other & (100 * np.minimum(n, n[k]) >= PERCENT * np.maximum(n, n[k])))
-            if len(other):
-                bound = overlap_bound(n[k], bits[k][None, :], n[other], bits[other])
-                near = other[enough(bound, n[k], n[other])]
-                found_a += [sid[k]] * len(near)
-                found_b += sid[near].tolist()
-        return pa.table({"a": pa.array(found_a, pa.int64()), "b": pa.array(found_b, pa.int64())})
-
-    pairs = full.groupBy("token", "band", "i", "j").applyInArrow(compared, "a long, b long")
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    sorted_cells = full.repartition(*_CELL).sortWithinPartitions(*_CELL)
+    return sorted_cells.mapInArrow(_near_in_cells, "a long, b long").distinct()
 
 
 def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles and component_id: the smallest id that the document reaches by links, itself included."""
     known = classes(docs, doc_id, text)
     met = tiles(docs, text)
-    # A tile of one set is no tile; its star has the smallest sid as centre.
-    centre = met.groupBy("token").agg(F.min("sid").alias("a"), F.count("*").alias("found")).where("found > 1")
-    star = met.join(centre.select("token", "a"), "token").where("a <> sid")
-    star = written(star.select("a", F.col("sid").alias("b")).distinct(), "stars")
+    star = met.where("centre <> sid").select(F.col("centre").alias("a"), F.col("sid").alias("b")).distinct()
+    star = written(star, "stars")
     wanted = star.select(F.col("a").alias("sid")).unionByName(star.select(F.col("b").alias("sid"))).distinct()
     sets = sets_of(docs, known, wanted, doc_id, text)
     links = linked(star, sets)

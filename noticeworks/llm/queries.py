@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noticeworks.llm import bpe, factorisation, jaccard_join, line_dedup, mixing, pii, quality_rules
+from noticeworks.llm import bpe, factorisation, fingerprint, jaccard_join, line_dedup, mixing, pii, quality_rules, url_filter
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -45,11 +45,20 @@ def op4_anchor_expansion(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    return url_filter.verdicts(pages).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op7_bpe(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return bpe.digests(docs, vocabulary_path()).select("doc_id", *bpe.DIGESTS)
 
 
+def op8_weighted_sampling(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprint.compared_with_next(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.report(table(spark, folder, "documents").select("doc_id", "source", "text"))
 
@@ -65,7 +74,9 @@ QUERIES = {
     "op2_factorisation_machine": op2_factorisation_machine,
     "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_anchor_expansion": op4_anchor_expansion,
+    "op6_url_filter": op6_url_filter,
     "op7_bpe": op7_bpe,
+    "op8_weighted_sampling": op8_weighted_sampling,
     "op9_mixing": op9_mixing,
     "op10_distribution_divergence": op10_distribution_divergence,
 }
@@ -96,4 +107,30 @@ SQL: dict[str, str] = {
         FROM documents d LEFT JOIN sizes USING (doc_id)
         JOIN (SELECT a, min(b) AS c FROM reach GROUP BY a) r ON r.a = d.doc_id
         """,
+    "op6_url_filter": r"""
+        WITH rules(action, host, path) AS (VALUES
+            ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
+            ('block', 'net', '/es/'), ('block', 'net', '/fr/')),
+        listed(host) AS (
+            SELECT name || '.example.' || ending
+            FROM (VALUES ('ads-track'), ('adult-x'), ('casino-win'), ('cheap-pills'), ('free-bets'), ('spam-farm')) n(name),
+                (VALUES ('com'), ('net'), ('org')) e(ending)),
+        split AS (
+            SELECT page_id,
+                translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1),
+                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
+            FROM pages),
+        won AS (
+            SELECT page_id, max_by(r.host || r.path, length(r.host || r.path)) AS rule,
+                max_by(action, length(r.host || r.path)) AS action
+            FROM split s JOIN rules r
+                ON (s.host = r.host OR ends_with(s.host, '.' || r.host)) AND starts_with(s.path, r.path)
+            GROUP BY page_id)
+        SELECT page_id, host, path, rule,
+            coalesce(action, CASE WHEN EXISTS (
+                SELECT 1 FROM listed l WHERE split.host = l.host OR ends_with(split.host, '.' || l.host)) THEN 'block' END,
+                'allow') AS verdict
+        FROM split LEFT JOIN won USING (page_id)
+        """,
 }
