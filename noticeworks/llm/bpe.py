@@ -24,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import regex
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from noticeworks.llm.words import add_fields
@@ -190,42 +190,25 @@ def load(spark: SparkSession, path: str):
     return spark.sparkContext.broadcast(text)
 
 
-def encode_column(text: Column, vocabulary) -> Column:
-    """The ids of a text as bytes, four for each id."""
-
-    @F.pandas_udf("binary")
-    def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encoder = Encoder(Vocabulary(vocabulary.value))
-        for texts in batches:
-            yield pd.Series([encoder.encode(x) for x in texts], dtype=object)
-
-    return encoded(text)
-
-
-def decode_column(ids: Column, vocabulary) -> Column:
-    @F.pandas_udf("string")
-    def decoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        words = Vocabulary(vocabulary.value)
-        for rows in batches:
-            yield pd.Series([words.decode(np.frombuffer(x or b"", "<u4")) for x in rows], dtype=object)
-
-    return decoded(ids)
-
-
 def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
-    """``docs`` with ``ids`` (array of long) and ``n_tokens``."""
-    spark = docs.sparkSession
-    vocabulary = load(spark, path)
+    """``docs`` with ``ids`` (array of int), ``n_tokens``, and ``decodes``: whether the ids decode to the text."""
+    vocabulary = load(docs.sparkSession, path)
 
-    @F.pandas_udf("array<long>")
-    def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encoder = Encoder(Vocabulary(vocabulary.value))
+    def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        words = Vocabulary(vocabulary.value)
+        encoder = Encoder(words)
         for texts in batches:
-            yield pd.Series([np.frombuffer(encoder.encode(x), "<u4").astype(np.int64) for x in texts], dtype=object)
-
-    fields = F.struct(encoded(F.col(text)).alias("ids"))
-    out = add_fields(docs, fields, ["ids"])
-    return out.withColumn("n_tokens", F.size("ids").cast("long"))
+            ids = [np.frombuffer(encoder.encode(x), "<u4") for x in texts]
+            yield pd.DataFrame(
+                {
+                    "ids": pd.Series([x.astype(np.int32) for x in ids], dtype=object),
+                    "n_tokens": [len(x) for x in ids],
+                    "decodes": [words.decode(x) == (y or "") for x, y in zip(ids, texts)],
+                }
+            )
+
+    fields = F.pandas_udf(encoded, "ids array<int>, n_tokens long, decodes boolean")(F.col(text))
+    return add_fields(docs, fields, ["ids", "n_tokens", "decodes"])
 
 
 def decode(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:

@@ -116,15 +116,16 @@ def overlap(a: np.ndarray, b: np.ndarray) -> int:
 
 
 def classes(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(doc_id, n, sid) of each document, written to the shared folder."""
+    """(doc_id, text_hash, n, sid) of each document, written to the shared folder."""
 
     def ids_of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             sets = [shingles(x) for x in texts]
             yield pd.DataFrame({"n": [len(x) for x in sets], "sid": [set_id(x) for x in sets]})
 
-    found = docs.select(F.col(doc_id).alias("doc_id"), F.pandas_udf(ids_of, "n long, sid long")(F.col(text)).alias("s"))
-    return written(found.select("doc_id", "s.n", "s.sid"), "classes")
+    sets = F.pandas_udf(ids_of, "n long, sid long")(F.col(text))
+    found = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("text_hash"), sets.alias("s"))
+    return written(found.select("doc_id", "text_hash", "s.n", "s.sid"), "classes")
 
 
 def prefixes(docs: DataFrame, text: str) -> DataFrame:
@@ -371,24 +372,47 @@ def open_pairs(tiles: DataFrame, sets: DataFrame, roots: DataFrame) -> DataFrame
     return sorted_cells.mapInArrow(_near_in_cells, "a long, b long").distinct()
 
 
-def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_shingles and component_id: the smallest id that the document reaches by links, itself included."""
+def grouped(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """The classes of all documents, and (sid, root) of the classes that link with another."""
     known = classes(docs, doc_id, text)
     met = tiles(docs, text)
     star = met.where("centre <> sid").select(F.col("centre").alias("a"), F.col("sid").alias("b")).distinct()
     star = written(star, "stars")
     wanted = star.select(F.col("a").alias("sid")).unionByName(star.select(F.col("b").alias("sid"))).distinct()
     sets = sets_of(docs, known, wanted, doc_id, text)
-    links = linked(star, sets)
-    roots = written(components(links), "roots")
+    roots = written(components(linked(star, sets)), "roots")
     rest = open_pairs(met, sets, roots).join(star, ["a", "b"], "left_anti")
     more = linked(written(rest, "open-pairs"), sets)
     roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
+    return known, roots.withColumnRenamed("node", "sid")
+
+
+def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, n_shingles and component_id: the smallest id that the document reaches by links, itself included."""
+    known, roots = grouped(docs, doc_id, text)
     # Classes, then components, get their smallest document before the documents are met.
     firsts = known.where("n > 0").groupBy("sid").agg(F.min("doc_id").alias("first"))
-    rooted = firsts.join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
+    rooted = firsts.join(roots, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
     heads = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    by_class = rooted.join(heads, "root").select("sid", "component_id")
-    own = known.where("n > 0").join(written(by_class, "components"), "sid", "left").select("doc_id", "n", "component_id")
+    by_class = written(rooted.join(heads, "root").select("sid", "component_id"), "components")
+    own = known.where("n > 0").join(by_class, "sid", "left").select("doc_id", "n", "component_id")
     alone = known.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
     return own.unionByName(alone).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with one row of each group: that of the smallest id, a null id before all others.
+
+    Texts without words are groups of their own. Rows of equal id and text are one document and leave one row.
+    """
+    known, roots = grouped(docs, doc_id, text)
+    key = F.struct(F.coalesce(F.col("doc_id").cast("long"), F.lit(_SMALLEST)).alias("id"), "text_hash")
+    firsts = known.where("n > 0").groupBy("sid").agg(F.min(key).alias("first"))
+    rooted = firsts.join(roots, "sid", "left").groupBy(F.coalesce("root", "sid")).agg(F.min("first").alias("k"))
+    alone = known.where("n = 0").select(key.alias("k"))
+    heads = rooted.select("k").unionByName(alone).select(F.col("k.id").alias("_id"), F.col("k.text_hash").alias("_text"))
+    heads = written(heads.distinct(), "heads")
+    keyed = docs.withColumn("_id", F.coalesce(F.col(doc_id).cast("long"), F.lit(_SMALLEST))).withColumn("_text", F.xxhash64(text))
+    same = Window.partitionBy("_id", "_text").orderBy("_id")
+    found = keyed.join(heads, ["_id", "_text"], "left_semi").withColumn("_row", F.row_number().over(same))
+    return found.where("_row = 1").drop("_id", "_text", "_row")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noticeworks.llm import bpe, factorisation, fingerprint, jaccard_join, line_dedup, mixing, pii, quality_rules, url_filter
+from noticeworks.llm import bpe, factorisation, fingerprint, jaccard_join, licenses, line_dedup, mixing, pii, quality_rules, url_filter
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -45,6 +45,16 @@ def op4_anchor_expansion(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_license_sentences(spark: SparkSession, folder: str) -> DataFrame:
+    found = licenses.scan(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id",
+        F.array_join("sentence_ids", "|").alias("sentence_ids"),
+        F.array_join("licenses", ",").alias("licenses"),
+        F.size("licenses").cast("long").alias("n_licenses"),
+    )
+
+
 def op6_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages").select("page_id", "url")
     return url_filter.verdicts(pages).select("page_id", "host", "path", "rule", "verdict")
@@ -74,6 +84,7 @@ QUERIES = {
     "op2_factorisation_machine": op2_factorisation_machine,
     "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_anchor_expansion": op4_anchor_expansion,
+    "op5_license_sentences": op5_license_sentences,
     "op6_url_filter": op6_url_filter,
     "op7_bpe": op7_bpe,
     "op8_weighted_sampling": op8_weighted_sampling,
@@ -107,6 +118,85 @@ SQL: dict[str, str] = {
         FROM documents d LEFT JOIN sizes USING (doc_id)
         JOIN (SELECT a, min(b) AS c FROM reach GROUP BY a) r ON r.a = d.doc_id
         """,
+    "op5_license_sentences": r"""
+        WITH RECURSIVE known(sentence, id) AS (VALUES
+            ('licensed under the apache license version 2 0', 'apache2-notice'),
+            ('licensed under the apache license version 2 0 the license', 'apache2-header'),
+            ('you may not use this file except in compliance with the license', 'apache2-comply'),
+            ('licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license', 'apache2-header'),
+            ('apache license', 'apache-title'),
+            ('version 2 0 january 2004', 'apache2-date'),
+            ('released under the mit license', 'mit-notice'),
+            ('licensed under the mit license', 'mit-notice'),
+            ('this project is licensed under the mit license', 'mit-notice'),
+            ('mit license', 'mit-title'),
+            ('the mit license', 'mit-title'),
+            ('the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software', 'mit-condition'),
+            ('redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met', 'bsd-grant'),
+            ('redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer', 'bsd-source'),
+            ('redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution', 'bsd-binary'),
+            ('this work is licensed under the gnu general public license version 3', 'gpl3-notice'),
+            ('this work is licensed under the gnu general public license version 2', 'gpl2-notice'),
+            ('gnu general public license', 'gpl-title'),
+            ('version 3 29 june 2007', 'gpl3-date'),
+            ('version 2 june 1991', 'gpl2-date'),
+            ('this source code form is subject to the terms of the mozilla public license v 2 0', 'mpl2-notice'),
+            ('licensed under cc by nc 4 0', 'cc-by-nc-4-notice'),
+            ('licensed under cc by 4 0', 'cc-by-4-notice'),
+            ('licensed under cc by sa 4 0', 'cc-by-sa-4-notice'),
+            ('this work is licensed under a creative commons attribution 4 0 international license', 'cc-by-4-notice'),
+            ('this work is licensed under a creative commons attribution noncommercial 4 0 international license', 'cc-by-nc-4-notice'),
+            ('this work is licensed under a creative commons attribution sharealike 4 0 international license', 'cc-by-sa-4-notice'),
+            ('this is free and unencumbered software released into the public domain', 'unlicense-notice'),
+            ('all rights reserved', 'all-rights-reserved')),
+        rules(rank, name, wanted) AS (VALUES
+            (1, 'Apache-2.0', '|apache-title||apache2-date|'),
+            (2, 'Apache-2.0', '|apache2-header||apache2-comply|'),
+            (3, 'Apache-2.0', '|apache2-header|'),
+            (4, 'Apache-2.0', '|apache2-notice|'),
+            (5, 'MIT', '|mit-title||mit-condition|'),
+            (6, 'MIT', '|mit-condition|'),
+            (7, 'MIT', '|mit-notice|'),
+            (8, 'MIT', '|mit-title|'),
+            (9, 'BSD', '|all-rights-reserved||bsd-grant||bsd-source||bsd-binary|'),
+            (10, 'BSD', '|bsd-grant||bsd-source||bsd-binary|'),
+            (11, 'GPL-3.0', '|gpl-title||gpl3-date|'),
+            (12, 'GPL-3.0', '|gpl3-notice|'),
+            (13, 'GPL-2.0', '|gpl-title||gpl2-date|'),
+            (14, 'GPL-2.0', '|gpl2-notice|'),
+            (15, 'MPL-2.0', '|mpl2-notice|'),
+            (16, 'CC-BY-NC-4.0', '|cc-by-nc-4-notice|'),
+            (17, 'CC-BY-SA-4.0', '|cc-by-sa-4-notice|'),
+            (18, 'CC-BY-4.0', '|cc-by-4-notice|'),
+            (19, 'Unlicense', '|unlicense-notice|'),
+            (20, 'all rights reserved', '|all-rights-reserved|')),
+        views(view, ends) AS (VALUES
+            (1, '[.!?;:]+[\x20\x09-\x0D]|[\x0A\x0D]'), (2, '[.!?;:]+[\x20\x09-\x0D]|[\x0A\x0D][\x20\x09]*[\x0A\x0D]')),
+        marked AS (
+            SELECT doc_id, view, regexp_replace(translate(coalesce(text, '') || chr(10), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' || chr(1),
+                'abcdefghijklmnopqrstuvwxyz '), ends, chr(1), 'g') AS m
+            FROM documents, views),
+        pieces AS (
+            SELECT doc_id, view, string_split(regexp_replace(m, '[^a-z0-9' || chr(1) || ']+', ' ', 'g'), chr(1)) AS p
+            FROM marked),
+        placed AS (SELECT doc_id, view, unnest(p) AS piece, unnest(range(len(p))) AS place FROM pieces),
+        ids AS (
+            SELECT doc_id, view, string_agg(id, '|' ORDER BY place) AS shown, string_agg(id, '||' ORDER BY place) AS seq
+            FROM placed JOIN known ON trim(piece) = sentence GROUP BY doc_id, view),
+        walk AS (
+            SELECT doc_id, view, 0 AS rank, '|' || seq || '|' AS rest, NULL::VARCHAR AS found FROM ids
+            UNION ALL
+            SELECT doc_id, view, r.rank, replace(rest, wanted, '|'), CASE WHEN contains(rest, wanted) THEN name END
+            FROM walk w JOIN rules r ON r.rank = w.rank + 1),
+        found AS (
+            SELECT doc_id, string_agg(found, ',' ORDER BY first) AS licenses, count(*) AS n
+            FROM (SELECT DISTINCT doc_id, found, (SELECT min(rank) FROM rules WHERE name = found) AS first
+                FROM walk WHERE found IS NOT NULL)
+            GROUP BY doc_id)
+        SELECT d.doc_id, coalesce(i.shown, '') AS sentence_ids, coalesce(f.licenses, '') AS licenses,
+            coalesce(f.n, 0) AS n_licenses
+        FROM documents d LEFT JOIN ids i ON i.doc_id = d.doc_id AND i.view = 1 LEFT JOIN found f ON f.doc_id = d.doc_id
+        """,
     "op6_url_filter": r"""
         WITH rules(action, host, path) AS (VALUES
             ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
