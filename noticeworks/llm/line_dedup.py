@@ -1,7 +1,8 @@
 """Line dedup by content-defined chunks.
 
-A text is cut in lines. A rolling hash over the hashes of ``WINDOW`` lines puts a boundary behind a line when it is 0
-modulo ``DIVISOR``, so boundaries depend on nearby lines only and come back wherever a passage stands. Chunks of at least
+A text is cut in lines. A rolling hash runs over the hashes of ``WINDOW`` lines, and where it is lower than for the line
+before and after, a chunk ends. So boundaries depend on nearby lines only, come back wherever a passage stands, and are at
+least two lines apart; chunks have three lines on average, ``MAX_LINES`` at most. Chunks of at least
 ``MIN_LINES`` lines, of which two have a word, are compared over all documents: by a 128-bit hash and by their bytes.
 Of equal chunks the first stays (smallest id, then first place in the document) and the others are removed, line ends
 included.
@@ -29,7 +30,6 @@ from noticeworks.llm.words import add_fields, mix
 from noticeworks.session import scratch_dir
 
 WINDOW = 2
-DIVISOR = 2
 MIN_LINES = 2
 MAX_LINES = 64
 _FACTOR = 0x9E3779B97F4A7C15
@@ -38,11 +38,14 @@ _CHUNK = "first_line:int,lines:int,high:bigint,low:bigint,again:boolean"
 
 
 def boundaries(hashes: np.ndarray) -> np.ndarray:
-    """True behind whose line the rolling hash of ``WINDOW`` lines ends a chunk; the first lines have shorter windows."""
+    """True behind whose line a chunk ends: where the rolling hash of ``WINDOW`` lines is below its neighbours'."""
     rolling = np.zeros(len(hashes), np.uint64)
     for back in range(min(WINDOW, len(hashes))):
         rolling[back:] += hashes[: len(hashes) - back] * np.uint64(pow(_FACTOR, back, 2**64))
-    return mix(rolling) % np.uint64(DIVISOR) == 0
+    rolling = mix(rolling)
+    ends = np.zeros(len(hashes), bool)
+    ends[1:-1] = (rolling[1:-1] < rolling[:-2]) & (rolling[1:-1] <= rolling[2:])
+    return ends
 
 
 def chunks(text: str) -> list[tuple[int, int, str]]:
