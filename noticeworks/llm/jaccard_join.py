@@ -410,9 +410,9 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     firsts = known.where("n > 0").groupBy("sid").agg(F.min(key).alias("first"))
     rooted = firsts.join(roots, "sid", "left").groupBy(F.coalesce("root", "sid")).agg(F.min("first").alias("k"))
     alone = known.where("n = 0").select(key.alias("k"))
-    heads = rooted.select("k").unionByName(alone).select(F.col("k.id").alias("_id"), F.col("k.text_hash").alias("_text"))
+    heads = rooted.select("k").unionByName(alone).select(F.col("k.id").alias("_group_id"), F.col("k.text_hash").alias("_group_text"))
     heads = written(heads.distinct(), "heads")
-    keyed = docs.withColumn("_id", F.coalesce(F.col(doc_id).cast("long"), F.lit(_SMALLEST))).withColumn("_text", F.xxhash64(text))
-    same = Window.partitionBy("_id", "_text").orderBy("_id")
-    found = keyed.join(heads, ["_id", "_text"], "left_semi").withColumn("_row", F.row_number().over(same))
-    return found.where("_row = 1").drop("_id", "_text", "_row")
+    keyed = docs.withColumn("_group_id", F.coalesce(F.col(doc_id).cast("long"), F.lit(_SMALLEST))).withColumn("_group_text", F.xxhash64(text))
+    same = Window.partitionBy("_group_id", "_group_text").orderBy("_group_id")
+    found = keyed.join(heads, ["_group_id", "_group_text"], "left_semi").withColumn("_group_row", F.row_number().over(same))
+    return found.where("_group_row = 1").drop("_group_id", "_group_text", "_group_row")

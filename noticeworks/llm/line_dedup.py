@@ -95,8 +95,8 @@ def chunk_table(docs: DataFrame, doc_id: str, text: str, with_text: bool) -> Dat
 
     kind = f"array<struct<{_CHUNK}{',body:string' if with_text else ''}>>"
     return docs.select(
-        F.coalesce(F.col(doc_id).cast("long"), F.lit(_SMALLEST)).alias("_id"),
-        F.xxhash64(text).alias("_text"),
+        F.coalesce(F.col(doc_id).cast("long"), F.lit(_SMALLEST)).alias("_dedup_id"),
+        F.xxhash64(text).alias("_dedup_text"),
         F.inline(F.pandas_udf(rows_of, kind)(F.col(text))),
     )
 
@@ -107,7 +107,7 @@ def repeated_chunks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     same = (
         chunk_table(docs, doc_id, text, with_text=True)
         .groupBy("high", "low", "body")
-        .agg(F.min("_id").alias("first_id"), F.count("*").alias("found"))
+        .agg(F.min("_dedup_id").alias("first_id"), F.count("*").alias("found"))
     )
     # A hash with one text of its own is confirmed. Chunks that repeat within one document alone count as well: their
     # later places carry ``again``.
@@ -128,9 +128,9 @@ def remove_repeated_chunks(docs: DataFrame, doc_id: str = "doc_id", text: str =
     places = chunk_table(docs, doc_id, text, with_text=False)
     removals = (
         places.join(repeated.select("high", "low", "first_id"), ["high", "low"], "left")
-        .where("again or _id <> first_id")
-        .groupBy("_id", "_text")
-        .agg(F.array_sort(F.collect_set(F.struct("first_line", "lines"))).alias("_removed"))
+        .where("again or _dedup_id <> first_id")
+        .groupBy("_dedup_id", "_dedup_text")
+        .agg(F.array_sort(F.collect_set(F.struct("first_line", "lines"))).alias("_dedup_gone"))
     )
 
     def left_of(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
@@ -144,13 +144,13 @@ def remove_repeated_chunks(docs: DataFrame, doc_id: str = "doc_id", text: str =
             )
 
     joined = docs.withColumns(
-        {"_id": F.coalesce(F.col(doc_id).cast("long"), F.lit(_SMALLEST)), "_text": F.xxhash64(text)}
-    ).join(removals, ["_id", "_text"], "left")
-    left = F.pandas_udf(left_of, "string")(F.col(text), F.col("_removed"))
+        {"_dedup_id": F.coalesce(F.col(doc_id).cast("long"), F.lit(_SMALLEST)), "_dedup_text": F.xxhash64(text)}
+    ).join(removals, ["_dedup_id", "_dedup_text"], "left")
+    left = F.pandas_udf(left_of, "string")(F.col(text), F.col("_dedup_gone"))
     none = F.array().cast("array<struct<first_line:int,lines:int>>")
     fields = F.struct(
-        F.when(F.col("_removed").isNull(), F.col(text)).otherwise(left).alias(text),
-        F.coalesce("_removed", none).alias("removed"),
-        F.coalesce(F.aggregate("_removed", F.lit(0), lambda n, x: n + x.lines), F.lit(0)).alias("n_removed_lines"),
+        F.when(F.col("_dedup_gone").isNull(), F.col(text)).otherwise(left).alias(text),
+        F.coalesce("_dedup_gone", none).alias("removed"),
+        F.coalesce(F.aggregate("_dedup_gone", F.lit(0), lambda n, x: n + x.lines), F.lit(0)).alias("n_removed_lines"),
     )
-    return add_fields(joined, fields, [text, "removed", "n_removed_lines"]).drop("_id", "_text", "_removed")
+    return add_fields(joined, fields, [text, "removed", "n_removed_lines"]).drop("_dedup_id", "_dedup_text", "_dedup_gone")

@@ -174,17 +174,17 @@ def mixed(docs: DataFrame, text: str = "text") -> DataFrame:
     """The mix: each row of ``docs`` as often as it is taken."""
     taken, _ = plan(docs, text)
     taken = taken.where("copies > 0").select(
-        F.col("doc_id").alias("_doc_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), "copies"
-    ).withColumnRenamed("copies", "_copies")
-    sized = docs.withColumn("_own_size", size_of(text))
+        F.col("doc_id").alias("_mix_doc_id"), F.col("source").alias("_mix_source"), F.col("size").alias("_mix_size"), "copies"
+    ).withColumnRenamed("copies", "_mix_copies")
+    sized = docs.withColumn("_mix_own_size", size_of(text))
     same = (
-        F.col("doc_id").eqNullSafe(F.col("_doc_id"))
-        & F.col("source").eqNullSafe(F.col("_source"))
-        & (F.col("_own_size") == F.col("_size"))
+        F.col("doc_id").eqNullSafe(F.col("_mix_doc_id"))
+        & F.col("source").eqNullSafe(F.col("_mix_source"))
+        & (F.col("_mix_own_size") == F.col("_mix_size"))
     )
     kept = [F.col(f"`{c}`") for c in docs.columns]
-    repeated = F.explode(F.array_repeat(F.lit(1), F.col("_copies"))).alias("_copy")
-    return sized.join(taken, same).select(*kept, repeated).drop("_copy")
+    repeated = F.explode(F.array_repeat(F.lit(1), F.col("_mix_copies"))).alias("_mix_copy")
+    return sized.join(taken, same).select(*kept, repeated).drop("_mix_copy")
 
 
 def report(docs: DataFrame, text: str = "text") -> DataFrame:

@@ -138,12 +138,12 @@ def references(measures: DataFrame, lang: str) -> DataFrame:
     sums = [F.sum(F.col("class_counts")[k]).alias(f"_c{k}") for k in range(CLASSES)]
     sums += [F.sum(F.col("common_counts")[k]).alias(f"_w{k}") for k in range(len(COMMON_WORDS) + 1)]
     return (
-        measures.groupBy(F.col(lang).alias("_lang"))
+        measures.groupBy(F.col(lang).alias("_rules_lang"))
         .agg(*sums)
         .select(
-            "_lang",
-            F.array(*[f"_c{k}" for k in range(CLASSES)]).alias("_class_reference"),
-            F.array(*[f"_w{k}" for k in range(len(COMMON_WORDS) + 1)]).alias("_word_reference"),
+            "_rules_lang",
+            F.array(*[f"_c{k}" for k in range(CLASSES)]).alias("_rules_class_reference"),
+            F.array(*[f"_w{k}" for k in range(len(COMMON_WORDS) + 1)]).alias("_rules_word_reference"),
         )
     )
 
@@ -166,17 +166,17 @@ def judge(
     rest = [c for c in docs.columns if c != text and (c == lang or c.lower() not in names)]
     measures = add_fields(docs, measured(F.col(text)), MEASURES).select(*rest, *MEASURES)
     known = references(add_fields(docs.select(text, lang), measured(F.col(text)), MEASURES), lang)
-    joined = measures.join(known, F.col(lang).eqNullSafe(F.col("_lang")), "left")
+    joined = measures.join(known, F.col(lang).eqNullSafe(F.col("_rules_lang")), "left")
     long_enough = (F.col("n_words") >= min_words) & (F.col("word_chars") >= min_chars)
     word_limit = max_word_distance + word_noise / F.sqrt(F.greatest("n_words", F.lit(1)))
     near = (F.col("class_distance") <= max_class_distance) & (F.col("word_distance") <= word_limit)
     return (
-        joined.withColumn("class_distance", js_distance(F.col("class_counts"), F.col("_class_reference")))
-        .withColumn("word_distance", js_distance(F.col("common_counts"), F.col("_word_reference")))
+        joined.withColumn("class_distance", js_distance(F.col("class_counts"), F.col("_rules_class_reference")))
+        .withColumn("word_distance", js_distance(F.col("common_counts"), F.col("_rules_word_reference")))
         .withColumn("base_failed", (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words")))
         .withColumn("judged", long_enough)
         .withColumn("kept", ~F.col("base_failed") & (~long_enough | near))
-        .drop("_lang", "_class_reference", "_word_reference")
+        .drop("_rules_lang", "_rules_class_reference", "_rules_word_reference")
     )
 
 

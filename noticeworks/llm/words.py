@@ -46,7 +46,11 @@ def shingles(text: str | None) -> np.ndarray:
 
 
 def add_fields(df: DataFrame, fields: Column, names: list[str]) -> DataFrame:
-    """``df`` with the fields of a struct as columns; a column of ``df`` with such a name is replaced."""
+    """``df`` with the fields of a struct as columns; a column of ``df`` with such a name is replaced.
+
+    Columns that operators add for their own use and drop again begin with ``_dedup_``, ``_group_``, ``_mix_``,
+    ``_rules_`` or ``_fields_``; such names are not for input columns.
+    """
     kept = [F.col(f"`{c}`") for c in df.columns if c.lower() not in {n.lower() for n in names}]
     packed = df.select(*kept, fields.alias("_fields_of_row"))
     return packed.select(*kept, *[F.col(f"_fields_of_row.{n}").alias(n) for n in names])
