@@ -1,0 +1,339 @@
+"""Licences, URL filters, fingerprints, mixing and quality rules against plain versions."""
+
+import hashlib
+import math
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+from cases import LONG, ROWS, frame, prose
+
+import oracle
+from noticeworks.llm import fingerprint, licenses, mixing, quality_rules, queries, url_filter
+
+FOLDER = "/root/testdata/sf0.001"
+SPACE = r"[^\x20\x09-\x0D]+"
+
+
+@pytest.mark.parametrize("name", sorted(queries.SQL))
+def test_queries_with_sql(spark, name):
+    assert oracle.difference(queries.QUERIES[name](spark, FOLDER), oracle.connect(FOLDER), queries.SQL[name]) is None
+
+
+# Licences
+
+
+@pytest.mark.parametrize(
+    ("text", "found"),
+    [
+        ("Some words.\nReleased under the MIT License.\nMore.", ["MIT"]),
+        ("LICENSED  under the Apache License, Version 2.0! Then", ["Apache-2.0"]),
+        ("Apache License\nVersion 2.0, January 2004\n", ["Apache-2.0"]),
+        (
+            "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that "
+            "the following conditions\nare met:\n\nRedistributions of source code must retain the above copyright notice, "
+            "this list of conditions and the\nfollowing disclaimer. Redistributions in binary form must reproduce the above "
+            "copyright notice, this list of conditions and the following disclaimer in the documentation and/or other "
+            "materials provided with the distribution.",
+            ["BSD"],
+        ),
+        ("All rights reserved. Licensed under CC BY-NC 4.0.", ["CC-BY-NC-4.0", "all rights reserved"]),
+        ("we released under the MIT License yesterday", []),
+        (None, []),
+        ("", []),
+    ],
+)
+def test_licences(spark, text, found):
+    df = frame(spark, [(1, text, "en", "a", 1)], {"licenses": "x", "_flow": "y"})
+    assert licenses.scan(df).first()["licenses"] == found
+
+
+def test_licence_odd_rows(spark):
+    assert [r["licenses"] for r in licenses.scan(frame(spark)).collect()] == [[]] * len(ROWS)
+    assert licenses.scan(frame(spark, [])).count() == 0
+
+
+def test_licence_scan_has_no_python(spark):
+    plan = queries.op5_license_sentences(spark, FOLDER)._jdf.queryExecution().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
+
+
+# URL filters
+
+URLS = [
+    None, "", "nothing", "http://", "HTTP://WWW.Example.COM/en/x?y", "https://a.b.net/es/", "http://net/fr/1#/x",
+    "http://example.com/en", "x://example.com/en/?q=http://y.net/es/", "http://m.spam-farm.example.net/de/1", "http://com",
+    "http://é.net/es/é", "http://notexample.com/en/", "http://spam-farm.example.net.org/", "a://b://c.net/fr/",
+]
+
+
+def judged(url):
+    match = re.search(r"://([^/?#]*)([^?#]*)", url or "")
+    host, path = (match[1].translate({k: k + 32 for k in range(65, 91)}), match[2]) if match else ("", "")
+
+    def fits(rules):
+        own = [(len(h + p), h + p, a) for a, h, p in rules if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        return max(own)[1:] if own else None
+
+    rule, other = fits(url_filter.RULES), fits(url_filter.BLOCKED)
+    return host, path, rule and rule[0], rule[1] if rule else other[1] if other else "allow"
+
+
+def test_urls(spark):
+    pages = spark.createDataFrame([(k, u, "x") for k, u in enumerate(URLS * 2)], "page_id long, url string, rule string")
+    rows = {r["page_id"]: r for r in url_filter.verdicts(pages).collect()}
+    assert len(rows) == 2 * len(URLS)
+    for k, url in enumerate(URLS * 2):
+        assert tuple(rows[k][c] for c in ("host", "path", "rule", "verdict")) == judged(url), url
+    assert url_filter.verdicts(pages.limit(0)).count() == 0
+
+
+def test_equal_digests_are_told_apart_by_their_strings(tmp_path, monkeypatch):
+    monkeypatch.setattr(url_filter.xxhash, "xxh64_intdigest", lambda key: len(key) % 3)
+    rules = [("block", f"h{k}.org", "/a/" * (k % 3)) for k in range(40)]
+    path = tmp_path / "keys"
+    path.write_bytes(url_filter.pack(rules))
+    keys = url_filter.DigestArray(str(path))
+    assert keys.judge(["x.h7.org", "h41.org", "h3.org"], ["/a/b", "/a/", "/"]) == [("h7.org/a/", "block"), None, ("h3.org", "block")]
+
+
+def test_empty_list_and_the_join_for_long_lists(spark, tmp_path):
+    path = tmp_path / "keys"
+    path.write_bytes(url_filter.pack([]))
+    assert url_filter.DigestArray(str(path)).judge(["a.net"], ["/"]) == [None]
+    pages = queries.table(spark, FOLDER, "pages").select("page_id", "url")
+    split = pages.withColumn("host", url_filter.host_of(pages.url)).withColumn("path", url_filter.path_of(pages.url))
+    rules = spark.createDataFrame(url_filter.RULES, "action string, host string, path string")
+    mapped = url_filter.judged(split, url_filter.RULES).where("rule is not null").select("page_id", "rule", "action")
+    assert sorted(map(tuple, url_filter.judged_by_join(split, rules, "page_id").collect())) == sorted(map(tuple, mapped.collect()))
+
+
+# Fingerprints
+
+
+def test_collisions_follow_the_generalised_jaccard_similarity():
+    rnd = np.random.RandomState(2)
+    sampler = fingerprint.Sampler(samples=2048, slots=512)
+    for _ in range(6):
+        a, b = rnd.randint(1, 9, 60).astype(float), rnd.randint(1, 9, 60).astype(float)
+        slots_a, slots_b = np.arange(60), np.arange(60) + 20
+        whole_a, whole_b = np.zeros(80), np.zeros(80)
+        whole_a[slots_a], whole_b[slots_b] = a, b
+        exact = np.minimum(whole_a, whole_b).sum() / np.maximum(whole_a, whole_b).sum()
+        assert abs(fingerprint.likeness(sampler.sample(slots_a, a), sampler.sample(slots_b, b)) - exact) < 0.05
+
+
+def check_next(rows, out):
+    """All rows in order of descending ids, equal ids by text, null ids last; each with the next, the last with the first."""
+    ordered = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1] is not None, r[1] or ""))
+    expected = []
+    for k, (doc_id, text, *_) in enumerate(ordered):
+        text, following = text or "", ordered[(k + 1) % len(ordered)][1] or ""
+        half = len(text) // 2
+        new = text[: len(text) - half] + following[:half]
+        expected.append((doc_id, len(text), hashlib.sha256(new.encode()).hexdigest()))
+    assert sorted(((r["doc_id"], r["n_chars"], r["edited_sha256"]) for r in out), key=repr) == sorted(expected, key=repr)
+    for r in out:
+        a, b = r["fingerprint"], r["edited_fingerprint"]
+        assert r["near_edited"] == np.mean([a[k : k + 8] == b[k : k + 8] for k in range(0, len(a), 8)])
+        assert 0 <= r["near_next"] <= 1
+
+
+def test_next_documents_of_odd_rows(spark):
+    out = fingerprint.compared_with_next(frame(spark, extra={"_t": "x"})).collect()
+    check_next(ROWS, out)
+    marks = {}
+    for r, text in ((r, r["doc_id"]) for r in out if r["doc_id"] in (1, 2)):
+        marks[text] = r["fingerprint"]
+    assert marks[1] == marks[2]
+
+
+@pytest.mark.parametrize("parts", ["1", "8", "40"])
+def test_next_documents_over_ranges(spark, settings, parts):
+    settings(spark__sql__shuffle__partitions=parts)
+    rnd = random.Random(4)
+    ids = [*rnd.sample(range(-500, 10**12), 120), *range(50)]
+    rows = [(k, prose(rnd.randint(0, 30), k), "en", "a", 1) for k in ids]
+    check_next(rows, fingerprint.compared_with_next(frame(spark, rows)).collect())
+
+
+def test_lone_and_no_documents(spark):
+    lone = fingerprint.compared_with_next(frame(spark, [(5, "a b c d", "en", "a", 1)])).collect()
+    assert [(r["near_next"], r["n_chars"]) for r in lone] == [(1.0, 7)]
+    assert fingerprint.compared_with_next(frame(spark, [])).count() == 0
+    assert fingerprint.fingerprints(frame(spark)).count() == len(ROWS)
+
+
+# Mixing
+
+
+def plain_targets(sizes):
+    names = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: mixing.WEIGHTS[k % 3] for k, s in enumerate(names)}
+    total, full = sum(sizes.values()), set()
+    while True:
+        free = total - sum(3 * sizes[s] for s in full)
+        width = sum(weight[s] for s in names if s not in full)
+        target = {s: 3 * sizes[s] if s in full else free * weight[s] / width for s in names}
+        above = {s for s in names if s not in full and target[s] > 3 * sizes[s]}
+        if not above:
+            return target
+        full |= above
+
+
+def check_mix(rows, out):
+    sizes = Counter()
+    for r in rows:
+        sizes[r[3]] += len(re.findall(SPACE, r[1] or ""))
+    target = plain_targets(sizes)
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0, r["size"]) for r in out) == sorted(
+        (r[0] is None, r[0] or 0, len(re.findall(SPACE, r[1] or ""))) for r in rows
+    )
+    for source, words in sizes.items():
+        own = [r for r in out if r["_s"] == source]
+        assert all(r["source_size"] == words and math.isclose(r["target"], target[source], rel_tol=1e-9) for r in own)
+        assert all(r["taken"] <= 3 * r["size"] and (r["size"] == 0 or r["taken"] % r["size"] == 0) for r in own)
+        assert abs(sum(r["taken"] for r in own) - target[source]) <= 2 * max(r["size"] for r in own) + 1e-6
+
+
+def with_source(out, rows):
+    source = {(r[0], len(re.findall(SPACE, r[1] or ""))): r[3] for r in rows}
+    return [r.asDict() | {"_s": source[(r["doc_id"], r["size"])]} for r in out.collect()]
+
+
+def test_mix_of_uneven_sources(spark, monkeypatch):
+    rnd = random.Random(3)
+    names = ["a", "b", "c", "d", "é", None]
+    rows = [(k, prose(rnd.randint(1, 60), k), "en", rnd.choice([*names, "b", "b", "b"]), 1) for k in range(3000)]
+    rows += [(5000 + k, prose(5, k), "en", "tiny", 1) for k in range(3)]
+    out = with_source(mixing.report(frame(spark, rows)), rows)
+    check_mix(rows, out)
+    again = with_source(mixing.report(frame(spark, rows[::-1]).repartition(13)), rows)
+    assert sorted(map(repr, out)) == sorted(map(repr, again))
+
+
+def test_mix_of_odd_rows(spark):
+    rows = [r for r in ROWS if r[0] is not None]
+    check_mix(rows, with_source(mixing.report(frame(spark, rows)), rows))
+    assert mixing.report(frame(spark)).count() == len(ROWS)
+    assert mixing.report(frame(spark, [])).count() == 0
+    assert mixing.report(frame(spark, [(1, "", "en", "a", 1), (2, None, "en", None, 1)])).count() == 2
+
+
+def test_mixed_rows_are_the_reported_copies(spark):
+    rows = [(k, prose(5 + k % 40, k), "en", "abc"[k % 3], 1) for k in range(400)] + [(1, prose(6, 1), "en", "b", 1)]
+    df = frame(spark, rows, {"copies": "x", "size": "y", "_copy": "z"})
+    taken = Counter()
+    for r in mixing.report(df).collect():
+        taken[r["doc_id"]] += r["taken"] // r["size"]
+    got = mixing.mixed(df)
+    assert got.columns == df.columns
+    assert Counter(r["doc_id"] for r in got.collect()) == +taken
+    assert mixing.mixed(frame(spark, [])).count() == 0
+
+
+def test_rounding_in_pairs_keeps_the_words_and_the_expectation():
+    rnd = np.random.RandomState(5)
+    words = rnd.randint(1, 50, 40).tolist()
+    due = rnd.rand(40).tolist()
+    sums = np.zeros(40)
+    for _ in range(3000):
+        done, held = mixing.round_in_pairs(words, due, rnd.rand(40).tolist())
+        assert abs(np.dot(words, done) - np.dot(words, due)) < 1e-6
+        assert sum(0 < x < 1 for x in done) == (held is not None)
+        sums += done
+    assert np.abs(sums / 3000 - due).max() < 0.05
+
+
+# Quality rules
+
+
+def measures(text):
+    text = text or ""
+    words = re.findall(SPACE, text)
+    seen, dups = set(), 0
+    for line in text.split("\n"):
+        dups += bool(re.search(SPACE, line)) and line in seen
+        seen.add(line)
+    windows = Counter(tuple(words[k : k + 5]) for k in range(len(words) - 4))
+    covered = {p for k in range(len(words) - 4) if windows[tuple(words[k : k + 5])] > 1 for p in range(k, k + 5)}
+    return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), dups, len(covered)
+
+
+def check_rules(rows, out):
+    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    got = sorted(((r["doc_id"], *(r[n] for n in names), r["base_failed"]) for r in out), key=repr)
+    expected = []
+    for doc_id, text, *_ in rows:
+        own = measures(text)
+        expected.append((doc_id, *own, own[0] < 10 or 100 * own[4] > 20 * own[0]))
+    assert got == sorted(expected, key=repr)
+    assert not any(r["kept"] and r["base_failed"] for r in out)
+
+
+def test_rules_on_odd_rows(spark):
+    rows = [*ROWS, (40, "a b c d e a b c d e x\n" * 3, "en", "a", 1), (41, "x y z w v " * 40, "en", "a", 1)]
+    check_rules(rows, quality_rules.judge(frame(spark, rows, {"kept": "x", "n_words": "y"})).collect())
+    assert quality_rules.judge(frame(spark, [])).count() == 0
+
+
+def test_rules_on_the_tables(spark):
+    rows = [tuple(r) for r in queries.table(spark, FOLDER, "documents").select("doc_id", "text").collect()]
+    check_rules(rows, queries.op10_distribution_divergence(spark, FOLDER).collect())
+
+
+def test_distances_against_a_plain_version(spark):
+    rows = quality_rules.judge(frame(spark)).collect()
+    langs = {}
+    for r in rows:
+        for k, c in enumerate(("class_counts", "common_counts")):
+            known = langs.setdefault(r["lang"], [None, None])
+            known[k] = np.array(r[c]) + (0 if known[k] is None else known[k])
+    for r in rows:
+        assert math.isclose(r["class_distance"], quality_rules.distance(r["class_counts"], langs[r["lang"]][0].tolist()), abs_tol=1e-7)
+        assert math.isclose(r["word_distance"], quality_rules.distance(r["common_counts"], langs[r["lang"]][1].tolist()), abs_tol=1e-7)
+
+
+def test_junk_goes_and_clean_documents_stay(spark):
+    rows = [(k, prose(150, k), "en", "a", 1) for k in range(60)]
+    rows += [(100, " ".join(f"{w}###" for w in prose(150, 1).split()), "en", "a", 1), (101, prose(150, 2).upper() + "!!", "en", "a", 1)]
+    kept = {r["doc_id"] for r in quality_rules.judge(frame(spark, rows)).where("kept").collect()}
+    assert kept == set(range(60))
+
+
+# The pipeline
+
+
+def test_pipeline(spark):
+    import corpus_pipeline as pipeline
+
+    docs = queries.table(spark, FOLDER, "documents")
+    names = [name for name, _ in pipeline.STAGES]
+    before = docs
+    for name, stage in pipeline.STAGES:
+        after = stage(spark, before, FOLDER)
+        assert name == names[-1] or after.schema.names == docs.schema.names
+        before = pipeline.stages.written(after, "test-stage")
+        if name == names[0]:
+            assert 0 < before.count() < docs.count()
+    rows = before.collect()
+    assert all(r["decodes"] and r["n_tokens"] == len(r["ids"]) for r in rows)
+    run = pipeline.run(spark, FOLDER)
+    assert sorted(map(repr, run.collect())) == sorted(map(repr, rows))
+
+
+def test_stages_on_odd_and_no_rows(spark):
+    import corpus_pipeline as pipeline
+
+    for rows in (ROWS, []):
+        for _, stage in pipeline.STAGES:
+            df = frame(spark, rows, {"score": "x", "ids": "y"})
+            out = stage(spark, df, FOLDER)
+            assert out.count() <= 3 * len(rows)
+            assert stage is pipeline.STAGES[-1][1] or out.columns == df.columns
+
+
+def test_very_long_text():
+    assert len(LONG.split()) == 30_000
