@@ -7,11 +7,14 @@ from pyspark.sql import functions as F
 
 
 def windows(spark: SparkSession, first: str, last: str, step: str = "1 month") -> DataFrame:
-    """One row per window: its key (first day) and both bounds, as date and as request text."""
+    """One row per window: its key (first day) and both bounds, as date and as request text.
+
+    A window ends on the day before the next one starts, so windows of any step leave no gap.
+    """
     start = F.explode(
         F.sequence(F.lit(first).cast("date"), F.lit(last).cast("date"), F.expr(f"interval {step}"))
     )
-    end = F.last_day("window_start") if "month" in step else F.col("window_start")
+    end = F.date_sub((F.col("window_start") + F.expr(f"interval {step}")).cast("date"), 1)
     return (
         spark.range(1)
         .select(start.alias("window_start"))

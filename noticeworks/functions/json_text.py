@@ -12,9 +12,19 @@ def parse(text: Column, schema: DataType) -> Column:
     return F.from_json(text, schema)
 
 
+def strict(text: Column) -> Column:
+    """The one JSON value of a text as a variant; NULL if the text is no JSON or goes on behind the value.
+
+    A parser stops behind the first value, so the text is put in a list before its own digest: only a text that
+    is one value leaves the digest in second place.
+    """
+    both = F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"'), F.md5(text), F.lit('"]')))
+    return F.when(F.try_variant_get(both, "$[1]", "string") == F.md5(text), F.try_variant_get(both, "$[0]", "variant"))
+
+
 def malformed(text: Column) -> Column:
-    """True for text that is present and not JSON."""
-    return text.isNotNull() & F.try_parse_json(text).isNull()
+    """True for text that is present and not one JSON value."""
+    return text.isNotNull() & strict(text).isNull()
 
 
 def field(text: Column, key: str) -> Column:

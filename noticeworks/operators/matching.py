@@ -3,20 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from noticeworks import fixed_values as V
-from noticeworks import schemas
 from noticeworks.functions import text
+from noticeworks.functions.json_text import strict
 from noticeworks.operators.ranking import keep_first
 
-# Up to IN_ROW_ENTRIES entries a taxonomy is scored inside each row. Up to MAX_ENTRIES and
-# MAX_BYTES it is broadcast, and may stand in a prompt. Beyond, both sides are shuffled.
-IN_ROW_ENTRIES = 32
+# Up to MAX_ENTRIES and MAX_BYTES a taxonomy is scored inside each row. Beyond, both sides are shuffled.
 MAX_ENTRIES = 10_000
 MAX_BYTES = 4 * 1024 * 1024
 
@@ -31,18 +31,16 @@ def measured_entries(taxonomy: DataFrame, content: str) -> int | None:
 
 
 def model_criteria_of_groups(criteria: DataFrame, groups: list[int]) -> DataFrame:
-    """(id, text) of the criteria tied to a product group; a repeated id keeps its last text."""
+    """(id, text) of the criteria tied to a product group.
+
+    A repeated id keeps its last text; at equal places in several documents the largest text.
+    """
     tied = criteria.where(F.exists("groups", lambda g: g.isin(groups)))
-    return tied.groupBy("id").agg(F.max_by("text", "pos").alias("text"))
+    return tied.groupBy("id").agg(F.max(F.struct("pos", "text")).alias("_last")).select("id", F.col("_last.text").alias("text"))
 
 
 def taxonomy_text(taxonomy: DataFrame, key: str, content: str) -> Column:
-    """A whole taxonomy as one text, ``key: content`` per line in key order.
-
-    It goes into every prompt, so a taxonomy beyond the measured bound is an error.
-    """
-    if measured_entries(taxonomy, content) is None:
-        raise ValueError(f"a taxonomy in a prompt has at most {MAX_ENTRIES} entries, {MAX_BYTES} bytes")
+    """A whole taxonomy as one text, ``key: content`` per line in key order; it goes into every prompt."""
     line = text.joined(F.col(key), ": ", F.col(content))
     ordered = F.sort_array(F.collect_list(F.struct(F.col(key).alias("k"), line.alias("line"))))
     return taxonomy.agg(F.array_join(F.transform(ordered, lambda e: e["line"]), "\n")).scalar()
@@ -77,28 +75,37 @@ def prompts(criteria: DataFrame, taxonomy: Column, name: str, description: str,
     )
 
 
+def prompts_of(criteria: DataFrame, taxonomy: Column, content: str) -> DataFrame:
+    """Adds the prompt for criteria that one column describes: instruction, taxonomy, that text."""
+    parts = [INSTRUCTION, "\nModel criteria:\n", taxonomy, "\nContract criterion: ", F.col(content)]
+    return criteria.withColumn("prompt", text.joined(*parts))
+
+
 def read_responses(responses: DataFrame, column: str) -> DataFrame:
     """Adds the fields of each response and its ``status``.
 
-    ``ok``: a JSON object with all required keys and no other. Otherwise ``not_json``,
-    ``missing_key`` or ``extra_key``; those rows are for quarantine.
+    ``ok``: one JSON object and nothing behind it, with all required keys, all strings, and no
+    other key. Otherwise ``not_json``, ``missing_key``, ``extra_key`` or ``wrong_type`` (a null
+    too); those rows are for quarantine. Fields that are strings are shown in any case.
     """
     keys = F.array(*[F.lit(k) for k in V.RESPONSE_KEYS])
+    strings = [F.schema_of_variant(F.col("_fields")[k]) == "STRING" for k in V.RESPONSE_KEYS]
     status = (
-        F.when(F.col("_keys").isNull(), "not_json")
-        .when(F.size(F.array_except(keys, "_keys")) > 0, "missing_key")
-        .when(F.size(F.array_except("_keys", keys)) > 0, "extra_key")
+        F.when(F.col("_fields").isNull(), "not_json")
+        .when(F.size(F.array_except(keys, F.map_keys("_fields"))) > 0, "missing_key")
+        .when(F.size(F.array_except(F.map_keys("_fields"), keys)) > 0, "extra_key")
+        .when(~reduce(lambda a, b: a & b, strings), "wrong_type")
         .otherwise("ok")
     )
+    fields = F.try_variant_get(strict(text.strip_fence(F.col(column))), "$", "map<string,variant>")
+    shown = [
+        F.when(F.schema_of_variant(F.col("_fields")[k]) == "STRING", F.try_variant_get(F.col("_fields")[k], "$", "string"))
+        for k in V.RESPONSE_KEYS
+    ]
     return (
-        responses.withColumn("_json", text.strip_fence(F.col(column)))
-        .withColumns({"_keys": F.json_object_keys("_json"), "_fields": F.from_json("_json", schemas.RESPONSE)})
+        responses.withColumn("_fields", fields)
         .withColumn("status", status)
-        .select(
-            *responses.columns,
-            "status",
-            *[F.col(f"_fields.{k}").alias(k) for k in V.RESPONSE_KEYS],
-        )
+        .select(*responses.columns, "status", *[c.alias(k) for c, k in zip(shown, V.RESPONSE_KEYS)])
     )
 
 
@@ -119,89 +126,102 @@ def best_match(
     entry_content: str,
     threshold: int = 1,
 ) -> DataFrame:
-    """(key, entry key, overlap, jaccard) of the entry sharing most distinct words.
+    """(key, entry key, overlap, jaccard) of the entry sharing most distinct words, for every criterion.
+
+    Each taxonomy row is an entry of its own, also if its key repeats or is NULL. Of equal overlaps the
+    smallest entry key wins, NULL last, then the larger jaccard. A criterion whose best overlap is below
+    ``threshold`` (at least 1) has a NULL entry, overlap and jaccard. Words are taken from whole texts.
 
-    The smallest entry key wins ties; criteria whose best overlap is below ``threshold``
-    are left out, as are those without a key. Words are taken from whole texts.
+    A taxonomy within the measured bounds is scored inside each row against an index of its words; nothing is
+    shuffled and no pair becomes a row. A larger one is joined by words, of a criterion only its rarest that one
+    of an entry with ``threshold`` words in common must be among. Both give the same rows.
     """
-    left = criteria.where(F.col(key).isNotNull()).select(F.col(key).alias("_key"), F.col(content).alias("_text"))
+    left = criteria.select(F.col(key).alias("_key"), text.tokens(F.col(content)).alias("_words"))
     right = taxonomy.select(F.col(entry_key).alias("_entry"), text.tokens(F.col(entry_content)).alias("_entry_words"))
-    entries = measured_entries(taxonomy, entry_content)
-    if entries is not None and entries <= IN_ROW_ENTRIES:
-        best = _best_in_row(left, right)
-    else:
-        best = _best_by_join(left, right, broadcast=entries is not None)
-    union = F.col("_n") + F.col("_m") - F.col("overlap")
-    return best.where(F.col("overlap") >= threshold).select(
-        F.col("_key").alias(key),
-        F.col("_entry").alias(entry_key),
-        F.col("overlap").cast("long").alias("overlap"),
-        (F.col("overlap") / union).alias("jaccard"),
-    )
-
-
-def _best_in_row(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Small taxonomy: every row scores all entries itself; nothing is shuffled."""
-    entries = right.agg(F.sort_array(F.collect_list(F.struct("_entry", "_entry_words")))).scalar()
-    vocabulary = right.select(F.explode("_entry_words").alias("w")).agg(F.collect_set("w")).scalar()
-    # Entries come in key order, so of equal overlaps the earliest position wins.
-    scores = F.transform(
-        "_entries",
-        lambda e, i: F.struct(
-            F.size(F.array_intersect(e["_entry_words"], F.col("_known"))).alias("overlap"),
-            (-i).alias("_before"),
-            F.size(e["_entry_words"]).alias("_m"),
-            e["_entry"].alias("_entry"),
-        ),
-    )
-    # As a generator the best score is computed once, also when it is filtered on.
-    best = F.inline(F.array(F.array_max(scores)))
-    known = F.array_intersect("_words", "_vocabulary")
-    return (
-        left.select("_key", text.tokens(F.col("_text")).alias("_words"))
-        .withColumns({"_entries": entries, "_vocabulary": vocabulary})
-        .select("_key", F.size("_words").alias("_n"), "_entries", known.alias("_known"))
-        .select("_key", "_n", best)
-    )
-
-
-def _best_by_join(left: DataFrame, right: DataFrame, broadcast: bool, spread: int = 64) -> DataFrame:
-    """Taxonomy of any size: equi-join on the shared word.
-
-    Copies of a criterion are scored once. A taxonomy of bounded size is broadcast.
-    Otherwise the criteria side, in which a common word occurs again and again, is spread
-    over ``spread`` join keys per word and the taxonomy side repeated for each. Pairs are
-    counted within the map tasks before they are shuffled.
+    bounded = measured_entries(taxonomy, entry_content) is not None
+    best = (_best_in_row if bounded else _best_by_join)(left, right, max(1, threshold))
+    return best.select(F.col("_key").alias(key), F.col("_entry").alias(entry_key), "overlap", "jaccard")
+
+
+def _best_in_row(left: DataFrame, right: DataFrame, threshold: int) -> DataFrame:
+    """Taxonomy within the bounds: the overlaps of a row are counted from the entries that each of its words has."""
+    order = Window.orderBy(F.col("_entry").asc_nulls_last(), F.size("_entry_words"), "_entry_words")
+    entries = right.where(F.size("_entry_words") > 0).withColumn("_place", F.row_number().over(order) - 1)
+    rows = entries.select("_place", "_entry_words").toPandas()
+    sizes = np.zeros(len(rows), np.int64)
+    found: dict[str, list[int]] = {}
+    for place, words in zip(rows["_place"], rows["_entry_words"]):
+        sizes[place] = len(words)
+        for word in words:
+            found.setdefault(word, []).append(place)
+    sent = left.sparkSession.sparkContext.broadcast(({w: np.array(p) for w, p in found.items()}, sizes))
+
+    def scored(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        index, lengths = sent.value
+        for batch in batches:
+            out = []
+            for words in batch:
+                hits = [index[w] for w in words if w in index] if words is not None else []
+                counts = np.bincount(np.concatenate(hits), minlength=len(lengths)) if hits else np.zeros(1, np.int64)
+                place = int(counts.argmax())  # the first of the best
+                top = int(counts[place])
+                good = top >= threshold
+                out.append((place, top, top / (len(words) + lengths[place] - top)) if good else (None, None, None))
+            yield pd.DataFrame(out, columns=["_place", "overlap", "jaccard"]).astype(
+                {"_place": "Int32", "overlap": "Int64", "jaccard": "float64"}
+            )
+
+    score = F.pandas_udf(scored, "_place int, overlap long, jaccard double")
+    # As a generator the score is computed once.
+    best = left.select("_key", F.inline(F.array(score("_words"))))
+    return best.join(F.broadcast(entries.select("_place", "_entry")), "_place", "left")
+
+
+def _best_by_join(left: DataFrame, right: DataFrame, threshold: int, spread: int = 64) -> DataFrame:
+    """Taxonomy of any size: entries are met by the words of a criterion, and compared by all.
+
+    Criteria of equal words are scored once. Of the words that any entry has, the rarest come first, and all but
+    ``threshold`` - 1 of them are enough to meet every entry with ``threshold`` words in common. A common word is
+    spread over ``spread`` join keys, the taxonomy side repeated for each.
     """
-    identity = ["_key", "_digest"]
-    # Never NULL, so that no filter is derived that would read the texts a second time.
-    digest = F.coalesce(F.unhex(F.md5("_text")), F.lit(b""))
-    left = left.withColumn("_digest", digest)
-    words = (
-        left.select(*identity, text.tokens(F.col("_text")).alias("_words"))
-        .dropDuplicates(identity)
-        .select(*identity, F.size("_words").alias("_n"), F.explode("_words").alias("_word"))
+    text_of = F.md5(F.to_json(F.struct("_words"))).alias("_text")
+    texts = left.where(F.size("_words") > 0).select(text_of, "_words").dropDuplicates(["_text"])
+    entries = right.where(F.size("_entry_words") > 0).dropDuplicates(["_entry", "_entry_words"])
+    entries = entries.withColumn("_id", F.md5(F.to_json(F.struct("_entry", "_entry_words"))))
+    held = entries.select("_id", F.explode("_entry_words").alias("_word"))
+    known = held.groupBy("_word").agg(F.count("*").alias("_often"))
+    words = texts.select("_text", F.explode("_words").alias("_word"))
+    own = Window.partitionBy("_text")
+    rare = (
+        words.join(known, "_word")
+        .withColumn("_rank", F.row_number().over(own.orderBy("_often", "_word")))
+        .withColumn("_known", F.count("*").over(own))
+        .where(F.col("_rank") <= F.col("_known") - threshold + 1)
     )
-    entry_words = right.select(
-        "_entry", F.size("_entry_words").alias("_m"), F.explode("_entry_words").alias("_word")
+    slots = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(spread - 1).cast("long")))
+    met = rare.withColumn("_slot", F.pmod(F.xxhash64("_text"), F.lit(spread))).join(
+        held.withColumn("_slot", slots).hint("merge"), ["_word", "_slot"]
     )
-    if broadcast:
-        shared = words.join(F.broadcast(entry_words), "_word")
-    else:
-        slot = F.coalesce(F.pmod(F.xxhash64(*identity), F.lit(spread)), F.lit(0))
-        slots = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(spread - 1).cast("long")))
-        shared = words.withColumn("_slot", slot).join(
-            entry_words.withColumn("_slot", slots).hint("merge"), ["_word", "_slot"]
+    pairs = met.select("_text", "_id").distinct()
+    compared = (
+        pairs.join(texts, "_text")
+        .join(entries, "_id")
+        .select(
+            "_text",
+            "_entry",
+            F.size(F.array_intersect("_words", "_entry_words")).cast("long").alias("overlap"),
+            F.size("_words").alias("_n"),
+            F.size("_entry_words").alias("_m"),
         )
-    pairs = shared.groupBy(*identity, "_entry").agg(
-        F.count("*").alias("overlap"), F.max("_n").alias("_n"), F.max("_m").alias("_m")
+        .where(F.col("overlap") >= threshold)
     )
-    best = keep_first(pairs, identity, [F.col("overlap").desc(), F.col("_entry")])
+    best = keep_first(compared, ["_text"], [F.col("overlap").desc(), F.col("_entry").asc_nulls_last(), F.col("_m")])
+    union = F.col("_n") + F.col("_m") - F.col("overlap")
+    best = best.select("_text", "_entry", "overlap", (F.col("overlap") / union).alias("jaccard"))
+    keyed = left.select("_key", text_of)
     # The hash makes both sides of the join plain shuffles, so that hot copies can be split.
-    hashed = F.xxhash64(*identity)
-    return left.select(*identity, hashed.alias("_hash")).join(
-        best.withColumn("_hash", hashed), [*identity, "_hash"]
-    )
+    hashed = F.xxhash64("_text")
+    return keyed.withColumn("_hash", hashed).join(best.withColumn("_hash", hashed), ["_text", "_hash"], "left")
 
 
 Scorer = Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]

@@ -41,14 +41,47 @@ def crosstab(df: DataFrame, first: str, second: str) -> DataFrame:
 def completeness(windows: DataFrame, rows: DataFrame, key: str, cap: int = V.RESULT_CAP) -> DataFrame:
     """Rows per ingest window; empty windows and windows that hit the cap are marked.
 
-    ``rows[key]`` holds the ``window_start`` a row belongs to.
+    ``rows[key]`` holds the ``window_start`` a row belongs to. Rows of other windows, or of none,
+    are counted in one more row with NULL bounds and the status ``outside``.
     """
-    counts = rows.groupBy(F.col(key).alias("window_start")).agg(F.count("*").alias("_n"))
-    n = F.coalesce("_n", F.lit(0)).cast("long")
-    status = F.when(n == 0, "empty").when(n >= cap, "saturated").otherwise("ok")
-    return windows.join(counts, "window_start", "left").select(
-        *windows.columns, n.alias("n"), status.alias("status")
+    counts = rows.groupBy(F.col(key).cast("date").alias("window_start")).agg(F.count("*").alias("_n"))
+    listed = windows.withColumn("_listed", F.lit(True))
+    met = listed.join(counts, "window_start", "full").withColumn("_listed", F.coalesce("_listed", F.lit(False)))
+    found = met.groupBy("_listed", *[F.when(F.col("_listed"), F.col(c)).alias(c) for c in windows.columns]).agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("n")
     )
+    status = (
+        F.when(~F.col("_listed"), "outside")
+        .when(F.col("n") == 0, "empty")
+        .when(F.col("n") >= cap, "saturated")
+        .otherwise("ok")
+    )
+    return found.select(*windows.columns, "n", status.alias("status"))
+
+
+def month_report(windows: DataFrame, pages: DataFrame, day: str, cap: int = V.RESULT_CAP) -> DataFrame:
+    """Landed notices of each month against the ``total`` that its result pages state.
+
+    ``n`` counts distinct notices, ``total`` is the largest that a page of the month states. The
+    status is ``saturated`` where the total reaches the cap of the source, ``empty`` without
+    notices, ``missing`` with fewer than stated, else ``ok``. Notices of other months, or without
+    a day, are counted in one row with NULL bounds and the status ``outside``.
+    """
+    month = F.trunc(F.col(day).try_cast("date"), "MM").alias("window_start")
+    counts = pages.groupBy(month).agg(F.count_distinct("cNoticeId").alias("_n"), F.max("total").alias("_total"))
+    listed = windows.withColumn("_listed", F.lit(True))
+    met = listed.join(counts, "window_start", "full").withColumn("_listed", F.coalesce("_listed", F.lit(False)))
+    found = met.groupBy("_listed", *[F.when(F.col("_listed"), F.col(c)).alias(c) for c in windows.columns]).agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("n"), F.max(F.when(F.col("_listed"), F.col("_total"))).alias("total")
+    )
+    status = (
+        F.when(~F.col("_listed"), "outside")
+        .when(F.col("total") >= cap, "saturated")
+        .when(F.col("n") == 0, "empty")
+        .when(F.col("n") < F.col("total"), "missing")
+        .otherwise("ok")
+    )
+    return found.select(*windows.columns, "n", "total", status.alias("status"))
 
 
 def saturated(rows: DataFrame, key: str, cap: int = V.RESULT_CAP) -> DataFrame:

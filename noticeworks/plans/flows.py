@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 
 from noticeworks import fixed_values as V
 from noticeworks import schemas
+from noticeworks.functions import dates
 from noticeworks.operators import bidders, categories, criteria, matching, notices, reports, sampling, worklist
 from noticeworks.sources import files
 from noticeworks.sources.tables import Tables, enforce, small_table
@@ -25,7 +26,7 @@ MAPPINGS = {
 def notice_list(tables: Tables, pages: str) -> None:
     """Landed result pages -> one row per notice."""
     landed = files.read_list_pages(tables.spark, pages)
-    tables.overwrite(notices.dedupe_list(landed).drop("_page", "_pos", "total"), "notice_list")
+    tables.overwrite(notices.dedupe_list(landed).drop("_page", "_line", "_pos", "total"), "notice_list")
 
 
 def detail_worklist(tables: Tables, types: list[int] = V.DETAIL_NOTICE_TYPES) -> DataFrame:
@@ -85,7 +86,7 @@ def social_enterprises_in_social_contracts(tables: Tables, matched: DataFrame, i
 
 def matched_criteria(tables: Tables, path: str, schema: StructType, id_column: str, url_base: str) -> None:
     """Matched criteria exported as CSV -> table with the notice URL."""
-    matched = files.read_csv(tables.spark, path, schema)
+    matched = files.read_csv(tables.spark, path, schema, multi_line=True)
     tables.overwrite(matching.with_url(matched, id_column, url_base), "matched_criteria")
 
 
@@ -102,19 +103,54 @@ def samples(tables: Tables, name: str, folder: str) -> None:
     drawn.write.mode("overwrite").partitionBy("category").csv(folder, header=True, escape='"')
 
 
-def energy_prompts(tables: Tables, model_path: str) -> DataFrame:
-    """Prompts matching green-energy criteria to the model criteria for energy."""
+def _energy_criteria(tables: Tables, model_path: str) -> tuple[DataFrame, DataFrame]:
+    """Green-energy criteria, and the model criteria for energy out of their file."""
     model = matching.model_criteria_of_groups(
         files.read_model_criteria(tables.spark, model_path), V.ENERGY_PRODUCT_GROUPS
     )
-    energy = criteria.green_energy_criteria(tables.read("infra_criteria"), tables.read("infra_list"))
-    return matching.prompts(
-        energy,
-        matching.taxonomy_text(model, "id", "text"),
-        "noticeAwardCriteriaName",
-        "noticeAwardCriteriaDescription",
-        "algorithmDescription",
-    )
+    return criteria.green_energy_criteria(tables.read("infra_criteria"), tables.read("infra_list")), model
+
+
+def energy_prompts(tables: Tables, model_path: str) -> DataFrame:
+    """Prompts matching the algorithms of green-energy criteria to the model criteria for energy."""
+    energy, model = _energy_criteria(tables, model_path)
+    return matching.prompts_of(energy, matching.taxonomy_text(model, "id", "text"), "algorithmDescription")
+
+
+def energy_matches(tables: Tables, model_path: str, scorer: matching.Scorer | None = None) -> DataFrame:
+    """Green-energy criteria with the model criterion they match; see ``matched``."""
+    energy, model = _energy_criteria(tables, model_path)
+    if scorer is not None:
+        return matched(energy_prompts(tables, model_path), scorer)
+    model = model.select(F.col("id").cast("string").alias("match"), "text")
+    return matched(energy, None, "algorithmDescription", model, "match", "text")
+
+
+def matched(
+    rows: DataFrame,
+    scorer: matching.Scorer | None,
+    content: str | None = None,
+    taxonomy: DataFrame | None = None,
+    entry_key: str | None = None,
+    entry_content: str | None = None,
+) -> DataFrame:
+    """documentId, noticeAwardCriteriaID, status, match, overlap, jaccard and the two texts of a response.
+
+    With a scorer: its answers to the column ``prompt``, read and given a status; no overlap. Without: the
+    entry that shares most words with ``content``, and the status ``ok`` or ``no_match``; no texts.
+    """
+    ids = ["documentId", "noticeAwardCriteriaID"]
+    texts = V.RESPONSE_KEYS[1:]
+    if scorer is not None:
+        answered = matching.score_distinct(rows.select(*ids, "prompt"), "prompt", scorer).drop("prompt")
+        read = matching.read_responses(answered, "response")
+        none = [F.lit(None).cast("long").alias("overlap"), F.lit(None).cast("double").alias("jaccard")]
+        return read.select(*ids, "status", "match", *none, *texts)
+    keyed = rows.select(F.struct(*ids).alias("_ids"), F.col(content).alias("_content"))
+    best = matching.best_match(keyed, "_ids", "_content", taxonomy, entry_key, entry_content)
+    status = F.when(F.col("overlap").isNull(), "no_match").otherwise("ok").alias("status")
+    none = [F.lit(None).cast("string").alias(c) for c in texts]
+    return best.select("_ids.*", status, F.col(entry_key).alias("match"), "overlap", "jaccard", *none)
 
 
 def social_taxonomy(spark: SparkSession) -> DataFrame:
@@ -134,17 +170,15 @@ def social_prompts(tables: Tables) -> DataFrame:
 
 
 def social_matches(tables: Tables, scorer: matching.Scorer | None = None) -> DataFrame:
-    """Social criteria with the taxonomy entry they match.
-
-    With a scorer: its answers to the prompts, read and given a status. Without: the entry
-    that shares most words.
-    """
+    """Social criteria with the taxonomy entry they match; see ``matched``."""
     if scorer is not None:
-        asked = social_prompts(tables).select("documentId", "prompt")
-        answered = matching.score_distinct(asked, "prompt", scorer).drop("prompt")
-        return matching.read_responses(answered, "response")
+        return matched(social_prompts(tables), scorer)
     parts = ["noticeAwardCriteriaName", "noticeAwardCriteriaDescription", "algorithmDescription"]
-    content = F.concat_ws(" ", *parts).alias("content")
-    criteria_texts = tables.read("social_criteria").select("documentId", content)
-    taxonomy = social_taxonomy(tables.spark)
-    return matching.best_match(criteria_texts, "documentId", "content", taxonomy, "title", "definition")
+    rows = tables.read("social_criteria").withColumn("content", F.concat_ws(" ", *parts))
+    return matched(rows, None, "content", social_taxonomy(tables.spark), "title", "definition")
+
+
+def month_report(tables: Tables, pages: str, day: str = "publicationDate", cap: int = V.RESULT_CAP) -> DataFrame:
+    """The fixed months, with the notices landed for each and the total that the pages state."""
+    months = dates.windows(tables.spark, V.FIRST_MONTH, V.LAST_MONTH)
+    return reports.month_report(months, files.read_list_pages(tables.spark, pages), day, cap)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import pandas as pd
@@ -181,13 +182,19 @@ def dedupe_keep_first(spark, folder):
 
 @query
 def landed_pages(spark, folder):
-    """Result pages that hold the same notice twice: written, read, deduplicated."""
+    """The same notices on pages 2 and 10, and twice, line after line, in one file of page 2: the first line stays."""
     path = scratch_dir(spark, "pages")
     listed = standins.notices(spark, folder)
     item = F.struct(*listed.columns)
-    again = item.withField("contractTitle", F.concat("contractTitle", F.lit(" (again)")))
-    listed.select(F.lit(2).alias("total"), F.array(item, again).alias("items")).write.json(path, compression="snappy")
-    pages = files.read_list_pages(spark, path)
+
+    def page(number, *titles):
+        lines = F.array(*[F.array(item.withField("contractTitle", F.concat("contractTitle", F.lit(t)))) for t in titles])
+        pages = listed.select(F.explode(lines).alias("items")).select(F.lit(2).alias("total"), "items")
+        pages.write.json(f"{path}/page_{number}", compression="snappy")
+
+    page(10, " (page 10)")
+    page(2, "", " (again)")
+    pages = files.read_list_pages(spark, f"{path}/*")
     return notices.dedupe_list(pages).select(
         "cNoticeId", "contractTitle", "total", F.col("sysProcedureState.id").alias("state_id")
     )
@@ -264,10 +271,9 @@ def type_date_filter(spark, folder):
 
 @query
 def newest_first(spark, folder):
-    """Date and value descending, as the source delivers notices; rank is within the day."""
-    listed = standins.notices(spark, folder)
-    first = ranking.first_n(listed, ["publicationDate"], [*notices.newest_first(), F.col("cNoticeId")], 2)
-    return first.select("publicationDate", "cNoticeId", "estimatedValueRon")
+    """The whole list by date and value descending, as the source delivers notices; the id decides between equals."""
+    listed = standins.notices(spark, folder).select("publicationDate", "cNoticeId", "estimatedValueRon")
+    return listed.orderBy(*notices.newest_first(), "cNoticeId")
 
 
 @query
@@ -289,9 +295,9 @@ def notice_url(spark, folder):
 
 @query
 def union_pages(spark, folder):
+    """Two result pages that overlap: all orders, and those that are awarded once more."""
     listed = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
-    first, second, third = (listed.where(F.col("o_orderstatus") == s) for s in "FOP")
-    return first.unionByName(second).unionByName(third).unionByName(first)
+    return listed.unionByName(listed.where("o_orderstatus = 'F'"))
 
 
 @query
@@ -486,6 +492,21 @@ def month_completeness(spark, folder):
     return reports.completeness(months, seen, "month", cap=190).select("start_text", "end_text", "n", "status")
 
 
+@query
+def month_report(spark, folder):
+    """Orders, 27 years later, as landed pages of their months; every other month states one notice more than landed."""
+    path = scratch_dir(spark, "month-pages")
+    later = F.add_months(F.to_date("publicationDate"), 27 * 12)
+    listed = standins.notices(spark, folder).withColumn("publicationDate", later.cast("string"))
+    month = F.trunc(F.to_date("publicationDate"), "MM")
+    item = F.struct(*listed.columns)
+    pages = listed.select(month.alias("month"), item.alias("item")).groupBy("month").agg(F.collect_list("item").alias("items"))
+    pages = pages.select((F.size("items") + F.month("month") % 2).alias("total"), "items")
+    pages.write.json(path, compression="snappy")
+    report = flows.month_report(Tables(spark, root=path), path, cap=200)
+    return report.select("start_text", "end_text", "n", "total", "status")
+
+
 @query
 def saturated_months(spark, folder):
     seen = table(spark, folder, "orders").select(F.date_format("o_orderdate", "yyyy-MM").alias("month"))
@@ -598,20 +619,24 @@ EVENT = StructType(
 
 @query
 def incremental_load(spark, folder):
-    """Two overlapping drops, loaded by three runs; the last finds nothing new."""
+    """Two landing folders with a checkpoint each, loaded into one target in turn; the last run finds nothing new."""
     base = scratch_dir(spark, "incremental")
-    landing, target, checkpoint = f"{base}/landing", f"{base}/target", f"{base}/checkpoint"
-    events = table(spark, folder, "events")
-    rows = events.select(*EVENT.names)
-
-    def run():
-        incremental.load_new(spark, landing, target, checkpoint, EVENT, "event_id")
-
-    rows.where(F.col("event_type") != "click").write.mode("append").json(landing, compression="snappy")
-    run()
-    rows.write.mode("append").json(landing, compression="snappy")
-    run()
-    run()
+    target = f"{base}/target"
+    rows = table(spark, folder, "events").select(*EVENT.names)
+
+    def run(name):
+        incremental.load_new(spark, f"{base}/{name}", target, f"{base}/{name}-checkpoint", EVENT, "event_id")
+
+    def land(name, some):
+        some.write.mode("append").json(f"{base}/{name}", compression="snappy")
+
+    land("first", rows.where(F.col("event_type") != "click"))
+    run("first")
+    land("second", rows.where("event_id % 3 = 0"))
+    run("second")
+    land("first", rows)
+    run("first")
+    run("second")
     return incremental.read_target(spark, target, EVENT)
 
 
@@ -650,16 +675,20 @@ def prompt_text(spark, folder):
 
 @query
 def response_parse(spark, folder):
-    """Responses that are plain, fenced, short of a key, with a key too many, or no JSON."""
+    """Responses that are plain or fenced, short of a key or with one too many, of wrong types, or not one JSON value."""
     doc = F.col("doc_id")
     match, original, english = V.RESPONSE_KEYS
     fields = [F.col("source").alias(match), F.col("text").alias(original), F.col("lang").alias(english)]
     full = json_text.to_text(F.struct(*fields))
     body = (
-        F.when(doc % 5 == 0, full)
-        .when(doc % 5 == 1, F.concat(F.lit("```json\n"), full, F.lit("\n```")))
-        .when(doc % 5 == 2, json_text.to_text(F.struct(*fields[:2])))
-        .when(doc % 5 == 3, json_text.to_text(F.struct(*fields, doc.alias("confidence"))))
+        F.when(doc % 9 == 0, full)
+        .when(doc % 9 == 1, F.concat(F.lit("```json\n"), full, F.lit("\n```")))
+        .when(doc % 9 == 2, json_text.to_text(F.struct(*fields[:2])))
+        .when(doc % 9 == 3, json_text.to_text(F.struct(*fields, doc.alias("confidence"))))
+        .when(doc % 9 == 5, json_text.to_text(F.struct(*fields[:2], F.lit(None).cast("string").alias(english))))
+        .when(doc % 9 == 6, json_text.to_text(F.struct(doc.alias(match), *fields[1:])))
+        .when(doc % 9 == 7, F.concat(full, F.lit(" as asked")))
+        .when(doc % 9 == 8, F.concat(full, full))
         .otherwise(F.concat(F.lit("No match: "), F.col("text")))
     )
     read = matching.read_responses(table(spark, folder, "documents").select("doc_id", body.alias("response")), "response")
@@ -710,6 +739,25 @@ def scorer_distinct(spark, folder):
     return matching.score_distinct(rows, "event_type", upper)
 
 
+@query
+def energy_matches(spark, folder):
+    """Landed tables and a landed model document: categories, criteria, and the model criterion of each green-energy one."""
+    base = scratch_dir(spark, "energy")
+    tables = Tables(spark, root=f"{base}/tables")
+    tables.overwrite(standins.notices(spark, folder), "notice_list")
+    tables.overwrite(standins.details(spark, folder), "notice_detail")
+    flows.category_tables(tables, "infra", mode="distinct_category")
+    subjects = [{"product_group_id": 11}]
+    model = {
+        "a": {"id": 1, "text": "Points of energy", "product_group_subjects": subjects},
+        "b": {"id": 2, "text": "Points: 7, solar energy", "product_group_subjects": subjects},
+        "c": {"id": 3, "text": "points", "product_group_subjects": [{"product_group_id": 3}]},
+    }
+    spark.createDataFrame([(json.dumps({"criteria": model}),)], "value string").write.text(f"{base}/model")
+    found = flows.energy_matches(tables, f"{base}/model")
+    return found.select("documentId", "noticeAwardCriteriaID", "status", "match", "overlap", "jaccard")
+
+
 @query
 def keyword_filter(spark, folder):
     documents = table(spark, folder, "documents")

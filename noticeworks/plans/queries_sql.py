@@ -84,7 +84,7 @@ listed AS (
   FROM notices JOIN {pairs(flows.MAPPINGS[name])} p ON starts_with(cpvCodeAndName, prefix))"""
 
 
-def overlap(items: str, key: str, content: str) -> str:
+def overlap(items: str, key: str, content: str, threshold: int = 1) -> str:
     """Shared distinct words of documents and a taxonomy, the best entry per document."""
     words = "list_filter(list_distinct(regexp_split_to_array(lower({0}), '[^\\p{{L}}\\p{{N}}]+')), lambda w: w <> '')"
     left, right = words.format("text"), words.format(content)
@@ -99,6 +99,7 @@ shared AS (
 best AS (
   SELECT doc_id, {key}, overlap, CAST(overlap AS DOUBLE) / (n + m - overlap) AS jaccard
   FROM shared
+  WHERE overlap >= {threshold}
   QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY overlap DESC, {key}) = 1)"""
 
 
@@ -207,8 +208,7 @@ SELECT o_orderkey, o_orderstatus FROM orders
 WHERE o_orderstatus IN ('F', 'P') AND o_orderdate >= DATE '1996-01-01' AND o_orderdate < DATE '1997-01-01'""",
     "newest_first": f"""
 WITH {NOTICES}
-SELECT day AS publicationDate, cNoticeId, o_totalprice AS estimatedValueRon FROM notices
-QUALIFY row_number() OVER (PARTITION BY day ORDER BY o_totalprice DESC, cNoticeId) <= 2""",
+SELECT day AS publicationDate, cNoticeId, o_totalprice AS estimatedValueRon FROM notices""",
     "nested_field": """
 SELECT o_orderkey, o_orderstatus AS state_text, CASE WHEN o_orderkey % 10 <> 0 THEN o_totalprice END AS state_value
 FROM orders""",
@@ -300,13 +300,30 @@ FROM range(10) AS b(bin) LEFT JOIN (
 SELECT strftime(day, '%Y-%m-%d') || 'T00:00:00.000Z' AS start_text, strftime(day, '%Y-%m-%d') || 'T23:59:59.999Z' AS end_text,
   coalesce(n, 0) AS n, CASE WHEN n IS NULL THEN 'empty' WHEN n >= 340 THEN 'saturated' ELSE 'ok' END AS status
 FROM (SELECT unnest(generate_series(DATE '2024-01-01', DATE '2024-02-05', INTERVAL 1 DAY)) AS day)
-LEFT JOIN (SELECT date_trunc('day', ts) AS day, count(*) AS n FROM events GROUP BY 1) USING (day)""",
+LEFT JOIN (SELECT date_trunc('day', ts) AS day, count(*) AS n FROM events GROUP BY 1) USING (day)
+UNION ALL SELECT * FROM (SELECT NULL, NULL, count(*) AS n, 'outside' FROM events
+  WHERE (ts >= DATE '2024-01-01' AND ts < DATE '2024-02-06') IS NOT TRUE) WHERE n > 0""",
     "month_completeness": """
 SELECT strftime(month, '%Y-%m-%d') || 'T00:00:00.000Z' AS start_text,
   strftime(last_day(month), '%Y-%m-%d') || 'T23:59:59.999Z' AS end_text,
   coalesce(n, 0) AS n, CASE WHEN n IS NULL THEN 'empty' WHEN n >= 190 THEN 'saturated' ELSE 'ok' END AS status
 FROM (SELECT unnest(generate_series(DATE '1994-11-01', DATE '2001-10-01', INTERVAL 1 MONTH)) AS month)
-LEFT JOIN (SELECT date_trunc('month', o_orderdate) AS month, count(*) AS n FROM orders GROUP BY 1) USING (month)""",
+LEFT JOIN (SELECT date_trunc('month', o_orderdate) AS month, count(*) AS n FROM orders GROUP BY 1) USING (month)
+UNION ALL SELECT * FROM (SELECT NULL, NULL, count(*) AS n, 'outside' FROM orders
+  WHERE (o_orderdate >= DATE '1994-11-01' AND o_orderdate < DATE '2001-11-01') IS NOT TRUE) WHERE n > 0""",
+    "month_report": """
+WITH shifted AS (SELECT o_orderkey, o_orderdate + INTERVAL 27 YEAR AS day FROM orders),
+months AS (SELECT unnest(generate_series(DATE '2022-01-01', DATE '2026-12-01', INTERVAL 1 MONTH)) AS month),
+counts AS (SELECT date_trunc('month', day) AS month, count(*) AS n FROM shifted GROUP BY 1),
+report AS (
+  SELECT month, coalesce(n, 0) AS n, CASE WHEN n IS NOT NULL THEN n + month(month) % 2 END AS total
+  FROM months LEFT JOIN counts USING (month))
+SELECT strftime(month, '%Y-%m-%d') || 'T00:00:00.000Z' AS start_text,
+  strftime(last_day(month), '%Y-%m-%d') || 'T23:59:59.999Z' AS end_text, n, total,
+  CASE WHEN total >= 200 THEN 'saturated' WHEN n = 0 THEN 'empty' WHEN n < total THEN 'missing' ELSE 'ok' END AS status
+FROM report
+UNION ALL SELECT * FROM (SELECT NULL, NULL, count(*) AS n, NULL, 'outside' FROM shifted
+  WHERE day < DATE '2022-01-01' OR day >= DATE '2027-01-01') WHERE n > 0""",
     "saturated_months": """
 SELECT strftime(o_orderdate, '%Y-%m') AS month, count(*) AS n FROM orders GROUP BY 1 HAVING count(*) >= 190""",
     "resume_worklist": """
@@ -349,23 +366,39 @@ SELECT doc_id, {quoted(INSTRUCTION)} || chr(10) || 'Model criteria:' || chr(10)
   || chr(10) || 'Contract criterion: ' || CASE WHEN doc_id % 7 <> 0 THEN source ELSE '' END
   || ': ' || text || ', ' || lang AS prompt
 FROM documents""",
-    "response_parse": f"""
-SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN 'ok' WHEN 1 THEN 'ok' WHEN 2 THEN 'missing_key' WHEN 3 THEN 'extra_key'
-    ELSE 'not_json' END AS status,
-  CASE WHEN doc_id % 5 < 4 THEN source END AS {V.RESPONSE_KEYS[0]},
-  CASE WHEN doc_id % 5 < 4 THEN text END AS {V.RESPONSE_KEYS[1]},
-  CASE WHEN doc_id % 5 IN (0, 1, 3) THEN lang END AS {V.RESPONSE_KEYS[2]}
+    "response_parse": """
+SELECT doc_id, CASE doc_id % 9 WHEN 0 THEN 'ok' WHEN 1 THEN 'ok' WHEN 2 THEN 'missing_key' WHEN 3 THEN 'extra_key'
+    WHEN 5 THEN 'wrong_type' WHEN 6 THEN 'wrong_type' ELSE 'not_json' END AS status,
+  CASE WHEN doc_id % 9 IN (0, 1, 2, 3, 5) THEN source END AS "match",
+  CASE WHEN doc_id % 9 IN (0, 1, 2, 3, 5, 6) THEN text END AS criteria_from_actual_contract_in_original_romanian,
+  CASE WHEN doc_id % 9 IN (0, 1, 3, 6) THEN lang END AS criteria_from_actual_contract_translated_in_english
 FROM documents""",
     "response_quarantine": "SELECT event_id, props AS response, 'missing_key' AS status FROM events",
     "taxonomy_match": f"""
-WITH {overlap('benchmark', 'item_id', 'text')}
-SELECT doc_id, item_id, overlap, jaccard FROM best WHERE overlap >= 5""",
+WITH {overlap('benchmark', 'item_id', 'text', 5)}
+SELECT doc_id, item_id, overlap, jaccard FROM documents LEFT JOIN best USING (doc_id)""",
     "social_match": f"""
 WITH taxonomy AS (SELECT * FROM (VALUES {', '.join(f'({quoted(k)}, {quoted(v)})' for k, v in V.SOCIAL_TAXONOMY.items())})
   AS v(title, definition)),{overlap('taxonomy', 'title', 'definition')}
-SELECT doc_id, title, overlap, jaccard, '{URL_BASE}' || doc_id AS "URL" FROM best""",
+SELECT doc_id, title, overlap, jaccard, '{URL_BASE}' || doc_id AS "URL" FROM documents LEFT JOIN best USING (doc_id)""",
     "scorer_seam": "SELECT doc_id, length(text) AS score FROM documents",
     "scorer_distinct": "SELECT event_id, event_type, upper(event_type) AS response FROM events",
+    "energy_matches": """
+WITH words AS (SELECT * FROM (VALUES (1, ['points', 'of', 'energy']), (2, ['points', '7', 'solar', 'energy'])) v(id, w)),
+found AS (
+  SELECT o_orderkey, o_custkey, CASE WHEN o_custkey % 3 <> 0 THEN ['points', CAST(o_custkey % 100 AS VARCHAR)] END AS w
+  FROM (SELECT DISTINCT o_orderkey, o_custkey FROM orders
+    WHERE o_orderkey % 101 <> 0 AND o_orderkey % 103 <> 0 AND (o_orderstatus <> 'P' OR o_custkey % 5 <> 0)
+      AND o_orderkey % 4 >= 1 AND o_orderkey % 97 <> 0
+      AND starts_with(CASE WHEN o_custkey % 4 = 0
+        THEN ['77314000', '45112710', '45233290', '15000000', '33100000', '39100000', '09300000', '65000000'][o_orderkey % 8 + 1]
+        ELSE lpad(CAST((o_orderkey * 7919 + o_custkey * 104729) % 100000000 AS VARCHAR), 8, '0') END, '09')))
+SELECT CAST(o_orderkey AS VARCHAR) AS documentId, o_orderkey * 10 + 1 AS noticeAwardCriteriaID,
+  CASE WHEN w IS NULL THEN 'no_match' ELSE 'ok' END AS status,
+  CASE WHEN w IS NULL THEN NULL WHEN w[2] = '7' THEN '2' ELSE '1' END AS "match",
+  CASE WHEN w IS NULL THEN NULL WHEN w[2] = '7' THEN 2 ELSE 1 END::BIGINT AS overlap,
+  CASE WHEN w IS NULL THEN NULL WHEN w[2] = '7' THEN 0.5 ELSE 0.25 END::DOUBLE AS jaccard
+FROM found""",
     "keyword_filter": """
 SELECT doc_id, lang FROM documents WHERE contains(text, 'the') AND contains(text, 'and') AND contains(text, 'ing')""",
 }

@@ -28,7 +28,7 @@ def get_session(app_name: str = "noticeworks", **settings: str) -> SparkSession:
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder every executor can reach, below ``spark.checkpoint.dir``.
 
-    Only a local-mode session without that setting (tests) gets a machine-local
+    Only a session on one machine (local mode) without that setting, as in tests, gets a local
     folder; on a cluster a missing setting is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -11,9 +11,9 @@ from noticeworks.functions.json_text import parse
 from noticeworks.sources.tables import small_table
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType, multi_line: bool = True) -> DataFrame:
-    """CSV with a header. Quoted line breaks need whole files per task; ``multi_line=False``
-    lets large files without them be split."""
+def read_csv(spark: SparkSession, path: str, schema: StructType, multi_line: bool = False) -> DataFrame:
+    """CSV with a header. Large files are split; ``multi_line=True`` reads whole files per task,
+    which quoted line breaks need."""
     return spark.read.csv(path, schema=schema, header=True, escape='"', multiLine=multi_line)
 
 
@@ -73,14 +73,21 @@ def read_attachments(spark: SparkSession, root: str, with_content: bool = False)
     return files.select(*columns, *(["content"] if with_content else []))
 
 
+def natural(path: Column) -> Column:
+    """A path in which numbers sort by value: ``page_2`` before ``page_10``."""
+    return F.regexp_replace(F.regexp_replace(path, r"(\d+)", "0" * 20 + "$1"), r"0*(\d{20})(?!\d)", "$1")
+
+
 def read_list_pages(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """Notices of landed result pages, with their arrival order (file, position)."""
+    """Notices of landed result pages, with their arrival order.
+
+    ``_page`` is the path with numbers by value, ``_line`` the place of the page within its
+    file (start of the split, then reading order), ``_pos`` that of the notice within the page.
+    """
     pages = spark.read.schema(schemas.LIST_PAGE).json(path, multiLine=multi_line)
+    line = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
     return (
-        pages.select(
-            F.col("_metadata.file_path").alias("_page"),
-            "total",
-            F.posexplode("items").alias("_pos", "_item"),
-        )
-        .select("_page", "_pos", "total", "_item.*")
+        pages.select(natural(F.col("_metadata.file_path")).alias("_page"), line.alias("_line"), "total", "items")
+        .select("_page", "_line", "total", F.posexplode("items").alias("_pos", "_item"))
+        .select("_page", "_line", "_pos", "total", "_item.*")
     )

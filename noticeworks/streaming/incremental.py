@@ -2,24 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from noticeworks.functions.json_text import field, malformed
 from noticeworks.operators.joins import rows_not_in
 from noticeworks.operators.ranking import keep_first
 
-BATCH = "_batch"
+LOAD, BUCKET = "_load", "_bucket"
+#: Folders by a hash of the id in each load.
+BUCKETS = 64
 
 
 def target_schema(schema: StructType) -> StructType:
-    return StructType(schema.fields + [StructField(BATCH, LongType(), True)])
+    return StructType(schema.fields + [StructField(LOAD, StringType(), True), StructField(BUCKET, IntegerType(), True)])
 
 
 def read_target(spark: SparkSession, target: str, schema: StructType) -> DataFrame:
     """The loaded rows."""
-    return spark.read.schema(target_schema(schema)).parquet(target).drop(BATCH)
+    return spark.read.schema(target_schema(schema)).parquet(target).drop(LOAD, BUCKET)
+
+
+def bucket_of(key: str) -> Column:
+    return F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(BUCKETS)).cast("int")
+
+
+def load_name(spark: SparkSession, checkpoint: str, batch_id: int) -> str:
+    """A name of its own for each batch of each checkpoint: the id that Spark keeps in the checkpoint, and the number."""
+    identity = field(F.col("value"), "id")
+    ident = spark.read.text(f"{checkpoint}/metadata").select(identity).first()[0]
+    return f"{ident}-{batch_id}"
 
 
 def unreadable(spark: SparkSession, landing: str, key: str) -> DataFrame:
@@ -47,24 +60,29 @@ def load_new(
     Of rows with the same id the one in the oldest file stays. ``files_per_batch`` bounds a
     batch, so that a failure repeats no more than that.
 
-    Every micro-batch owns one folder of the target and overwrites it, so a batch that
-    is run again after a failure replaces its own rows. Ids are compared with the other
-    batches' rows; only the id column of the target is read. One writer at a time; should
-    the checkpoint be lost, loading all files again gives the same ids.
+    Every micro-batch owns one folder of the target, named by its checkpoint and number, and
+    overwrites it, so a batch that is run again after a failure replaces its own rows and no
+    other's: several landing folders, each with a checkpoint, may share a target, and after a
+    lost checkpoint the loaded rows stay. Within it rows lie by a hash of their id, and only
+    the folders of hashes that the batch holds are read, and of them the id column. One writer
+    at a time.
     """
     arrival = ["_file.file_modification_time", "_file.file_path"]
     order = [F.col(c) for c in [*arrival, *schema.names] if c != key]
 
     def add(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
+        own = load_name(session, checkpoint, batch_id)
         rows = keep_first(batch.where(F.col(key).isNotNull()), [key], order).drop("_file")
+        rows = rows.withColumn(BUCKET, bucket_of(key))
+        touched = [r[0] for r in rows.select(BUCKET).distinct().collect()]  # at most BUCKETS numbers
         loaded = session.read.schema(target_schema(schema)).parquet(target)
-        others = loaded.where(F.col(BATCH) != batch_id).select(key)
+        others = loaded.where(F.col(BUCKET).isin(touched) & (F.col(LOAD) != own)).select(key)
         rows = rows_not_in(rows, others, key, key)
-        rows.write.mode("overwrite").parquet(f"{target}/{BATCH}={batch_id}")
+        rows.write.mode("overwrite").partitionBy(BUCKET).parquet(f"{target}/{LOAD}={own}")
 
     # An empty folder, so that the target can be read before the first batch.
-    spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{target}/{BATCH}=-1")
+    spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{target}/{LOAD}=none/{BUCKET}=0")
     source = spark.readStream.format(fmt).schema(schema)
     if files_per_batch is not None:
         source = source.option("maxFilesPerTrigger", files_per_batch)

@@ -109,7 +109,9 @@ def test_flow(spark, tables, tmp_path):
     model.write_text(json.dumps({"criteria": {"a": entry}}))
     [prompt] = flows.energy_prompts(tables, str(model)).collect()
     assert prompt["documentId"] == "3" and "11619: solar" in prompt["prompt"]
-    assert prompt["prompt"].endswith(f"{V.GREEN_ENERGY_NAME}: d, solar supply")
+    assert prompt["prompt"].endswith("Contract criterion: solar supply")
+    [energy] = flows.energy_matches(tables, str(model)).collect()
+    assert (energy["documentId"], energy["match"], energy["status"], energy["overlap"]) == ("3", "11619", "ok", 1)
     assert flows.social_prompts(tables).count() == 5
 
     def answer(batches):
@@ -119,8 +121,11 @@ def test_flow(spark, tables, tmp_path):
     answers = flows.social_matches(tables, answer).collect()
     assert len(answers) == 5 and {(r["status"], r["match"]) for r in answers} == {("ok", "A")}
     by_words = flows.social_matches(tables)
-    assert by_words.columns == ["documentId", "title", "overlap", "jaccard"]
-    assert {r["title"][:2] for r in by_words.collect()} <= {"A.", "B.", "C.", "D.", "E "}
+    assert by_words.columns == flows.social_matches(tables, answer).columns
+    assert {(r["match"] or "none")[:2] for r in by_words.collect()} <= {"A.", "B.", "C.", "D.", "E ", "no"}
+    assert len({r["noticeAwardCriteriaID"] for r in answers}) == len({r["noticeAwardCriteriaID"] for r in by_words.collect()})
+    [scored] = flows.energy_matches(tables, str(model), answer).collect()
+    assert scored["status"] == "ok" and scored["match"] == "A" and scored["noticeAwardCriteriaID"] == energy["noticeAwardCriteriaID"]
 
     registry = spark.createDataFrame([("7",)], schemas.REGISTRY)
     flows.bidders_silver(tables, registry)

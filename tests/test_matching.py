@@ -39,10 +39,17 @@ def test_prompts(spark):
     assert literal.first()["prompt"] == made
 
 
-def test_taxonomy_too_large_for_a_prompt(spark, monkeypatch):
+def test_taxonomy_text_has_no_bound(spark, monkeypatch):
     monkeypatch.setattr(matching, "MAX_ENTRIES", 1)
-    with pytest.raises(ValueError):
-        matching.taxonomy_text(small_table(spark, key=["B", "A"], definition=["x", "y"]), "key", "definition")
+    taxonomy = small_table(spark, key=["B", "A"], definition=["x", "y"])
+    assert spark.range(1).select(matching.taxonomy_text(taxonomy, "key", "definition")).first()[0] == "A: y\nB: x"
+
+
+def test_a_repeated_id_has_one_text_whatever_the_order(spark):
+    rows = [(1, 0, "b", [11]), (1, 0, "c", [11]), (1, 0, "a", [12])]
+    for some in (rows, rows[::-1]):
+        df = spark.createDataFrame(some, "id long, pos int, text string, groups array<int>")
+        assert matching.model_criteria_of_groups(df, [11, 12]).first()["text"] == "c"
 
 
 def test_responses(spark):
@@ -55,74 +62,89 @@ def test_responses(spark):
         "text": "no match",
         "list": "[1]",
         "null": None,
+        "trailing": json.dumps(full) + " as asked",
+        "twice": json.dumps(full) + json.dumps(full),
+        "listed": json.dumps(full) + "," + json.dumps(full),
+        "closed": json.dumps(full) + "],[" + json.dumps(full),
+        "null match": json.dumps({**full, "match": None}),
+        "number": json.dumps({**full, "match": 3}),
+        "object": json.dumps({**full, "match": {"id": 3}}),
     }
     rows = spark.createDataFrame(list(cases.items()), "id string, response string")
     read = matching.read_responses(rows, "response")
     status = {r["id"]: r["status"] for r in read.collect()}
     assert status == {
         "ok": "ok", "fenced": "ok", "missing": "missing_key", "extra": "extra_key",
-        "text": "not_json", "list": "not_json", "null": "not_json",
+        "text": "not_json", "list": "not_json", "null": "not_json", "trailing": "not_json", "twice": "not_json",
+        "listed": "not_json", "closed": "not_json", "null match": "wrong_type", "number": "wrong_type", "object": "wrong_type",
     }
     good = matching.accepted(read).collect()
     assert {r["id"] for r in good} == {"ok", "fenced"} and {r["match"] for r in good} == {"11604"}
     assert matching.quarantined(read).columns == ["id", "response", "status"]
-    assert matching.quarantined(read).count() == 5
+    assert matching.quarantined(read).count() == 12
 
 
 def best_by_hand(rows, entries, threshold):
     import re
 
     def words(s):
-        return {w for w in re.split(r"[^\w]+", s.lower()) if w}
+        return {w for w in re.split(r"[^\w]+", (s or "").lower()) if w}
 
     out = []
     for key, content in rows:
-        scored = [(len(words(content) & words(c)), k) for k, c in entries]
-        top = max(n for n, _ in scored)
-        if top >= threshold:
-            out.append((key, min(k for n, k in scored if n == top), top))
-    return sorted(out)
-
-
-ROWS = [(1, "green energy supply"), (1, "green energy supply"), (1, "safety at work"), (2, "nothing shared"), (3, "work work energy"), (4, "")]
-ENTRIES = [(20, "energy supply green"), (10, "work safety"), (30, "energy at work")]
-
-
-FORMS = {"in row": {}, "broadcast": {"IN_ROW_ENTRIES": 0}, "shuffled": {"MAX_BYTES": 1}}
-
-
-@pytest.fixture(params=list(FORMS))
-def form(request, monkeypatch):
-    for name, value in FORMS[request.param].items():
-        monkeypatch.setattr(matching, name, value)
-    return request.param
+        own = words(content)
+        scored = [
+            (-len(own & words(c)), k is None, k or 0, len(words(c)), len(own & words(c)) / len(own | words(c)))
+            for k, c in entries
+            if own & words(c)
+        ]
+        best = min(scored, default=(0, True, 0, 0, 0))
+        good = -best[0] >= max(1, threshold)
+        out.append((key, None if best[1] else best[2], -best[0], round(best[4], 9)) if good else (key, None, None, None))
+    return sorted(out, key=repr)
+
+
+ROWS = [
+    (1, "green energy supply"), (1, "green energy supply"), (1, "safety at work"), (2, "nothing shared"),
+    (3, "work work energy"), (4, ""), (None, "green energy"), (5, None),
+]
+ENTRIES = [
+    (20, "energy supply green"), (10, "work safety"), (30, "energy at work"), (10, "work safety at home"), (None, "energy"),
+    (None, "green energy supply shared"), (40, ""), (10, "work safety"),
+]
+
+
+@pytest.mark.parametrize("form", ["in row", "shuffled"])
+@pytest.mark.parametrize("threshold", [0, 1, 2, 3])
+def test_best_match_is_one_result_in_both_forms(spark, monkeypatch, form, threshold):
+    if form == "shuffled":
+        monkeypatch.setattr(matching, "MAX_BYTES", 1)
+    criteria = spark.createDataFrame(ROWS, "id int, content string")
+    taxonomy = spark.createDataFrame(ENTRIES, "entry int, definition string")
+    found = matching.best_match(criteria, "id", "content", taxonomy, "entry", "definition", threshold)
+    rows = [(r["id"], r["entry"], r["overlap"], r["jaccard"] and round(r["jaccard"], 9)) for r in found.collect()]
+    assert sorted(rows, key=repr) == best_by_hand(ROWS, ENTRIES, threshold)
+    assert ("ArrowEvalPython" in found._jdf.queryExecution().optimizedPlan().toString()) == (form == "in row")
 
 
-@pytest.mark.parametrize("threshold", [1, 2])
-def test_best_match(spark, form, threshold):
-    criteria = spark.createDataFrame([*ROWS, (None, "green energy"), (5, None)], "id int, content string")
-    taxonomy = small_table(spark, entry=[k for k, _ in ENTRIES], definition=[c for _, c in ENTRIES])
-    found = matching.best_match(criteria, "id", "content", taxonomy, "entry", "definition", threshold)
-    assert sorted((r["id"], r["entry"], r["overlap"]) for r in found.collect()) == best_by_hand(ROWS, ENTRIES, threshold)
-    assert all(0 < r["jaccard"] <= 1 for r in found.collect())
-    plan = found._jdf.queryExecution().optimizedPlan().toString()
-    assert ("array_intersect" in plan, "strategy=broadcast" in plan, "strategy=merge" in plan) == tuple(
-        form == f for f in FORMS
-    )
+def test_empty_taxonomy(spark):
+    criteria = spark.createDataFrame(ROWS, "id int, content string")
+    none = spark.createDataFrame([], "entry int, definition string")
+    rows = matching.best_match(criteria, "id", "content", none, "entry", "definition").collect()
+    assert len(rows) == len(ROWS) and all(r["entry"] is None and r["overlap"] is None for r in rows)
 
 
 def test_forms_agree_on_whole_documents(spark, monkeypatch):
     documents = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     items = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
 
-    def run():
-        return sorted(map(tuple, matching.best_match(documents, "doc_id", "text", items, "item_id", "text").collect()))
+    def run(threshold):
+        found = matching.best_match(documents, "doc_id", "text", items, "item_id", "text", threshold)
+        return sorted(map(tuple, found.collect()))
 
-    results = []
-    for name, value in (("IN_ROW_ENTRIES", 1000), ("IN_ROW_ENTRIES", 0), ("MAX_BYTES", 1)):
-        monkeypatch.setattr(matching, name, value)
-        results.append(run())
-    assert results[0] == results[1] == results[2] and len(results[0]) > 100
+    in_row = [run(t) for t in (1, 5)]
+    monkeypatch.setattr(matching, "MAX_BYTES", 1)
+    assert [run(t) for t in (1, 5)] == in_row and len(in_row[0]) == documents.count()
 
 
 def test_scorer_and_url(spark):

@@ -43,7 +43,7 @@ def test_csv_keeps_quotes_breaks_and_nulls(spark, tmp_path):
     rows = [("1", 'say "x", then'), ("2", "two\nlines"), ("3", None)]
     schema = StructType([StructField("id", StringType()), StructField("t", StringType())])
     files.write_csv(spark.createDataFrame(rows, schema), str(tmp_path / "csv"))
-    assert sorted(map(tuple, files.read_csv(spark, str(tmp_path / "csv"), schema).collect())) == rows
+    assert sorted(map(tuple, files.read_csv(spark, str(tmp_path / "csv"), schema, multi_line=True).collect())) == rows
 
 
 def test_list_pages(spark, tmp_path):
@@ -90,3 +90,19 @@ def test_detail_join_drops_colliding_columns(spark):
     assert out.columns == ["id", "title", "n"]
     assert sorted(map(tuple, out.collect())) == [(1, "mine", 5), (1, "mine", 6)]
     assert out.select(F.col("title")).distinct().count() == 1
+
+
+def test_pages_arrive_by_number_line_and_place(spark, tmp_path):
+    def item(ident, title):
+        return {"cNoticeId": ident, "contractTitle": title}
+
+    lines = {
+        "page_10.json": [[item(1, "ten")], [item(3, "ten")]],
+        "page_2.json": [[item(2, "two"), item(1, "two")], [item(1, "later line"), item(2, "later line")]],
+    }
+    for name, pages in lines.items():
+        (tmp_path / name).write_text("\n".join(json.dumps({"total": 9, "items": p}) for p in pages))
+    landed = files.read_list_pages(spark, str(tmp_path))
+    for rows in (landed, landed.orderBy(F.rand(3)), landed.repartition(7, "contractTitle")):
+        kept = {r["cNoticeId"]: r["contractTitle"] for r in notices.dedupe_list(rows).collect()}
+        assert kept == {1: "two", 2: "two", 3: "ten"}

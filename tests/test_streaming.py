@@ -37,6 +37,42 @@ def test_each_file_and_each_id_once(spark, tmp_path):
     assert [ident for ident, _ in run()] == ["1", "2", "3"]
 
 
+def load(spark, landing, target, checkpoint):
+    incremental.load_new(spark, str(landing), str(target), str(checkpoint), schemas.NOTICE_DETAIL, "documentId")
+    rows = incremental.read_target(spark, str(target), schemas.NOTICE_DETAIL).collect()
+    return sorted((r["documentId"], r["section2"]) for r in rows)
+
+
+def test_two_landing_folders_share_a_target(spark, tmp_path):
+    target = tmp_path / "target"
+    drop(tmp_path / "jan", "a.json", ["jan0", "jan1", "both"], "jan")
+    drop(tmp_path / "feb", "a.json", ["feb0", "both"], "feb")
+    load(spark, tmp_path / "jan", target, tmp_path / "c1")
+    expected = [("both", "jan"), ("feb0", "feb"), ("jan0", "jan"), ("jan1", "jan")]
+    assert load(spark, tmp_path / "feb", target, tmp_path / "c2") == expected
+    drop(tmp_path / "jan", "b.json", ["jan2"], "jan")
+    assert load(spark, tmp_path / "jan", target, tmp_path / "c1") == [*expected, ("jan2", "jan")]
+
+
+def test_a_lost_checkpoint_keeps_rows_of_files_that_are_gone(spark, tmp_path):
+    landing, target = tmp_path / "landing", tmp_path / "target"
+    drop(landing, "a.json", ["1", "2"])
+    load(spark, landing, target, tmp_path / "c1")
+    (landing / "a.json").unlink()
+    drop(landing, "b.json", ["2", "3"], "y")
+    assert load(spark, landing, target, tmp_path / "c2") == [("1", "x"), ("2", "x"), ("3", "y")]
+
+
+def test_only_touched_buckets_are_read(spark, tmp_path):
+    target = tmp_path / "target"
+    drop(tmp_path / "landing", "a.json", [str(k) for k in range(500)])
+    load(spark, tmp_path / "landing", target, tmp_path / "c")
+    loaded = spark.read.schema(incremental.target_schema(schemas.NOTICE_DETAIL)).parquet(str(target))
+    assert loaded.select("_bucket").distinct().count() > 32
+    kept = loaded.where(loaded["_bucket"].isin([3])).select("documentId")
+    assert "PartitionFilters: [isnotnull(_bucket" in kept._jdf.queryExecution().executedPlan().toString()
+
+
 def test_batches_of_single_files(spark, tmp_path):
     landing = tmp_path / "landing"
     for i, name in enumerate("abc"):
@@ -45,7 +81,7 @@ def test_batches_of_single_files(spark, tmp_path):
         spark, str(landing), str(tmp_path / "t"), str(tmp_path / "c"), schemas.NOTICE_DETAIL, "documentId", files_per_batch=1
     )
     loaded = spark.read.parquet(str(tmp_path / "t"))
-    assert loaded.select("_batch").distinct().count() == 3
+    assert loaded.where("_load <> 'none'").select("_load").distinct().count() == 3
     assert sorted(r["documentId"] for r in loaded.collect()) == ["0", "1", "2", "shared"]
     assert loaded.where("documentId = 'shared'").first()["section2"] == "a"
 
