@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from noticeworks import fixed_values as V
@@ -28,11 +28,25 @@ def json_column(df: DataFrame, column: str) -> DataFrame:
     )
 
 
+def _lost(item: Column) -> list[Column]:
+    """For each field of a criterion: whether it has a value that its type cannot hold."""
+    fields = schemas.CRITERION.fields
+    return [item[f.name].isNotNull() & item[f.name].try_cast(f.dataType).isNull() for f in fields]
+
+
 def criteria_sections(detail: DataFrame) -> DataFrame:
-    """Why notices give no criteria, and criteria lacking one of the expected keys."""
+    """Why notices give no criteria, criteria lacking one of the expected keys, and values that their type loses.
+
+    ``malformed`` counts texts that are not one JSON value; of those that only go on behind it the criteria are read.
+    """
     section = parse(F.col("section2"), schemas.SECTION2_KEYS)["section22"]
     keys = F.array(*[F.lit(k) for k in V.CRITERION_KEYS])
     incomplete = F.filter("_list", lambda item: F.size(F.array_except(keys, F.map_keys(item))) > 0)
+    lost = F.aggregate(
+        F.transform("_list", lambda item: F.size(F.filter(F.array(*_lost(item)), lambda x: x))),
+        F.lit(0),
+        lambda total, n: total + n,
+    )
     return (
         detail.select("section2", malformed(F.col("section2")).alias("_malformed"), section.alias("_section"))
         .withColumn("_list", F.col("_section.noticeAwardCriteriaList"))
@@ -44,6 +58,7 @@ def criteria_sections(detail: DataFrame) -> DataFrame:
             F.count_if(F.col("_list").isNull()).alias("no_list"),
             F.count_if(F.size("_list") == 0).alias("empty_list"),
             F.coalesce(F.sum(F.size(incomplete)), F.lit(0)).alias("incomplete"),
+            F.coalesce(F.sum(lost), F.lit(0)).alias("mistyped"),
         )
     )
 

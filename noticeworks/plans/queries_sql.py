@@ -40,7 +40,7 @@ notices AS (
 CRITERIA = """
 details AS (
   SELECT CAST(o_orderkey AS VARCHAR) AS documentId, o_orderkey, o_custkey, o_orderpriority, o_orderstatus,
-    o_orderkey % 101 = 0 AS is_malformed,
+    o_orderkey % 101 = 0 OR (o_orderkey % 103 <> 0 AND o_orderkey % 113 = 0) AS is_malformed,
     o_orderkey % 101 <> 0 AND o_orderkey % 103 = 0 AS is_missing,
     o_orderkey % 101 <> 0 AND o_orderkey % 103 <> 0 AND (o_orderstatus <> 'P' OR o_custkey % 5 <> 0) AS has_section
   FROM orders),
@@ -50,8 +50,8 @@ criteria AS (
     CASE WHEN i = 1 THEN 'Energie verde' ELSE 'Garantie' END AS noticeAwardCriteriaName,
     o_orderpriority || ' ' || i AS noticeAwardCriteriaDescription,
     CASE WHEN o_custkey % 3 <> 0 THEN 'points ' || (o_custkey % 100) END AS algorithmDescription,
-    CAST(i AS INTEGER) AS noticeAwardCriteriaOrder, CAST(i * 12.5 AS DOUBLE) AS noticeAwardCriteriaWeight,
-    true AS isElectronicCriteria, CAST(NULL AS BOOLEAN) AS isFrameworkAgreementCriteria
+    CAST(i AS INTEGER) AS noticeAwardCriteriaOrder, CASE WHEN i > 1 OR o_orderkey % 107 <> 0 THEN CAST(i * 12.5 AS DOUBLE) END AS noticeAwardCriteriaWeight,
+    CASE WHEN o_orderkey % 109 <> 0 THEN true END AS isElectronicCriteria, CAST(NULL AS BOOLEAN) AS isFrameworkAgreementCriteria
   FROM (SELECT *, unnest(range(1, o_orderkey % 4 + 1)) AS i FROM details WHERE has_section))"""
 
 FLAGS = """
@@ -335,7 +335,9 @@ SELECT count(*) AS "before", count(DISTINCT l_orderkey || '-' || l_linenumber) A
 WITH {CRITERIA}
 SELECT count(*) AS n, count(*) FILTER (is_missing) AS missing, count(*) FILTER (is_malformed) AS malformed,
   count(*) FILTER (NOT has_section) AS no_section, count(*) FILTER (NOT has_section) AS no_list,
-  count(*) FILTER (has_section AND o_orderkey % 4 = 0) AS empty_list, CAST(0 AS BIGINT) AS incomplete
+  count(*) FILTER (has_section AND o_orderkey % 4 = 0) AS empty_list, 
+  CAST(coalesce(sum(o_orderkey % 4) FILTER (has_section AND o_orderkey % 109 = 0), 0) AS BIGINT) AS incomplete,
+  count(*) FILTER (has_section AND o_orderkey % 107 = 0 AND o_orderkey % 4 > 0) AS mistyped
 FROM details""",
     "audit_versions": """
 SELECT count(*) AS n, CAST(0 AS BIGINT) AS malformed, count(*) FILTER (o_orderkey % 3 = 0) AS no_valid_version FROM orders""",

@@ -85,10 +85,17 @@ def criteria_json(key: Column, n: Column, priority: Column, other: Column, secti
 
 
 def details(spark: SparkSession, folder: str) -> DataFrame:
-    """Orders as detail documents: missing, malformed, null and empty sections occur."""
+    """Orders as detail documents.
+
+    Missing, malformed, null and empty sections occur, and such with a weight that is no number, without a key, or
+    with words behind the JSON value.
+    """
     key, cust = F.col("o_orderkey"), F.col("o_custkey")
     section = (F.col("o_orderstatus") != "P") | (cust % 5 != 0)
     section2 = criteria_json(key, key % 4, F.col("o_orderpriority"), cust, section)
+    section2 = F.when(key % 107 == 0, F.replace(section2, F.lit('Weight":12.5,'), F.lit('Weight":"12,5",'))).otherwise(section2)
+    section2 = F.when(key % 109 == 0, F.replace(section2, F.lit('"isElectronicCriteria":true,'), F.lit(""))).otherwise(section2)
+    section2 = F.when(key % 113 == 0, F.concat(section2, F.lit(" as sent"))).otherwise(section2)
     flags = F.struct(
         F.when(key % 6 != 0, key % 7 == 0).alias("restrictedToShelterdWorkshop"),
         (key % 9 == 0).alias("isReservedContract"),
