@@ -114,7 +114,7 @@ def test_criteria(spark):
     rows = sorted((r["documentId"], r["noticeAwardCriteriaName"], r["noticeAwardCriteriaWeight"]) for r in out.collect())
     assert rows == [("partial", "only name", None), ("two", "n1", 12.5), ("two", "n2", 12.5)]
     counts = audit.criteria_sections(details).first().asDict()
-    assert counts == dict(n=9, missing=1, malformed=1, no_section=4, no_list=6, empty_list=1, incomplete=1)
+    assert counts == dict(n=9, missing=1, malformed=1, no_section=4, no_list=6, empty_list=1, incomplete=1, mistyped=0)
 
 
 def test_criteria_of_category(spark):
@@ -193,3 +193,16 @@ def test_category_list_reads_bad_estimates_as_null(spark):
     )
     out = notices.category_list(rows).orderBy("cNoticeId").collect()
     assert [(r["status"], r["value_estimate"]) for r in out] == [(5, 12.5), (None, None)]
+
+
+def test_values_lost_to_their_type_and_text_behind_the_value_are_counted(spark):
+    def body(weight, order):
+        item = {"noticeID": 1, "noticeAwardCriteriaWeight": weight, "noticeAwardCriteriaOrder": order}
+        return json.dumps({"section22": {"noticeAwardCriteriaList": [item]}})
+
+    texts = [body(12.5, 1), body("12,5", 1), body(None, 1.5), body(3, 2) + " end", body(1, 1) + "{}"]
+    details = spark.createDataFrame([(str(k), t) for k, t in enumerate(texts)], "documentId string, section2 string")
+    counts = audit.criteria_sections(details).first()
+    assert (counts["malformed"], counts["mistyped"]) == (2, 2)
+    rows = {r["documentId"]: (r["noticeAwardCriteriaWeight"], r["noticeAwardCriteriaOrder"]) for r in criteria.explode_criteria(details).collect()}
+    assert rows == {"0": (12.5, 1), "1": (None, 1), "2": (None, None), "3": (3.0, 2), "4": (1.0, 1)}

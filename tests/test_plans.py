@@ -11,7 +11,7 @@ from noticeworks.plans.queries import QUERIES
 from noticeworks.sources import files
 
 FOLDER = "/root/testdata/sf0.001"
-SCORERS = {"scorer_seam", "scorer_distinct", "taxonomy_match", "social_match"}
+SCORERS = {"scorer_seam", "scorer_distinct", "taxonomy_match", "social_match", "energy_matches"}
 
 
 def plan(df, part="executedPlan"):
