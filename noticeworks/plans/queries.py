@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Iterator
 
 import pandas as pd
@@ -586,6 +587,19 @@ def table_roundtrip(spark, folder):
     return tables.read("customer")
 
 
+@query
+def catalog_roundtrip(spark, folder):
+    """The same in catalog tables of a database of its own."""
+    name = f"stock_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{scratch_dir(spark, name)}'")
+    tables = Tables(spark, database=name)
+    customers = table(spark, folder, "customer")
+    tables.overwrite(customers, "customer")
+    tables.append(customers.where("c_nationkey < 10"), "customer")
+    tables.replace(tables.read("customer").where("c_mktsegment <> 'BUILDING'"), "customer")
+    return tables.read("customer")
+
+
 CUSTOMER_CSV = StructType(
     [StructField(c, StringType(), True) for c in ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")]
 )
@@ -739,6 +753,15 @@ def scorer_distinct(spark, folder):
     return matching.score_distinct(rows, "event_type", upper)
 
 
+@query
+def categories_from_file(spark, folder):
+    """The social categories out of a JSON mapping file."""
+    path = scratch_dir(spark, "mapping")
+    spark.createDataFrame([(json.dumps(V.SOCIAL_CATEGORIES),)], "value string").write.text(path)
+    listed = notices.category_list(standins.notices(spark, folder))
+    return categories.categorise(listed, files.read_category_pairs(spark, path), "cpvCodeAndName")
+
+
 @query
 def energy_matches(spark, folder):
     """Landed tables and a landed model document: categories, criteria, and the model criterion of each green-energy one."""

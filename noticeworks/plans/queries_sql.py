@@ -122,6 +122,7 @@ SELECT DISTINCT p_partkey, category FROM part JOIN {pairs(NAME_PREFIXES)} p ON s
 SELECT CAST(o_orderkey AS VARCHAR) AS code, 'nation ' || s_nationkey AS category
 FROM orders JOIN supplier ON starts_with(CAST(o_orderkey AS VARCHAR), CAST(s_suppkey AS VARCHAR))""",
     "categories_social": f"WITH {NOTICES},{listed('social')} SELECT * FROM listed",
+    "categories_from_file": f"WITH {NOTICES},{listed('social')} SELECT * FROM listed",
     "categories_enterprise": f"WITH {NOTICES},{listed('enterprise')} SELECT * FROM listed",
     "categories_infra": f"WITH {NOTICES},{listed('infra')} SELECT * FROM listed",
     "criteria_social": CRITERIA_OF.format(listed("social")),
@@ -355,6 +356,9 @@ SELECT 'source=' || source AS documentId, CAST(sum(strlen(text) + 1) AS BIGINT)
     "table_roundtrip": """
 SELECT * FROM customer WHERE c_mktsegment <> 'BUILDING'
 UNION ALL SELECT * FROM customer WHERE c_mktsegment <> 'BUILDING' AND (c_nationkey < 10 OR c_nationkey >= 20)""",
+    "catalog_roundtrip": """
+SELECT * FROM customer WHERE c_mktsegment <> 'BUILDING'
+UNION ALL SELECT * FROM customer WHERE c_mktsegment <> 'BUILDING' AND c_nationkey < 10""",
     "csv_roundtrip": "SELECT * FROM customer",
     "incremental_load": "SELECT event_id, user_id, event_type, props FROM events",
     "model_criteria_filter": """

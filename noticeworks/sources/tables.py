@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -42,17 +43,34 @@ class Tables:
     def append(self, df: DataFrame, name: str) -> None:
         self.write(df, name, "append")
 
-    def replace(self, df: DataFrame, name: str) -> str:
+    def replace(self, df: DataFrame, name: str) -> None:
         """Overwrite a table with rows derived from it.
 
-        The rows are first written to the shared scratch folder, because a table cannot
-        be overwritten while it is read; that copy's path is returned and stays there
-        should the second write fail.
+        A folder is written anew beside the old one, which then gives way to it by renaming; should that
+        fail, the old one takes its place again. A catalog table, which cannot be overwritten while it is
+        read, is staged in the shared scratch folder; that copy goes once the table is written.
         """
-        staged = scratch_dir(self.spark, f"staged-{name}")
-        df.write.parquet(staged)
-        self.overwrite(self.spark.read.schema(df.schema).parquet(staged), name)
-        return staged
+        if self.root is None:
+            staged = scratch_dir(self.spark, f"staged-{name}")
+            df.write.parquet(staged)
+            self.overwrite(self.spark.read.schema(df.schema).parquet(staged), name)
+            self._path(staged)[0].delete(self._path(staged)[1], True)
+            return
+        mark = uuid.uuid4().hex
+        self.write(df, f".{name}-new-{mark}", "error")
+        fs, new = self._path(f"{self.root}/.{name}-new-{mark}")
+        old, now = (self._path(f"{self.root}/{x}")[1] for x in (f".{name}-old-{mark}", name))
+        if not fs.rename(now, old):
+            raise OSError(f"{name} cannot be moved")
+        if not fs.rename(new, now):
+            fs.rename(old, now)
+            raise OSError(f"{name} cannot be replaced")
+        fs.delete(old, True)
+
+    def _path(self, path: str):
+        """File system and path, as Hadoop objects."""
+        found = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return found.getFileSystem(self.spark._jsc.hadoopConfiguration()), found
 
 
 def small_table(spark: SparkSession, **columns: list) -> DataFrame:
