@@ -38,13 +38,16 @@ _CHUNK = "first_line:int,lines:int,high:bigint,low:bigint,again:boolean"
 
 
 def boundaries(hashes: np.ndarray) -> np.ndarray:
-    """True behind whose line a chunk ends: where the rolling hash of ``WINDOW`` lines is below its neighbours'."""
+    """True behind whose line a chunk ends: where the rolling hash of ``WINDOW`` lines is below its neighbours'.
+
+    Never behind the first line or before the last, so that no line of a copied document stands alone.
+    """
     rolling = np.zeros(len(hashes), np.uint64)
     for back in range(min(WINDOW, len(hashes))):
         rolling[back:] += hashes[: len(hashes) - back] * np.uint64(pow(_FACTOR, back, 2**64))
     rolling = mix(rolling)
     ends = np.zeros(len(hashes), bool)
-    ends[1:-1] = (rolling[1:-1] < rolling[:-2]) & (rolling[1:-1] <= rolling[2:])
+    ends[1:-2] = (rolling[1:-2] < rolling[:-3]) & (rolling[1:-2] <= rolling[2:-1])
     return ends
 
 

@@ -20,8 +20,12 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents without the chunks of lines that an earlier one has; ``n_chars`` follows the text."""
+    """The documents without the chunks of lines that an earlier one has; ``n_chars`` follows the text.
+
+    A document that has no word left goes: all of it stands elsewhere.
+    """
     left = line_dedup.remove_repeated_chunks(docs)
+    left = left.where((F.col("n_removed_lines") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     if "n_chars" in docs.columns:
         left = left.withColumn("n_chars", F.when(F.col("n_removed_lines") > 0, F.length("text")).otherwise(F.col("n_chars")))
     return left.select(*docs.columns)

@@ -65,6 +65,12 @@ def test_odd_rows_and_names(spark):
     assert order((r["doc_id"], r["text"]) for r in out.collect()) == order(plain(ROWS))
 
 
+def test_a_copy_loses_all_its_lines(spark):
+    rows = [(k, "\n".join(lines(k % 9, 2 + k % 9)), "en", "a", 1) for k in range(36)]
+    out = d.remove_repeated_chunks(frame(spark, rows)).collect()
+    assert {r["doc_id"] for r in out if r["text"]} == set(range(9)) and len(out) == 36
+
+
 def test_clean_documents_stay(spark):
     rows = [(k, "\n".join(lines(k, 9)), "en", "a", 1) for k in range(30)]
     out = d.remove_repeated_chunks(frame(spark, rows))
