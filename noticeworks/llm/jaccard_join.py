@@ -25,7 +25,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -34,7 +33,7 @@ from pyspark.sql.window import Window
 
 from noticeworks.llm.components import components
 from noticeworks.llm.mixing import written
-from noticeworks.llm.words import mix, shingles
+from noticeworks.llm.words import mix, shingles, slices
 
 PERCENT = 75
 #: A prefix holds 1/12 of the set more than one shared hash would need.
@@ -118,35 +117,40 @@ def overlap(a: np.ndarray, b: np.ndarray) -> int:
 def classes(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """(doc_id, text_hash, n, sid) of each document, written to the shared folder."""
 
-    def ids_of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for texts in batches:
-            sets = [shingles(x) for x in texts]
-            yield pd.DataFrame({"n": [len(x) for x in sets], "sid": [set_id(x) for x in sets]})
+    def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            sets = [shingles(x) for x in batch["t"].to_pylist()]
+            n, sid = pa.array([len(x) for x in sets], pa.int64()), pa.array([set_id(x) for x in sets], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["text_hash"], n, sid], ["doc_id", "text_hash", "n", "sid"])
 
-    sets = F.pandas_udf(ids_of, "n long, sid long")(F.col(text))
-    found = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("text_hash"), sets.alias("s"))
-    return written(found.select("doc_id", "text_hash", "s.n", "s.sid"), "classes")
+    kind = docs.schema[doc_id].dataType.simpleString()
+    keyed = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("t"))
+    return written(keyed.mapInArrow(rows_of, f"doc_id {kind}, text_hash long, n long, sid long"), "classes")
 
 
 def prefixes(docs: DataFrame, text: str) -> DataFrame:
-    """(sid, n, token): the prefix of each set, a set that comes twice in a batch once."""
-
-    def rows_of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for texts in batches:
-            sids, sizes, tokens, seen = [], [], [], set()
-            for text in texts:
+    """(sid, n, token): the prefix of each set, a set that comes twice in a task once."""
+
+    def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
+        for batch in slices(batches):
+            if len(seen) > 1_000_000:
+                seen.clear()  # what comes again is left out later
+            sids, sizes, tokens = [], [], []
+            for text in batch["t"].to_pylist():
                 hashes = shingles(text)
                 sid = set_id(hashes)
-                own = hashes[: prefix(len(hashes))] if len(hashes) and sid not in seen else hashes[:0]
-                seen.add(sid)
-                sids.append(sid)
-                sizes.append(len(hashes))
-                tokens.append(own.view(np.int64))
-            yield pd.DataFrame({"sid": sids, "n": sizes, "tokens": pd.Series(tokens, dtype=object)})
+                if len(hashes) and sid not in seen:
+                    seen.add(sid)
+                    own = hashes[: prefix(len(hashes))].view(np.int64)
+                    sids.append(np.full(len(own), sid))
+                    sizes.append(np.full(len(own), len(hashes), np.int32))
+                    tokens.append(own)
+            if sids:
+                columns = [pa.array(np.concatenate(x)) for x in (sids, sizes, tokens)]
+                yield pa.RecordBatch.from_arrays(columns, ["sid", "n", "token"])
 
-    kind = "sid long, n int, tokens array<long>"
-    found = docs.select(F.pandas_udf(rows_of, kind)(F.col(text)).alias("s"))
-    return found.select("s.sid", "s.n", F.explode("s.tokens").alias("token"))
+    return docs.select(F.col(text).alias("t")).mapInArrow(rows_of, "sid long, n int, token long")
 
 
 def _shared_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -229,23 +233,22 @@ def sets_of(docs: DataFrame, known: DataFrame, wanted: DataFrame, doc_id: str, t
     few = chosen.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     texts = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(_SMALLEST)).alias("_id"), F.col(text).alias("_t"))
 
-    def rows_of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for texts in batches:
-            sets = [shingles(x) for x in texts]
-            yield pd.DataFrame(
-                {
-                    "own": [set_id(x) for x in sets],
-                    "n": [len(x) for x in sets],
-                    "bits": pd.Series([bitmap(x).tobytes() for x in sets], dtype=object),
-                    "hashes": pd.Series([x.tobytes() for x in sets], dtype=object),
-                }
-            )
+    def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            own = [(sid, shingles(x)) for sid, x in zip(batch["sid"].to_pylist(), batch["_t"].to_pylist())]
+            # Rows of one id may have different texts; equal rows give equal sets.
+            own = [(sid, x) for sid, x in own if set_id(x) == sid]
+            columns = [
+                pa.array([sid for sid, _ in own], pa.int64()),
+                pa.array([len(x) for _, x in own], pa.int32()),
+                pa.array([bitmap(x).tobytes() for _, x in own], pa.binary()),
+                pa.array([x.tobytes() for _, x in own], pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["sid", "n", "bits", "hashes"])
 
-    picked = texts.join(F.broadcast(chosen) if few else chosen, "_id")
-    made = picked.select("sid", F.pandas_udf(rows_of, "own long, n int, bits binary, hashes binary")("_t").alias("s"))
-    # Rows of one id may have different texts; equal rows give equal sets.
-    same = made.where("s.own = sid").select("sid", "s.n", "s.bits", "s.hashes").dropDuplicates(["sid"])
-    return written(same, "sets")
+    picked = texts.join(F.broadcast(chosen) if few else chosen, "_id").select("sid", "_t")
+    made = picked.mapInArrow(rows_of, "sid long, n int, bits binary, hashes binary")
+    return written(made.dropDuplicates(["sid"]), "sets")
 
 
 def _unpacked(column: pa.ChunkedArray | pa.Array, kind) -> list[np.ndarray]:
@@ -256,7 +259,7 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) whose sets link: first by the bound of the bitmaps, then exactly."""
 
     def possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for x in batches:
+        for x in slices(batches):
             rows = zip(*(x[c].to_pylist() for c in ("n_a", "bits_a", "n_b", "bits_b")))
             keep = [
                 bool(enough(overlap_bound(n, np.frombuffer(s, np.uint8), m, np.frombuffer(t, np.uint8)), n, m))
@@ -265,7 +268,7 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             yield x.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for x in batches:
+        for x in slices(batches):
             both = zip(_unpacked(x["hashes_a"], np.uint64), _unpacked(x["hashes_b"], np.uint64))
             keep = [bool(enough(overlap(s, t), len(s), len(t))) for s, t in both]
             yield x.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
@@ -354,11 +357,13 @@ def open_pairs(tiles: DataFrame, sets: DataFrame, roots: DataFrame) -> DataFrame
         "open-tiles",
     )
     # A set stands in its own band and, as the smaller one, in the next.
-    placed = rows.select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("up")).withColumn("band", F.col("band") + F.col("up"))
+    placed = rows.select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("up"))
+    placed = placed.withColumn("band", F.col("band") + F.col("up"))
     counted = placed.groupBy("token", "band").agg(
         F.count("*").alias("found"), F.sum(1 - F.col("up")).alias("own"), F.min("root").alias("r"), F.max("root").alias("s")
     )
-    counted = counted.where("own > 0 and r <> s").withColumn("blocks", F.ceil(F.col("found") / BLOCK)).drop("found", "own", "r", "s")
+    counted = counted.where("own > 0 and r <> s").withColumn("blocks", F.ceil(F.col("found") / BLOCK))
+    counted = counted.select("token", "band", "blocks")
     cut = placed.join(counted, ["token", "band"]).withColumn("block", F.pmod(F.xxhash64("sid"), "blocks"))
     cells = F.transform(
         F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1),
@@ -410,9 +415,11 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     firsts = known.where("n > 0").groupBy("sid").agg(F.min(key).alias("first"))
     rooted = firsts.join(roots, "sid", "left").groupBy(F.coalesce("root", "sid")).agg(F.min("first").alias("k"))
     alone = known.where("n = 0").select(key.alias("k"))
-    heads = rooted.select("k").unionByName(alone).select(F.col("k.id").alias("_group_id"), F.col("k.text_hash").alias("_group_text"))
+    names = ["_group_id", "_group_text"]
+    heads = rooted.select("k").unionByName(alone).select("k.*").toDF(*names)
     heads = written(heads.distinct(), "heads")
-    keyed = docs.withColumn("_group_id", F.coalesce(F.col(doc_id).cast("long"), F.lit(_SMALLEST))).withColumn("_group_text", F.xxhash64(text))
-    same = Window.partitionBy("_group_id", "_group_text").orderBy("_group_id")
-    found = keyed.join(heads, ["_group_id", "_group_text"], "left_semi").withColumn("_group_row", F.row_number().over(same))
+    own_id = F.coalesce(F.col(doc_id).cast("long"), F.lit(_SMALLEST))
+    keyed = docs.withColumns({"_group_id": own_id, "_group_text": F.xxhash64(text)})
+    row = F.row_number().over(Window.partitionBy(*names).orderBy("_group_id"))
+    found = keyed.join(heads, names, "left_semi").withColumn("_group_row", row)
     return found.where("_group_row = 1").drop("_group_id", "_group_text", "_group_row")

@@ -6,7 +6,10 @@ sums of word hashes with odd factors, mixed; two different windows collide with
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,6 +48,13 @@ def shingles(text: str | None) -> np.ndarray:
     return np.unique(window_hashes(word_hashes((text or "").encode().lower().split())))
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The rows of all batches, few at a time, so that what is made of a long batch of texts never lies in memory whole."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def add_fields(df: DataFrame, fields: Column, names: list[str]) -> DataFrame:
     """``df`` with the fields of a struct as columns; a column of ``df`` with such a name is replaced.
 
