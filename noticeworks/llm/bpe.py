@@ -23,11 +23,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from noticeworks.llm.words import add_fields
+from noticeworks.llm.words import add_fields, slices
 
 #: White_Space of Unicode, and the ranges that the installed ``regex`` counts as letters or numbers by a
 #: later Unicode version than the vocabulary's own library, for which they are unassigned.
@@ -193,22 +195,34 @@ def load(spark: SparkSession, path: str):
 def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     """``docs`` with ``ids`` (array of int), ``n_tokens``, and ``decodes``: whether the ids decode to the text."""
     vocabulary = load(docs.sparkSession, path)
+    names = ["ids", "n_tokens", "decodes"]
+    kept = [c for c in docs.columns if c.lower() not in names]
 
-    def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Vocabulary(vocabulary.value)
         encoder = Encoder(words)
-        for texts in batches:
+        for batch in slices(batches, 64):
+            texts = batch["_fields_text"].to_pylist()
             ids = [np.frombuffer(encoder.encode(x), "<u4") for x in texts]
-            yield pd.DataFrame(
-                {
-                    "ids": pd.Series([x.astype(np.int32) for x in ids], dtype=object),
-                    "n_tokens": [len(x) for x in ids],
-                    "decodes": [words.decode(x) == (y or "") for x, y in zip(ids, texts)],
-                }
-            )
-
-    fields = F.pandas_udf(encoded, "ids array<int>, n_tokens long, decodes boolean")(F.col(text))
-    return add_fields(docs, fields, ["ids", "n_tokens", "decodes"])
+            sizes = [len(x) for x in ids]
+            values = pa.array(np.concatenate(ids).astype(np.int32))
+            columns = [
+                pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)], pa.int32()), values),
+                pa.array(sizes, pa.int64()),
+                pa.array([words.decode(x) == (y or "") for x, y in zip(ids, texts)]),
+            ]
+            yield pa.RecordBatch.from_arrays([batch[c] for c in kept] + columns, kept + names)
+
+    given = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(text).alias("_fields_text"))
+    kind = T.StructType(
+        [docs.schema[c] for c in kept]
+        + [
+            T.StructField("ids", T.ArrayType(T.IntegerType())),
+            T.StructField("n_tokens", T.LongType()),
+            T.StructField("decodes", T.BooleanType()),
+        ]
+    )
+    return given.mapInArrow(rows_of, kind)
 
 
 def decode(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
