@@ -9,8 +9,8 @@ shuffled. A hash that no other set has is dropped, and a set left with fewer tha
 Of the others the rarest are enough: with s shared hashes left, the s - need(n) + 1 rarest of each set must meet. A tile
 is one such hash with the sets that hold it.
 
-Which of them do. A set is first compared with the smallest class of its tiles (a star, so a group of n near copies costs
-n comparisons and not n * n). Tiles whose sets are not all linked by then are cut in bands of sizes by which only
+Which of them do. A set is first compared with a few centres of its tiles (stars, so a group of n near copies costs a few n
+comparisons and not n * n). Tiles whose sets are not all linked by then are cut in bands of sizes by which only
 neighbours can link, and in blocks if large; in them the bitmaps of all remaining pairs are compared. Every bit of A that
 B lacks is a shingle of A that B lacks, so bit counts bound the overlap from above. What passes the bound is compared
 exactly, by intersecting sorted arrays. Nothing is capped or sampled.
@@ -38,13 +38,17 @@ from noticeworks.llm.words import mix, shingles, slices
 PERCENT = 75
 #: A prefix holds 1/12 of the set more than one shared hash would need.
 SPARE = 12
+#: The centres of a tile are its least sids after these bits are flipped; the same sets have the same centres everywhere.
+CENTRES = [0x0, 0x1E3779B97F4A7C15, 0x42B2AE3D27D4EB4F, 0x565667B19E3779F9, 0x66E8FEB86659FD93, 0x20761D6478BD642F]
 #: Sets of a tile that are compared at once.
 BLOCK = 1024
 #: Frequencies are counted up to here; beyond, the order of hashes alone decides.
 FREQUENT = 65_536
 #: Ids that may be broadcast to pick documents; beyond, they are shuffled.
 BROADCAST_ROWS = 1_000_000
-MIN_BITS, MAX_BITS = 64, 16_384
+#: A bitmap has BITS to twice as many bits for each hash; pairs are compared first with a quarter of them.
+BITS = 8
+MIN_BITS, MAX_BITS = 64, 65_536
 _SMALLEST = -(2**63)
 _GROWTH = 100 / PERCENT + 1e-9
 
@@ -75,9 +79,9 @@ def set_id(hashes: np.ndarray) -> int:
 
 
 def bitmap(hashes: np.ndarray) -> np.ndarray:
-    """Bytes of a bitmap with two to four bits for each hash, a power of two, so that it can be folded in halves."""
+    """Bytes of a bitmap whose number of bits is a power of two, so that it can be folded in halves."""
     size = MIN_BITS
-    while size < min(2 * len(hashes), MAX_BITS):
+    while size < min(BITS * len(hashes), MAX_BITS):
         size *= 2
     bits = np.zeros(size, bool)
     bits[(mix(hashes) & np.uint64(size - 1)).astype(np.int64)] = True
@@ -205,7 +209,7 @@ def _shared_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def tiles(docs: DataFrame, text: str) -> DataFrame:
-    """(token, centre, sid, n): each tile with the sets that hold its hash. Written to the shared folder.
+    """(token, centres, sid, n): each tile with the sets that hold its hash. Written to the shared folder.
 
     Of hashes that the same sets hold, as those of a shared passage are, one is enough: the lists of two hashes are taken
     as equal if their length and two 64-bit sums of their sids are.
@@ -221,9 +225,12 @@ def tiles(docs: DataFrame, text: str) -> DataFrame:
     )
     met = written(ranked.select("token", "sid", "n"), "meetings")
     sums = [F.bit_xor(F.xxhash64(F.lit(seed), "sid")).alias(f"sum{seed}") for seed in (1, 2)]
-    lists = met.groupBy("token").agg(F.count("*").alias("found"), F.min("sid").alias("centre"), *sums).where("found > 1")
-    chosen = lists.groupBy("found", "centre", "sum1", "sum2").agg(F.min("token").alias("token")).select("token", "centre")
-    return written(met.join(chosen, "token").select("token", "centre", "sid", "n"), "tiles")
+    least_of = [F.min(F.col("sid").bitwiseXOR(F.lit(mask))).alias(f"least{k}") for k, mask in enumerate(CENTRES)]
+    lists = met.groupBy("token").agg(F.count("*").alias("found"), *sums, *least_of).where("found > 1")
+    same = ["found", "sum1", "sum2", *(f"least{k}" for k in range(len(CENTRES)))]
+    centres = F.array_distinct(F.array(*[F.col(f"least{k}").bitwiseXOR(F.lit(mask)) for k, mask in enumerate(CENTRES)]))
+    chosen = lists.groupBy(*same).agg(F.min("token").alias("token")).select("token", centres.alias("centres"))
+    return written(met.join(chosen, "token").select("token", "centres", "sid", "n"), "tiles")
 
 
 def sets_of(docs: DataFrame, known: DataFrame, wanted: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -290,10 +297,10 @@ def _band(n: Column) -> Column:
     return F.floor(F.log(n.cast("double")) / F.log(F.lit(_GROWTH))).cast("int")
 
 
-def _width(band: int) -> int:
-    """Bytes that the bitmaps of this band and the one below have at least."""
+def _width(band: int, bits: int) -> int:
+    """Bytes that bitmaps of so many bits a hash have at least in this band and the one below."""
     size, smallest = MIN_BITS, int(_GROWTH ** max(0, band - 1))
-    while size < min(2 * smallest, MAX_BITS):
+    while size < min(bits * smallest, MAX_BITS):
         size *= 2
     return size // 8
 
@@ -304,6 +311,7 @@ _CELL = ["band", "token", "i", "j"]
 def _near_in_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs that the bounds of sizes and bitmaps let through, of rows sorted by cell. Cells are bounded by ``BLOCK``.
 
+    A pair that meets in several tiles is given in the one of the least hash.
     All cells of a band are compared at once: each row with the next one, then with the one after that, and so on while
     they share a cell.
     """
@@ -315,8 +323,10 @@ def _near_in_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             _, token, i, j, sid, root, n, up, block = (
                 own[c].to_numpy() for c in [*_CELL, "sid", "root", "n", "up", "block"]
             )
-            width = _width(int(band[cut[0]]))
-            bits = np.stack([folded(x, width) for x in _unpacked(own["bits"], np.uint8)])
+            few, all_bits = (_width(int(band[cut[0]]), x) for x in (BITS // 4, BITS))
+            wide = np.stack([folded(x, all_bits) for x in _unpacked(own["bits"], np.uint8)])
+            bits = folded(wide, few)
+            held = [frozenset(x) for x in own["tokens"].to_pylist()]
             new = np.r_[True, (token[1:] != token[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])]
             cell = np.cumsum(new)
             last = np.append(np.flatnonzero(new)[1:], len(cell))[cell - 1]  # behind the last row of the cell
@@ -330,7 +340,10 @@ def _near_in_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                 a, b = a[ok], b[ok]
                 if len(a):
                     near = enough(overlap_bound(n[a], bits[a], n[b], bits[b]), n[a], n[b])
-                    a, b = sid[a[near]], sid[b[near]]
+                    a, b = a[near], b[near]
+                    near = enough(overlap_bound(n[a], wide[a], n[b], wide[b]), n[a], n[b])
+                    once = [(x, y) for x, y in zip(a[near], b[near]) if min(held[x] & held[y]) == token[x]]
+                    a, b = (sid[np.array([p[side] for p in once], np.int64)] for side in (0, 1))
                     yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
     wait = None
@@ -370,9 +383,9 @@ def open_pairs(tiles: DataFrame, sets: DataFrame, roots: DataFrame) -> DataFrame
         lambda j: F.struct(F.least("block", j).alias("i"), F.greatest("block", j).alias("j")),
     )
     spread = cut.select("token", "band", "sid", "root", "n", "up", "block", F.explode(cells).alias("cell"))
-    full = spread.select("band", "token", "cell.i", "cell.j", "sid", "root", "n", "up", "block").join(
-        sets.select("sid", "bits"), "sid"
-    )
+    tokens = rows.groupBy("sid").agg(F.collect_set("token").alias("tokens"))
+    about = sets.select("sid", "bits").join(tokens, "sid")
+    full = spread.select("band", "token", "cell.i", "cell.j", "sid", "root", "n", "up", "block").join(about, "sid")
     sorted_cells = full.repartition(*_CELL).sortWithinPartitions(*_CELL)
     return sorted_cells.mapInArrow(_near_in_cells, "a long, b long").distinct()
 
@@ -381,8 +394,8 @@ def grouped(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tupl
     """The classes of all documents, and (sid, root) of the classes that link with another."""
     known = classes(docs, doc_id, text)
     met = tiles(docs, text)
-    star = met.where("centre <> sid").select(F.col("centre").alias("a"), F.col("sid").alias("b")).distinct()
-    star = written(star, "stars")
+    star = met.select(F.explode("centres").alias("a"), F.col("sid").alias("b")).where("a <> b")
+    star = written(star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "stars")
     wanted = star.select(F.col("a").alias("sid")).unionByName(star.select(F.col("b").alias("sid"))).distinct()
     sets = sets_of(docs, known, wanted, doc_id, text)
     roots = written(components(linked(star, sets)), "roots")
