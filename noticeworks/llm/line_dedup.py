@@ -1,15 +1,16 @@
-"""Line dedup by content-defined chunks.
+"""Line dedup by the passages of two lines.
 
-A text is cut in lines. A rolling hash runs over the hashes of ``WINDOW`` lines, and where it is lower than for the line
-before and after, a chunk ends. So boundaries depend on nearby lines only, come back wherever a passage stands, and are at
-least two lines apart; chunks have three lines on average, ``MAX_LINES`` at most. Chunks of at least
-``MIN_LINES`` lines, of which two have a word, are compared over all documents: by a 128-bit hash and by their bytes.
-Of equal chunks the first stays (smallest id, then first place in the document) and the others are removed, line ends
-included.
+A window runs over the lines with a word of a text: each of them and the next, with the blank lines between, make a chunk.
+So every repeated passage of two lines or more, wherever it stands in its text, consists of repeated chunks; a chunk
+depends on nothing around it. Blank lines before a text's first chunk and behind its last make one more chunk with it.
+Chunks are compared over all documents: by a 128-bit hash and by their bytes. Of equal chunks the first stays (smallest
+id, then first place in the document) and the lines of the others are removed, line ends included; a chunk that shares a
+line with the first in its own document stays. The first place of a line in all documents is never removed. A single
+line that is repeated between other lines is no passage and stays.
 
 Chunks are grouped by hash and bytes after a partial aggregation, so a passage that many documents share leaves each task
-once. Should one hash stand for two different chunks, they are left alone. The texts are shuffled once, to meet the list
-of their own removals.
+once. Should one hash stand for two different chunks, they are left alone. The texts are shuffled twice over to be
+compared (each line is in two chunks), and once to meet the list of their own removals.
 
 Defined cases. Null texts stay null and empty texts empty. A null id counts as smaller than all others. Rows of equal id
 and text are one document: they keep the same chunks. A document all of whose chunks are removed stays, with the rest of
@@ -22,50 +23,32 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from noticeworks.llm.words import add_fields, mix
+from noticeworks.llm.words import add_fields, slices
 from noticeworks.session import scratch_dir
 
-WINDOW = 2
-MIN_LINES = 2
-MAX_LINES = 64
-_FACTOR = 0x9E3779B97F4A7C15
 _SMALLEST = -(2**63)
-_CHUNK = "first_line:int,lines:int,high:bigint,low:bigint,again:boolean"
-
-
-def boundaries(hashes: np.ndarray) -> np.ndarray:
-    """True behind whose line a chunk ends: where the rolling hash of ``WINDOW`` lines is below its neighbours'.
-
-    Never behind the first line or before the last, so that no line of a copied document stands alone.
-    """
-    rolling = np.zeros(len(hashes), np.uint64)
-    for back in range(min(WINDOW, len(hashes))):
-        rolling[back:] += hashes[: len(hashes) - back] * np.uint64(pow(_FACTOR, back, 2**64))
-    rolling = mix(rolling)
-    ends = np.zeros(len(hashes), bool)
-    ends[1:-2] = (rolling[1:-2] < rolling[:-3]) & (rolling[1:-2] <= rolling[2:-1])
-    return ends
+_PLACE = "_dedup_id bigint, _dedup_text bigint, first_line int, lines int, high bigint, low bigint, again boolean"
+_BODY = "_dedup_id bigint, high bigint, low bigint, body string"
+_LEFT = "text string, removed array<struct<first_line:int,lines:int>>"
 
 
 def chunks(text: str) -> list[tuple[int, int, str]]:
-    """(first line, number of lines, text) of all chunks of at least ``MIN_LINES`` lines, two of them with a word."""
+    """(first line, number of lines, text) of each line with a word and the next, and of the blank ends of the text."""
     lines = text.split("\n")
-    if len(lines) < MIN_LINES:
+    worded = [k for k, x in enumerate(lines) if x and not x.isspace()]
+    if len(worded) < 2:
         return []
-    ends = boundaries(np.fromiter(map(xxhash.xxh3_64_intdigest, lines), np.uint64, len(lines))).tolist()
-    found, start = [], 0
-    for k, end in enumerate(ends):
-        size = k + 1 - start
-        if size >= MIN_LINES and (end or size >= MAX_LINES) or k == len(lines) - 1:
-            own = lines[start : k + 1]
-            if size >= MIN_LINES and sum(1 for x in own if x and not x.isspace()) > 1:
-                found.append((start, size, "\n".join(own)))
-            start = k + 1
-    return found
+    places = list(zip(worded, worded[1:]))
+    if worded[0] > 0:
+        places.insert(0, (0, worded[1]))
+    if worded[-1] < len(lines) - 1:
+        places.append((worded[-2], len(lines) - 1))
+    return [(a, b + 1 - a, "\n".join(lines[a : b + 1])) for a, b in places]
 
 
 def without(text: str, removed: list[tuple[int, int]]) -> str:
@@ -75,33 +58,59 @@ def without(text: str, removed: list[tuple[int, int]]) -> str:
     return "\n".join(x for k, x in enumerate(lines) if k not in gone)
 
 
-def _chunk_rows(text: str | None, with_text: bool) -> list[dict]:
-    rows, seen = [], set()
-    for start, size, body in chunks(text or ""):
-        digest = xxhash.xxh3_128_digest(body)
-        high, low = (int.from_bytes(x, "little", signed=True) for x in (digest[:8], digest[8:]))
-        row = {"first_line": start, "lines": size, "high": high, "low": low, "again": digest in seen}
-        if not with_text:
-            rows.append(row)
-        elif digest not in seen:
-            rows.append(row | {"body": body})
-        seen.add(digest)
-    return rows
+def merged(places: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The same lines as (first line, number of lines) that neither meet nor overlap."""
+    out: list[tuple[int, int]] = []
+    for start, size in sorted(places):
+        if out and start <= sum(out[-1]):
+            out[-1] = (out[-1][0], max(sum(out[-1]), start + size) - out[-1][0])
+        else:
+            out.append((start, size))
+    return out
 
 
 def chunk_table(docs: DataFrame, doc_id: str, text: str, with_text: bool) -> DataFrame:
-    """A row for each chunk: id, text hash, place, hash, whether it stands earlier in the document, on demand its text."""
-
-    def rows_of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            yield pd.Series([_chunk_rows(x, with_text) for x in texts], dtype=object)
-
-    kind = f"array<struct<{_CHUNK}{',body:string' if with_text else ''}>>"
-    return docs.select(
+    """A row for each chunk: id, text hash, place, hash and whether it stands earlier in the document, without sharing a
+    line with that place. With the text: id, hash and text of each different chunk of a document."""
+
+    def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            rows, starts, sizes, again, digests, bodies = [], [], [], [], [], []
+            for row, value in enumerate(batch.column(2).to_pylist()):
+                ends: dict[str, int] = {}
+                for start, size, body in chunks(value or ""):
+                    if with_text and body in ends:
+                        continue
+                    again.append(start >= ends.setdefault(body, start + size))
+                    rows.append(row)
+                    starts.append(start)
+                    sizes.append(size)
+                    digests.append(xxhash.xxh3_128_digest(body))
+                    if with_text:
+                        bodies.append(body)
+            halves = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
+            own = batch.take(pa.array(rows, pa.int32()))
+            high, low = pa.array(halves[:, 0].copy()), pa.array(halves[:, 1].copy())
+            if with_text:
+                columns = {"_dedup_id": own.column(0), "high": high, "low": low, "body": pa.array(bodies, pa.string())}
+            else:
+                columns = {
+                    "_dedup_id": own.column(0),
+                    "_dedup_text": own.column(1),
+                    "first_line": pa.array(starts, pa.int32()),
+                    "lines": pa.array(sizes, pa.int32()),
+                    "high": high,
+                    "low": low,
+                    "again": pa.array(again, pa.bool_()),
+                }
+            yield pa.RecordBatch.from_pydict(columns)
+
+    read = docs.select(
         F.coalesce(F.col(doc_id).cast("long"), F.lit(_SMALLEST)).alias("_dedup_id"),
         F.xxhash64(text).alias("_dedup_text"),
-        F.inline(F.pandas_udf(rows_of, kind)(F.col(text))),
+        F.col(text).alias("_dedup_body"),
     )
+    return read.mapInArrow(rows_of, _BODY if with_text else _PLACE)
 
 
 def repeated_chunks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -136,24 +145,23 @@ def remove_repeated_chunks(docs: DataFrame, doc_id: str = "doc_id", text: str =
         .agg(F.array_sort(F.collect_set(F.struct("first_line", "lines"))).alias("_dedup_gone"))
     )
 
-    def left_of(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    def left_of(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         for texts, removed in batches:
-            yield pd.Series(
-                [
-                    x if x is None or r is None else without(x, [(p["first_line"], p["lines"]) for p in r])
-                    for x, r in zip(texts, removed)
-                ],
-                dtype=object,
-            )
+            gone = [[] if r is None else merged([(p["first_line"], p["lines"]) for p in r]) for r in removed]
+            left = [without(x, r) if r else None for x, r in zip(texts, gone)]
+            places = [[{"first_line": start, "lines": size} for start, size in r] for r in gone]
+            yield pd.DataFrame({"text": pd.Series(left, dtype=object), "removed": pd.Series(places, dtype=object)})
 
     joined = docs.withColumns(
         {"_dedup_id": F.coalesce(F.col(doc_id).cast("long"), F.lit(_SMALLEST)), "_dedup_text": F.xxhash64(text)}
     ).join(removals, ["_dedup_id", "_dedup_text"], "left")
-    left = F.pandas_udf(left_of, "string")(F.col(text), F.col("_dedup_gone"))
+    joined = joined.withColumn("_dedup_left", F.pandas_udf(left_of, _LEFT)(F.col(text), F.col("_dedup_gone")))
     none = F.array().cast("array<struct<first_line:int,lines:int>>")
+    places = F.when(F.col("_dedup_gone").isNull(), none).otherwise(F.col("_dedup_left.removed"))
     fields = F.struct(
-        F.when(F.col("_dedup_gone").isNull(), F.col(text)).otherwise(left).alias(text),
-        F.coalesce("_dedup_gone", none).alias("removed"),
-        F.coalesce(F.aggregate("_dedup_gone", F.lit(0), lambda n, x: n + x.lines), F.lit(0)).alias("n_removed_lines"),
+        F.when(F.col("_dedup_gone").isNull(), F.col(text)).otherwise(F.col("_dedup_left.text")).alias(text),
+        places.alias("removed"),
+        F.aggregate(places, F.lit(0), lambda n, x: n + x.lines).alias("n_removed_lines"),
     )
-    return add_fields(joined, fields, [text, "removed", "n_removed_lines"]).drop("_dedup_id", "_dedup_text", "_dedup_gone")
+    kept = add_fields(joined, fields, [text, "removed", "n_removed_lines"])
+    return kept.drop("_dedup_id", "_dedup_text", "_dedup_gone", "_dedup_left")

@@ -83,3 +83,44 @@ def test_blank_lines_are_no_chunk():
 
 def test_empty_table(spark):
     assert d.remove_repeated_chunks(frame(spark, [])).count() == 0
+
+
+def repeated_lines(rows):
+    """Of each row, by comparing all pairs of lines: the lines that stand, with a neighbour, in an earlier document."""
+    seen, out = set(), []
+    for _, text, *_ in rows:
+        own = text.split("\n")
+        pairs = list(zip(own, own[1:]))
+        out.append({k + j for k, pair in enumerate(pairs) if pair in seen for j in (0, 1)})
+        seen |= set(pairs)
+    return out
+
+
+def test_short_passages_between_other_lines(spark):
+    rnd, rows = random.Random(4), []
+    for size in range(2, 9):
+        for k in range(30):
+            passage, own = lines(1000 * size + k, size), [lines(rnd.random(), 6) for _ in range(2)]
+            for half, before in zip(own, (rnd.randint(1, 5), rnd.randint(1, 5))):
+                rows.append((len(rows), "\n".join(half[:before] + passage + half[before:]), "en", "a", 1))
+    wanted = repeated_lines(rows)
+    assert sum(map(len, wanted)) == 30 * sum(range(2, 9))
+    out = {r["doc_id"]: r for r in d.remove_repeated_chunks(frame(spark, rows)).collect()}
+    for k, (gone, row) in enumerate(zip(wanted, rows)):
+        kept = [x for n, x in enumerate(row[1].split("\n")) if n not in gone]
+        assert out[k]["text"] == "\n".join(kept)
+        assert out[k]["n_removed_lines"] == len(gone) == sum(p["lines"] for p in out[k]["removed"])
+        assert len(out[k]["removed"]) == (1 if gone else 0)
+
+
+def test_blank_lines_within_and_around_a_passage(spark):
+    a, b, c, x, y = lines(5, 5)
+    texts = [f"{a}\n\n{b}\n{c}", f"{x}\n{a}\n\n{b}\n{y}", f"\n{c}\n{x}\n\n", f"\n{c}\n{x}\n\n", f"{x}\n\n{c}\n{y}"]
+    out = d.remove_repeated_chunks(frame(spark, [(k, t, "en", "a", 1) for k, t in enumerate(texts)])).collect()
+    assert [r["text"] for r in sorted(out)] == [texts[0], f"{x}\n{y}", texts[2], "", texts[4]]
+
+
+def test_runs_of_one_line_keep_a_passage(spark):
+    rows = [(k, "\n".join(["a b"] * n), "en", "a", 1) for k, n in ((1, 5), (2, 3))]
+    out = d.remove_repeated_chunks(frame(spark, rows)).collect()
+    assert [r["text"] for r in sorted(out)] == ["a b\na b", ""]
