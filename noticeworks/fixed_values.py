@@ -13,10 +13,11 @@ PARTICIPATION_TYPE = "2"
 AWARDED_TEXT = "Atribuita"
 AWARDED_ID = 5
 
-# Ingest range, rows the list API returns at most per call.
+# Ingest range, rows the list API returns at most per call, rows of a result page.
 FIRST_MONTH = "2022-01-01"
 LAST_MONTH = "2026-12-01"
 RESULT_CAP = 3000
+PAGE_SIZE = 2000
 
 # Fixed value: id used downstream when a detail document carries none.
 DEFAULT_DOCUMENT_ID = "111"

@@ -499,10 +499,7 @@ def month_report(spark, folder):
     path = scratch_dir(spark, "month-pages")
     later = F.add_months(F.to_date("publicationDate"), 27 * 12)
     listed = standins.notices(spark, folder).withColumn("publicationDate", later.cast("string"))
-    month = F.trunc(F.to_date("publicationDate"), "MM")
-    item = F.struct(*listed.columns)
-    pages = listed.select(month.alias("month"), item.alias("item")).groupBy("month").agg(F.collect_list("item").alias("items"))
-    pages = pages.select((F.size("items") + F.month("month") % 2).alias("total"), "items")
+    pages = standins.month_pages(listed, "publicationDate", V.PAGE_SIZE, F.month("month") % 2)
     pages.write.json(path, compression="snappy")
     report = flows.month_report(Tables(spark, root=path), path, cap=200)
     return report.select("start_text", "end_text", "n", "total", "status")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from noticeworks.functions.json_text import to_text
@@ -58,6 +58,25 @@ def notices(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def month_pages(listed: DataFrame, day: str, size: int, more: Column) -> DataFrame:
+    """Result pages of at most ``size`` notices of one month, each with the month's number of notices plus ``more`` (of
+    ``month``) as ``total``.
+
+    Notices are numbered within their month and input split, so no task holds a whole month.
+    """
+    month = F.trunc(F.to_date(day), "MM")
+    split = listed.select(month.alias("month"), F.spark_partition_id().alias("_split"), F.struct(*listed.columns).alias("item"))
+    place = F.row_number().over(Window.partitionBy("month", "_split").orderBy("item.cNoticeId"))
+    pages = (
+        split.withColumn("_page", F.floor((place - 1) / size))
+        .groupBy("month", "_split", "_page")
+        .agg(F.collect_list("item").alias("items"))
+    )
+    totals = listed.groupBy(month.alias("month")).agg(F.count("*").alias("_n"))
+    stated = (F.col("_n") + more).alias("total")
+    return pages.join(totals, "month", "left").select(stated, "items")
+
+
 def criteria_json(key: Column, n: Column, priority: Column, other: Column, section: Column) -> Column:
     """Section 2 text with ``n`` criteria; ``section`` false gives a null criteria section."""
 

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from noticeworks.functions import dates
 from noticeworks.operators import ranking, reports, sampling
+from noticeworks.plans import standins
 
 # Criterion weights and their histogram.
 WEIGHTS = [
@@ -96,3 +97,15 @@ def test_labels(spark):
     rows = spark.createDataFrame([("personalSituation",), ("other",)], "field string")
     labels = {r["field"]: r["label"] for r in reports.with_labels(rows, "field").collect()}
     assert labels["other"] is None and labels["personalSituation"].startswith("III.1.1)")
+
+
+def test_month_pages_are_bounded(spark):
+    days = ["2024-01-03"] * 950 + ["2024-02-01"] * 30 + [None] * 15
+    rows = [(k, day) for k, day in enumerate(days)]
+    listed = spark.createDataFrame(rows, "cNoticeId long, publicationDate string").repartition(3)
+    pages = standins.month_pages(listed, "publicationDate", 100, F.month("month") % 2).collect()
+    items = [(i["cNoticeId"], i["publicationDate"]) for p in pages for i in p["items"]]
+    assert sorted(items, key=lambda r: r[0]) == rows
+    assert max(len(p["items"]) for p in pages) == 100
+    totals = {(i["publicationDate"], p["total"]) for p in pages for i in p["items"]}
+    assert totals == {("2024-01-03", 951), ("2024-02-01", 30), (None, None)}
