@@ -50,6 +50,40 @@ def test_licences(spark, text, found):
     assert licenses.scan(df).first()["licenses"] == found
 
 
+GNU = (
+    "# This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU {} as\n"
+    "# published by the Free Software Foundation, either version {} of the License, or\n# (at your option) any later version.\n"
+)
+
+
+@pytest.mark.parametrize(
+    ("text", "found"),
+    [
+        (GNU.format("General Public License", "3"), ["GPL-3.0"]),
+        (GNU.format("General Public License", "2").replace("Foundation,", "Foundation;"), ["GPL-2.0"]),
+        (GNU.format("Lesser General Public License", "2.1"), ["LGPL-2.1"]),
+        (GNU.format("Affero General Public License", "3"), ["AGPL-3.0"]),
+        ("// SPDX-License-Identifier: Apache-2.0\nint x;", ["Apache-2.0"]),
+        ("/* SPDX-License-Identifier: GPL-3.0-or-later */\nint x;", ["GPL-3.0"]),
+        ("# SPDX-License-Identifier: (MIT OR Apache-2.0)\n", ["MIT OR Apache-2.0"]),
+        ("Text.\nThis file is licensed under the MIT License.", ["MIT"]),
+        ("This project is licensed under the MIT License - see the LICENSE file for details.", ["MIT"]),
+        ("MIT License, see LICENSE.", ["MIT"]),
+        ("This library is distributed under the terms of the GNU Lesser General Public License v3.", ["LGPL-3.0"]),
+        ("Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby "
+         "granted, provided that the above\ncopyright notice and this permission notice appear in all copies.\n", ["ISC"]),
+        ("This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy", ["MPL-2.0"]),
+        ("This program and the accompanying materials are made available under the\nterms of the Eclipse Public License 2.0 "
+         "which is available at\nhttps://www.eclipse.org/legal/epl-2.0/\n\n", ["EPL-2.0"]),
+        ("All data are released under CC0 1.0.", ["CC0-1.0"]),
+        ("This file is not licensed under the MIT License.", []),
+        ("The results are available under the counter, see the license desk.", []),
+    ],
+)
+def test_licence_headers_tags_and_frames(spark, text, found):
+    assert licenses.scan(frame(spark, [(1, text, "en", "a", 1)])).first()["licenses"] == found
+
+
 def test_licence_odd_rows(spark):
     assert [r["licenses"] for r in licenses.scan(frame(spark)).collect()] == [[]] * len(ROWS)
     assert licenses.scan(frame(spark, [])).count() == 0
