@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noticeworks.llm import bpe, factorisation, fingerprint, jaccard_join, licenses, line_dedup, mixing, pii, quality_rules, url_filter
+from noticeworks.llm import bpe, divergence, factorisation, fingerprint, jaccard_join, licenses, line_dedup, mixing, phrases, pii
+from noticeworks.llm import quality_rules, token_counts, url_filter
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -79,6 +80,19 @@ def op10_distribution_divergence(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.judge(docs).select("doc_id", *measures, "base_failed", "kept", "class_distance", "word_distance")
 
 
+def op11_count_cells(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(table(spark, folder, "documents").select("lang", "source", "text"))
+
+
+def op12_hat_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(table(spark, folder, "documents").select("lang", "text"))
+
+
+def op13_rank_synchronous(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return token_counts.count_tokens(docs, vocabulary_path()).select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_factorisation_machine": op2_factorisation_machine,
@@ -90,6 +104,9 @@ QUERIES = {
     "op8_weighted_sampling": op8_weighted_sampling,
     "op9_mixing": op9_mixing,
     "op10_distribution_divergence": op10_distribution_divergence,
+    "op11_count_cells": op11_count_cells,
+    "op12_hat_trie": op12_hat_trie,
+    "op13_rank_synchronous": op13_rank_synchronous,
 }
 
 SQL: dict[str, str] = {
@@ -223,4 +240,80 @@ SQL: dict[str, str] = {
                 'allow') AS verdict
         FROM split LEFT JOIN won USING (page_id)
         """,
+    "op11_count_cells": r"""
+        WITH docs AS (
+            SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ws
+            FROM documents),
+        used AS (SELECT id, lang, source, unnest(ws) AS term FROM docs),
+        kept AS (
+            SELECT lang, term, count(*)::HUGEINT AS c FROM used GROUP BY lang, term HAVING count(DISTINCT id) >= 3),
+        sizes AS (SELECT lang, count(*)::HUGEINT AS v, sum(c)::HUGEINT AS n FROM kept GROUP BY lang),
+        groups AS (SELECT DISTINCT lang, source FROM docs),
+        counts AS (
+            SELECT g.lang, g.source, k.term, k.c AS lang_c, coalesce(u.c, 0)::HUGEINT AS c
+            FROM groups g JOIN kept k USING (lang)
+            LEFT JOIN (SELECT lang, source, term, count(*) AS c FROM used GROUP BY ALL) u USING (lang, source, term)),
+        totals AS (SELECT lang, source, sum(c)::HUGEINT AS n FROM counts GROUP BY lang, source),
+        shares AS (
+            SELECT c.lang, c.source, c.term, c.c, 1 + (1000000000 * (c.c + 1)) // (t.n + s.v) AS p,
+                1 + (1000000000 * (c.lang_c + 1)) // (s.n + s.v) AS q
+            FROM counts c JOIN totals t USING (lang, source) JOIN sizes s USING (lang)),
+        pairs AS (
+            SELECT g.lang, g.source, h.source AS item, coalesce(sum(((x.p - y.p) * (x.p - y.p)) // y.p), 0) AS value
+            FROM groups g JOIN groups h ON g.lang = h.lang AND g.source <> h.source
+            LEFT JOIN shares x ON x.lang = g.lang AND x.source = g.source
+            LEFT JOIN shares y ON y.lang = h.lang AND y.source = h.source AND y.term = x.term
+            GROUP BY ALL),
+        terms AS (
+            SELECT lang, source, term AS item, ((p - q) * (p - q)) // q AS value FROM shares WHERE c > 0 AND p > q),
+        ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+            FROM (SELECT *, 'pair' AS part FROM pairs UNION ALL SELECT *, 'term' AS part FROM terms))
+        SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank
+        FROM ranked WHERE part = 'pair' OR rank <= 200
+        """,
+    "op12_hat_trie": r"""
+        WITH pieces AS (
+            SELECT row_number() OVER () AS id, lang, piece
+            FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+                    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                    '[.,;:!?\x0A-\x0D]')) AS piece
+                FROM documents)),
+        split AS (SELECT id, lang, [w FOR w IN regexp_split_to_array(piece, '[\x20\x09]+') IF w <> ''] AS ws FROM pieces),
+        words AS (SELECT lang, unnest(ws) AS p FROM split),
+        sizes AS (SELECT lang, count(*) AS n FROM words GROUP BY lang),
+        grams AS (
+            SELECT lang, 1 AS k, p FROM words
+            UNION ALL SELECT lang, 2, unnest([ws[i] || ' ' || ws[i + 1] FOR i IN range(1, len(ws))]) FROM split
+            UNION ALL
+            SELECT lang, 3, unnest([ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] FOR i IN range(1, len(ws) - 1)])
+            FROM split),
+        counts AS (SELECT lang, k, p, count(*)::HUGEINT AS f FROM grams GROUP BY ALL HAVING count(*) >= 10),
+        sides AS (
+            SELECT lang, k, p, f, 1 AS cut, split_part(p, ' ', 1) AS x, substr(p, length(split_part(p, ' ', 1)) + 2) AS y
+            FROM counts WHERE k > 1
+            UNION ALL
+            SELECT lang, k, p, f, 2, split_part(p, ' ', 1) || ' ' || split_part(p, ' ', 2), split_part(p, ' ', 3)
+            FROM counts WHERE k = 3),
+        cuts AS (
+            SELECT s.lang, s.k, s.p, s.f AS a, cut, x.f AS l, y.f AS r, (1000000 * s.f * s.f) // (x.f * y.f) AS score
+            FROM sides s JOIN counts x ON x.lang = s.lang AND x.p = s.x JOIN counts y ON y.lang = s.lang AND y.p = s.y),
+        least AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, cut) = 1),
+        covered AS (
+            SELECT lang, part, max(a) AS longer
+            FROM (SELECT lang, split_part(p, ' ', 1) || ' ' || split_part(p, ' ', 2) AS part, a FROM least WHERE k = 3
+                UNION ALL SELECT lang, split_part(p, ' ', 2) || ' ' || split_part(p, ' ', 3), a FROM least WHERE k = 3)
+            GROUP BY ALL),
+        kept AS (
+            SELECT l.lang, l.p AS phrase, l.a, l.l, l.r, l.score
+            FROM least l LEFT JOIN covered c ON c.lang = l.lang AND c.part = l.p
+            WHERE c.longer IS NULL OR 100 * c.longer < 50 * l.a),
+        ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+        SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n,
+            score::BIGINT AS score
+        FROM ranked JOIN sizes USING (lang) WHERE rank <= 2000
+        """,
 }
