@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from noticeworks import fixed_values as V
 from noticeworks import schemas
-from noticeworks.functions.json_text import malformed, parse
+from noticeworks.functions.json_text import malformed, parse_audited
 
 
 def duplicates(df: DataFrame, key: str) -> DataFrame:
@@ -39,7 +39,6 @@ def criteria_sections(detail: DataFrame) -> DataFrame:
 
     ``malformed`` counts texts that are not one JSON value; of those that only go on behind it the criteria are read.
     """
-    section = parse(F.col("section2"), schemas.SECTION2_KEYS)["section22"]
     keys = F.array(*[F.lit(k) for k in V.CRITERION_KEYS])
     incomplete = F.filter("_list", lambda item: F.size(F.array_except(keys, F.map_keys(item))) > 0)
     lost = F.aggregate(
@@ -48,7 +47,8 @@ def criteria_sections(detail: DataFrame) -> DataFrame:
         lambda total, n: total + n,
     )
     return (
-        detail.select("section2", malformed(F.col("section2")).alias("_malformed"), section.alias("_section"))
+        detail.select("section2", parse_audited(F.col("section2"), schemas.SECTION2_KEYS).alias("_parsed"))
+        .select("section2", F.col("_parsed.malformed").alias("_malformed"), F.col("_parsed.value.section22").alias("_section"))
         .withColumn("_list", F.col("_section.noticeAwardCriteriaList"))
         .agg(
             F.count("*").alias("n"),
@@ -65,11 +65,10 @@ def criteria_sections(detail: DataFrame) -> DataFrame:
 
 def bidder_versions(raw: DataFrame) -> DataFrame:
     """Documents without a version from 1 on, which give no bidders."""
-    versions = parse(F.col("participation"), schemas.VERSIONS)
-    valid = F.exists("_versions", lambda v: v["versionNo"] >= 1)
-    return raw.select("participation", versions.alias("_versions")).agg(
+    valid = F.exists("_parsed.value", lambda v: v["versionNo"] >= 1)
+    return raw.select(parse_audited(F.col("participation"), schemas.VERSIONS).alias("_parsed")).agg(
         F.count("*").alias("n"),
-        F.count_if(malformed(F.col("participation"))).alias("malformed"),
+        F.count_if("_parsed.malformed").alias("malformed"),
         F.count_if(~F.coalesce(valid, F.lit(False))).alias("no_valid_version"),
     )
 
