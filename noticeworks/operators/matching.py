@@ -7,7 +7,8 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -15,6 +16,7 @@ from noticeworks import fixed_values as V
 from noticeworks.functions import text
 from noticeworks.functions.json_text import strict
 from noticeworks.operators.ranking import keep_first
+from noticeworks.session import remove, scratch_dir
 
 # Up to MAX_ENTRIES and MAX_BYTES a taxonomy is scored inside each row. Beyond, both sides are shuffled.
 MAX_ENTRIES = 10_000
@@ -244,5 +246,129 @@ def score_distinct(rows: DataFrame, column: str, scorer: Scorer, response: str =
     return rows.select("*", digest).join(answers, "_digest", "left").drop("_digest")
 
 
+def _guarded(scorer: Scorer, column: str, response: str) -> Scorer:
+    """The scorer batch by batch; a batch that fails is tried again text by text, and what fails then keeps its error."""
+
+    def answers(batch: pd.DataFrame) -> pd.DataFrame:
+        return pd.concat([*scorer(iter([batch])), pd.DataFrame({column: [], response: []}, dtype=object)])
+
+    def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            try:
+                yield answers(batch).assign(error=None)
+            except Exception:  # noqa: BLE001 (whatever a user's scorer raises becomes a row)
+                for k in range(len(batch)):
+                    one = batch.iloc[k : k + 1]
+                    try:
+                        yield answers(one).assign(error=None)
+                    except Exception as error:  # noqa: BLE001
+                        yield one.assign(**{response: None, "error": f"{type(error).__name__}: {error}"})
+
+    return scored
+
+
+def read_answers(spark: SparkSession, path: str, response: str = "response") -> DataFrame:
+    """digest, answer, error, run and portion of all answers kept at ``path``; empty without any."""
+    schema = f"digest binary, {response} string, error string, run long, portion int"
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def score_resumed(
+    rows: DataFrame, column: str, scorer: Scorer, path: str, response: str = "response", portion: int = 100_000
+) -> DataFrame:
+    """Adds a scorer's answer to a text and the ``error`` of one that could not be scored; answers are kept at ``path``.
+
+    Each distinct text is scored once over all runs: a run leaves out what has an answer and tries again what failed.
+    Answers are appended in portions of about ``portion`` texts, so a run that dies loses no more than one of them.
+    Texts are told apart by SHA-256. One run at a time.
+    """
+    spark = rows.sparkSession
+    digest = F.coalesce(F.unhex(F.sha2(column, 256)), F.lit(b"")).alias("digest")
+    kept = read_answers(spark, path, response)
+    known = kept.where(F.col("error").isNull()).select("digest").distinct()
+    texts = rows.select(digest, column).where(F.col(column).isNotNull()).dropDuplicates(["digest"])
+    staged = scratch_dir(spark, "unanswered")
+    texts.join(known, "digest", "left_anti").write.parquet(staged)
+    new = spark.read.schema(texts.schema).parquet(staged)
+    run = (kept.agg(F.max("run")).first()[0] or 0) + 1
+    portions = -(-new.count() // portion)
+    guarded = _guarded(scorer, column, response)
+    own = F.coalesce(F.unhex(F.sha2(column, 256)), F.lit(b"")).alias("digest")
+    for k in range(portions):
+        some = new.where(F.pmod(F.xxhash64("digest"), F.lit(portions)) == k).select(column)
+        scored = score_rows(some, guarded, f"{column} string, {response} string, error string")
+        scored.select(own, response, "error").write.mode("overwrite").parquet(f"{path}/run={run}/portion={k}")
+    remove(spark, staged)
+    latest = keep_first(
+        read_answers(spark, path, response), ["digest"], [F.col("error").isNotNull(), F.col("run").desc(), F.col("portion")]
+    ).select("digest", response, "error")
+    return rows.select("*", digest).join(latest, "digest", "left").drop("digest")
+
+
+# A taxonomy larger than a prompt
+
+
+#: Entries that are packed together: each task packs this many, whatever the size of the taxonomy.
+PACKED_TOGETHER = 2_000
+
+
+def first_fit(sizes: list[int], budget: int) -> list[int]:
+    """The number of a pack for each size, in this order: the first pack that has room. What exceeds the budget is alone."""
+    room: list[int] = []
+    packs = []
+    for size in sizes:
+        at = next((k for k, left in enumerate(room) if size <= left), len(room))
+        if at == len(room):
+            room.append(max(budget, size))
+        room[at] -= size
+        packs.append(at)
+    return packs
+
+
+def packed_taxonomy(taxonomy: DataFrame, key: str, content: str, budget: int) -> DataFrame:
+    """pack, entries (their number) and lines: the entries as ``key: content`` lines, packed by first fit, longest first,
+    so that the lines of a pack have at most ``budget`` characters. An entry longer than that is a pack of its own.
+
+    Entries are dealt by their hash to groups of about ``PACKED_TOGETHER``, and packed group by group.
+    """
+    groups = -(-taxonomy.count() // PACKED_TOGETHER) or 1
+    line = text.joined(F.col(key), ": ", F.col(content))
+    lines = taxonomy.select(F.col(key).cast("string").alias("key"), line.alias("line"))
+    dealt = lines.withColumn("group", F.pmod(F.xxhash64("key", "line"), F.lit(groups)))
+
+    def packed(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.assign(size=group["line"].str.len() + 1)
+        group = group.sort_values(["size", "key", "line"], ascending=[False, True, True], na_position="last")
+        group["pack"] = first_fit(group["size"].tolist(), budget + 1)
+        made = group.sort_values(["key", "line"]).groupby("pack")["line"]
+        return pd.DataFrame(
+            {"group": group["group"].iloc[0], "within": made.size().index, "entries": made.size().values, "lines": made.agg("\n".join).values}
+        )
+
+    packs = dealt.groupBy("group").applyInPandas(packed, "group long, within long, entries long, lines string")
+    return packs.select(F.concat_ws("-", "group", "within").alias("pack"), "entries", "lines")
+
+
+def packed_prompts(criteria: DataFrame, packs: DataFrame, content: str) -> DataFrame:
+    """For each criterion a prompt for every pack of the taxonomy: ``pack``, ``entries`` and ``prompt``.
+
+    The prompts are as many as criteria times packs, as they have to be; rows meet their pack by its name.
+    """
+    names = packs.agg(F.sort_array(F.collect_list("pack"))).scalar()
+    joined = criteria.withColumn("pack", F.explode(names)).join(packs, "pack")
+    return prompts_of(joined, F.col("lines"), content).drop("lines")
+
+
+def merged_answers(read: DataFrame, key: str) -> DataFrame:
+    """One answer for each criterion out of those for its packs (as ``read_responses`` gives them): the first that is
+    accepted, else the first; packs in order of their names."""
+    return keep_first(read, [key], [F.col("status") != "ok", F.col("pack")])
+
+
 def with_url(matches: DataFrame, id_column: str, url_base: str) -> DataFrame:
     return matches.withColumn("URL", text.notice_url(F.col(id_column), url_base))

@@ -21,12 +21,11 @@ def dedupe_list(landed: DataFrame, order: list[Column] | None = None) -> DataFra
     """One row per notice id: the first delivered.
 
     The default order takes landing position (``_page``, ``_line``, ``_pos``) where the rows
-    carry it, else the order asked of the source; a hash of the row decides between equals.
+    carry it, else the order asked of the source; there a hash of the row decides between equals.
     """
     if order is None:
         positions = [F.col(c) for c in ("_page", "_line", "_pos") if c in landed.columns]
-        content = [c for c in landed.columns if c not in ("_page", "_line", "_pos")]
-        order = [*(positions or newest_first()), F.xxhash64(*content)]
+        order = positions or [*newest_first(), F.xxhash64(*landed.columns)]
     return keep_first(landed, ["cNoticeId"], order)
 
 

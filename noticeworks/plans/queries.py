@@ -651,6 +651,28 @@ def incremental_load(spark, folder):
     return incremental.read_target(spark, target, EVENT)
 
 
+@query
+def load_quarantine(spark, folder):
+    """Landed lines, some cut off, with words behind them, of wrong types or without an id: each is loaded or kept as it
+    landed. A second checkpoint over the same files adds nothing."""
+    base = scratch_dir(spark, "quarantine")
+    ident = F.col("event_id")
+    body = json_text.to_text(F.struct(*EVENT.names))
+    line = (
+        F.when(ident % 50 == 1, F.substring(body, 1, 20))
+        .when(ident % 50 == 2, F.replace(body, F.concat(F.lit('"user_id":'), "user_id"), F.lit('"user_id":"none"')))
+        .when(ident % 50 == 3, F.replace(body, F.concat(F.lit('"event_id":'), ident), F.lit('"event_id":null')))
+        .when(ident % 50 == 4, F.concat(body, F.lit(" {}")))
+        .when(ident % 50 == 5, F.concat(F.lit("["), body, F.lit("]")))
+        .otherwise(body)
+    )
+    table(spark, folder, "events").select(line.alias("value")).write.text(f"{base}/landing", compression="snappy")
+    for checkpoint in ("first", "lost and made anew"):
+        incremental.load_new(spark, f"{base}/landing", f"{base}/target", f"{base}/{checkpoint}", EVENT, "event_id")
+    loaded = incremental.read_target(spark, f"{base}/target", EVENT).select(F.lit("loaded").alias("reason"), body.alias("record"))
+    return loaded.unionByName(incremental.read_quarantine(spark, f"{base}/target").select("reason", "record"))
+
+
 # Matching
 
 
@@ -750,6 +772,40 @@ def scorer_distinct(spark, folder):
     return matching.score_distinct(rows, "event_type", upper)
 
 
+@query
+def scorer_resumed(spark, folder):
+    """Event details scored in two runs: the second gets those that the first had not, and those that it failed on."""
+    rows = table(spark, folder, "events").select("event_id", "props")
+    path = scratch_dir(spark, "answers")
+
+    def scorer(mark, fails):
+        def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                if fails and batch["props"].str.contains("7").any():
+                    raise ValueError("seven")
+                yield batch.assign(response=mark + batch["props"])
+
+        return scored
+
+    first = matching.score_resumed(rows.where("event_id % 2 = 0"), "props", scorer("first ", True), path)
+    failed = first.where("error = 'ValueError: seven'").select("props").distinct().count()
+    both = matching.score_resumed(rows, "props", scorer("second ", False), path, portion=40)
+    return both.withColumn("failed_before", F.lit(failed).cast("long"))
+
+
+@query
+def packed_prompts(spark, folder):
+    """Documents against a taxonomy larger than a prompt: every entry stands in one prompt of each document."""
+    criteria = table(spark, folder, "documents").select("doc_id", "source")
+    packs = matching.packed_taxonomy(table(spark, folder, "benchmark"), "item_id", "text", 2_000)
+    asked = matching.packed_prompts(criteria, packs, "source")
+    return asked.groupBy("doc_id").agg(
+        F.sum("entries").alias("entries"),
+        (F.count("*") > 1).alias("several"),
+        F.min((F.length("prompt") <= 3_000) | (F.col("entries") == 1)).alias("within"),
+    )
+
+
 @query
 def categories_from_file(spark, folder):
     """The social categories out of a JSON mapping file."""

@@ -361,6 +361,17 @@ SELECT * FROM customer WHERE c_mktsegment <> 'BUILDING'
 UNION ALL SELECT * FROM customer WHERE c_mktsegment <> 'BUILDING' AND c_nationkey < 10""",
     "csv_roundtrip": "SELECT * FROM customer",
     "incremental_load": "SELECT event_id, user_id, event_type, props FROM events",
+    "load_quarantine": """
+WITH landed AS (
+  SELECT event_id AS id, '{"event_id":' || event_id || ',"user_id":' || user_id AS head,
+    ',"event_type":"' || event_type || '","props":' || CAST(to_json(props) AS VARCHAR) || '}' AS tail FROM events)
+SELECT
+  CASE id % 50 WHEN 1 THEN 'malformed' WHEN 2 THEN 'wrong_type' WHEN 3 THEN 'no_id' WHEN 4 THEN 'malformed' WHEN 5 THEN 'malformed'
+    ELSE 'loaded' END AS reason,
+  CASE id % 50 WHEN 1 THEN substr(head || tail, 1, 20) WHEN 2 THEN '{"event_id":' || id || ',"user_id":"none"' || tail
+    WHEN 3 THEN replace(head, '"event_id":' || id, '"event_id":null') || tail WHEN 4 THEN head || tail || ' {}'
+    WHEN 5 THEN '[' || head || tail || ']' ELSE head || tail END AS record
+FROM landed""",
     "model_criteria_filter": """
 WITH entries AS (
   SELECT doc_id AS id, text, doc_id % 14 IN (11, 12) OR doc_id % 9 IN (11, 12) AS tied, 1 AS pos FROM documents
@@ -389,6 +400,13 @@ WITH taxonomy AS (SELECT * FROM (VALUES {', '.join(f'({quoted(k)}, {quoted(v)})'
 SELECT doc_id, title, overlap, jaccard, '{URL_BASE}' || doc_id AS "URL" FROM documents LEFT JOIN best USING (doc_id)""",
     "scorer_seam": "SELECT doc_id, length(text) AS score FROM documents",
     "scorer_distinct": "SELECT event_id, event_type, upper(event_type) AS response FROM events",
+    "scorer_resumed": """
+WITH first AS (SELECT DISTINCT props FROM events WHERE event_id % 2 = 0)
+SELECT event_id, e.props, CASE WHEN f.props IS NULL OR contains(e.props, '7') THEN 'second ' ELSE 'first ' END || e.props AS response,
+  CAST(NULL AS VARCHAR) AS error, (SELECT count(*) FROM first WHERE contains(props, '7')) AS failed_before
+FROM events e LEFT JOIN first f ON f.props = e.props""",
+    "packed_prompts": """
+SELECT doc_id, (SELECT count(*) FROM benchmark) AS entries, true AS several, true AS within FROM documents""",
     "energy_matches": """
 WITH words AS (SELECT * FROM (VALUES (1, ['points', 'of', 'energy']), (2, ['points', '7', 'solar', 'energy'])) v(id, w)),
 found AS (

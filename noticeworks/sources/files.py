@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import re
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from noticeworks import schemas
 from noticeworks.functions.json_text import parse
+from noticeworks.sources.listing import Listing
 from noticeworks.sources.tables import small_table
 
 
@@ -58,11 +62,9 @@ def model_criteria(documents: DataFrame, column: str) -> DataFrame:
 
 
 def read_attachments(spark: SparkSession, root: str, with_content: bool = False) -> DataFrame:
-    """Files below ``root/<document>/``; the bytes are read only if asked for.
-
-    The file source leaves out files without content.
-    """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    """Files below ``root/<document>/``, empty ones too; the bytes are read only if asked for."""
+    spark.dataSource.register(Listing)
+    listed = spark.read.format(Listing.name()).load(root)
     parts = F.split("path", "/")
     columns = [
         F.element_at(parts, -2).alias("documentId"),
@@ -70,24 +72,34 @@ def read_attachments(spark: SparkSession, root: str, with_content: bool = False)
         "length",
         "modificationTime",
     ]
-    return files.select(*columns, *(["content"] if with_content else []))
+    if not with_content:
+        return listed.select(*columns)
+    # The file source, which splits the reading, leaves out files without content.
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    filled = files.select(*columns, "content")
+    return filled.unionByName(listed.where("length = 0").select(*columns, F.lit(b"").alias("content")))
 
 
-def natural(path: Column) -> Column:
-    """A path in which numbers sort by value: ``page_2`` before ``page_10``."""
-    return F.regexp_replace(F.regexp_replace(path, r"(\d+)", "0" * 20 + "$1"), r"0*(\d{20})(?!\d)", "$1")
+def natural(path: str) -> list:
+    """Sorts paths with numbers by value: ``page_2`` before ``page_10``."""
+    return [(part.isdigit(), int(part) if part.isdigit() else 0, part) for part in re.split(r"([0-9]+)", path)]
 
 
 def read_list_pages(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Notices of landed result pages, with their arrival order.
 
-    ``_page`` is the path with numbers by value, ``_line`` the place of the page within its
-    file (start of the split, then reading order), ``_pos`` that of the notice within the page.
+    ``_page`` is the rank of the file among all, by path with numbers by value; ``_line`` the place of the page
+    within its file (start of the split, then reading order), ``_pos`` that of the notice within the page. The files
+    are ranked once, from the list that the scan has anyway, and joined to pages, before these become notices.
     """
     pages = spark.read.schema(schemas.LIST_PAGE).json(path, multiLine=multi_line)
+    # Local files have one slash in one of the two lists and three in the other.
+    ordered = sorted((re.sub("^file:/+", "file:/", x) for x in pages.inputFiles()), key=natural)
+    ranks = small_table(spark, _file=pa.array(ordered, pa.string()), _page=pa.array(range(len(ordered)), pa.int64()))
     line = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
     return (
-        pages.select(natural(F.col("_metadata.file_path")).alias("_page"), line.alias("_line"), "total", "items")
+        pages.select(F.regexp_replace("_metadata.file_path", "^file:/+", "file:/").alias("_file"), line.alias("_line"), "total", "items")
+        .join(ranks, "_file")
         .select("_page", "_line", "total", F.posexplode("items").alias("_pos", "_item"))
         .select("_page", "_line", "_pos", "total", "_item.*")
     )

@@ -10,7 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from noticeworks.session import scratch_dir
+from noticeworks.session import newest_note, remove, scratch_dir, write_note
+
+#: Replaced versions of a table that stay for their readers.
+GRACE = 2
 
 
 @dataclass(frozen=True)
@@ -25,20 +28,30 @@ class Tables:
     def _catalog_name(self, name: str) -> str:
         return f"{self.database}.{name}" if self.database else name
 
+    def _folder(self, name: str) -> tuple[str, int]:
+        """Where the rows of a table lie below the root, and the number of its pointer; 0 without one."""
+        newest = newest_note(self.spark, f"{self.root}/.pointers/{name}")
+        return (newest["body"], newest["v"]) if newest else (name, 0)
+
     def read(self, name: str) -> DataFrame:
         if self.root is None:
             return self.spark.read.table(self._catalog_name(name))
-        return self.spark.read.format(self.fmt).load(f"{self.root}/{name}")
+        return self.spark.read.format(self.fmt).load(f"{self.root}/{self._folder(name)[0]}")
+
+    def _write(self, df: DataFrame, folder: str, mode: str) -> None:
+        df.write.format(self.fmt).mode(mode).save(f"{self.root}/{folder}")
 
     def write(self, df: DataFrame, name: str, mode: str) -> None:
-        writer = df.write.format(self.fmt).mode(mode)
         if self.root is None:
-            writer.saveAsTable(self._catalog_name(name))
+            df.write.format(self.fmt).mode(mode).saveAsTable(self._catalog_name(name))
         else:
-            writer.save(f"{self.root}/{name}")
+            self._write(df, self._folder(name)[0], mode)
 
     def overwrite(self, df: DataFrame, name: str) -> None:
-        self.write(df, name, "overwrite")
+        if self.root is not None and self._folder(name)[1]:
+            self.replace(df, name)
+        else:
+            self.write(df, name, "overwrite")
 
     def append(self, df: DataFrame, name: str) -> None:
         self.write(df, name, "append")
@@ -46,31 +59,29 @@ class Tables:
     def replace(self, df: DataFrame, name: str) -> None:
         """Overwrite a table with rows derived from it.
 
-        A folder is written anew beside the old one, which then gives way to it by renaming; should that
-        fail, the old one takes its place again. A catalog table, which cannot be overwritten while it is
-        read, is staged in the shared scratch folder; that copy goes once the table is written.
+        A folder is written anew as a version of its own; then one small pointer file makes it the table. Who has
+        resolved the pointer before reads the old version on, which is dropped ``GRACE`` replacements later; what a
+        writer leaves that dies between the steps is never read. One writer at a time. A catalog table, which cannot be
+        overwritten while it is read, is staged in the shared scratch folder; that copy goes once the table is written.
         """
         if self.root is None:
             staged = scratch_dir(self.spark, f"staged-{name}")
             df.write.parquet(staged)
             self.overwrite(self.spark.read.schema(df.schema).parquet(staged), name)
-            self._path(staged)[0].delete(self._path(staged)[1], True)
+            remove(self.spark, staged)
             return
-        mark = uuid.uuid4().hex
-        self.write(df, f".{name}-new-{mark}", "error")
-        fs, new = self._path(f"{self.root}/.{name}-new-{mark}")
-        old, now = (self._path(f"{self.root}/{x}")[1] for x in (f".{name}-old-{mark}", name))
-        if not fs.rename(now, old):
-            raise OSError(f"{name} cannot be moved")
-        if not fs.rename(new, now):
-            fs.rename(old, now)
-            raise OSError(f"{name} cannot be replaced")
-        fs.delete(old, True)
-
-    def _path(self, path: str):
-        """File system and path, as Hadoop objects."""
-        found = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return found.getFileSystem(self.spark._jsc.hadoopConfiguration()), found
+        pointers = f"{self.root}/.pointers/{name}"
+        _, now = self._folder(name)
+        folder = f".versions/{name}/{now + 1}-{uuid.uuid4().hex}"
+        self._write(df, folder, "error")
+        write_note(self.spark, pointers, now + 1, folder)
+        gone = now + 1 - GRACE
+        if gone == 0:
+            remove(self.spark, f"{self.root}/{name}")
+        elif gone > 0:
+            old = self.spark.read.schema("body string").json(f"{pointers}/v={gone}").first()
+            remove(self.spark, f"{self.root}/{old['body']}")
+            remove(self.spark, f"{pointers}/v={gone}")
 
 
 def small_table(spark: SparkSession, **columns: list) -> DataFrame:

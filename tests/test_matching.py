@@ -157,3 +157,88 @@ def test_scorer_and_url(spark):
     assert sorted(r["loud"] for r in scored.collect()) == ["A", "B"]
     assert matching.with_url(rows.where("id = 1"), "id", "u/").first()["URL"] == "u/1"
     assert rows.select(F.size(text.tokens(F.col("t")))).count() == 2
+
+
+def test_scoring_resumes_and_keeps_errors(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def scorer(fails):
+        def scored(batches):
+            for batch in batches:
+                if batch["t"].isin(fails).any():
+                    raise ValueError("no")
+                seen.add(len(batch))
+                yield batch.assign(response=batch["t"].str.upper())
+
+        return scored
+
+    def run(texts, fails=()):
+        before = seen.value
+        rows = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string")
+        out = matching.score_resumed(rows, "t", scorer(list(fails)), str(tmp_path / "answers"), portion=2).collect()
+        return {r["t"]: (r["response"], r["error"]) for r in out}, len(out), seen.value - before
+
+    found, n, calls = run(["a", "b", "b", None, "c"], ["b"])
+    assert found == {"a": ("A", None), "b": (None, "ValueError: no"), "c": ("C", None), None: (None, None)}
+    assert (n, calls) == (5, 2)
+    found, _, calls = run(["a", "b", "c", "d"])
+    assert found == {x: (x.upper(), None) for x in "abcd"} and calls == 2
+    found, _, calls = run(["a", "b", "c", "d"])
+    assert found == {x: (x.upper(), None) for x in "abcd"} and calls == 0
+    assert run([])[:2] == ({}, 0)
+
+
+def test_a_run_that_dies_keeps_its_portions(spark, tmp_path, monkeypatch):
+    texts = spark.createDataFrame([(f"text {k}",) for k in range(60)], "t string")
+    seen = spark.sparkContext.accumulator(0)
+
+    def scorer(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch.assign(response=batch["t"])
+
+    calls, score = [], matching.score_rows
+
+    def dying(*args):
+        calls.append(1)
+        if len(calls) == 3:
+            raise RuntimeError("lost")
+        return score(*args)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(matching, "score_rows", dying)
+        with pytest.raises(RuntimeError):
+            matching.score_resumed(texts, "t", scorer, str(tmp_path / "a"), portion=15)
+    done = matching.read_answers(spark, str(tmp_path / "a")).count()
+    assert 10 < done < 50 and seen.value == done
+    out = matching.score_resumed(texts, "t", scorer, str(tmp_path / "a"), portion=15)
+    assert out.where("response = t and error is null").count() == 60 and seen.value == 60
+
+
+def test_first_fit():
+    assert matching.first_fit([7, 5, 4, 3, 1], 10) == [0, 1, 1, 0, 1]
+    assert matching.first_fit([30, 2, 9], 10) == [0, 1, 2]
+    assert matching.first_fit([], 10) == []
+
+
+def test_packed_prompts_hold_each_entry_once(spark, monkeypatch):
+    monkeypatch.setattr(matching, "PACKED_TOGETHER", 40)
+    entries = [(k, f"entry {k} " + "x" * (k % 37)) for k in range(150)] + [(900, "y" * 500), (901, None)]
+    taxonomy = spark.createDataFrame(entries, "id int, t string")
+    packs = matching.packed_taxonomy(taxonomy, "id", "t", 200)
+    lines = {r["pack"]: r["lines"].split("\n") for r in packs.collect()}
+    assert sorted(x for p in lines.values() for x in p) == sorted(f"{k}: {t or ''}" for k, t in entries)
+    assert all(len("\n".join(p)) <= 200 or len(p) == 1 for p in lines.values())
+    criteria = spark.createDataFrame([(1, "one"), (2, "two")], "k int, c string")
+    asked = matching.packed_prompts(criteria, packs, "c").collect()
+    assert len(asked) == 2 * len(lines)
+    for r in asked:
+        assert all(f"\n{x}\n" in r["prompt"] for x in lines[r["pack"]]) and r["prompt"].endswith({1: ": one", 2: ": two"}[r["k"]])
+    empty = matching.packed_taxonomy(taxonomy.where("false"), "id", "t", 200)
+    assert matching.packed_prompts(criteria, empty, "c").count() == 0
+
+
+def test_merged_answers(spark):
+    rows = [(1, "a", "not_json"), (1, "b", "ok"), (1, "c", "ok"), (2, "b", "missing_key"), (2, "a", "extra_key")]
+    read = spark.createDataFrame(rows, "k int, pack string, status string")
+    assert sorted((r["k"], r["pack"]) for r in matching.merged_answers(read, "k").collect()) == [(1, "b"), (2, "a")]
