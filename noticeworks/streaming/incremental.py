@@ -221,24 +221,24 @@ def _write_rows(rows: DataFrame, path: str, n: int) -> None:
     rows.repartition(files, BUCKET).sortWithinPartitions(BUCKET).write.mode("overwrite").parquet(path)
 
 
-def _stored(spark: SparkSession, target: str, name: str, schema: StructType, key: str) -> Load:
-    """Counts the rows of a written load and writes the index of its ids."""
-    stored = _part(spark, target, "rows", [name], target_schema(schema))
-    counts = dict(stored.groupBy(BUCKET).count().collect())  # at most BUCKETS numbers
-    load = Load(name, [counts.get(k, 0) for k in range(BUCKETS)])
+def _counts(rows: DataFrame) -> list[int]:
+    found = dict(rows.groupBy(BUCKET).count().collect())  # at most BUCKETS numbers
+    return [found.get(k, 0) for k in range(BUCKETS)]
+
+
+def _write_index(rows: DataFrame, target: str, key: str, load: Load) -> None:
     files = max(1, math.ceil(load.rows / (8 * ROWS_PER_FILE)))
-    index = index_of(stored, key, load).repartition(files, BUCKET).sortWithinPartitions(BUCKET, "block")
-    index.write.mode("overwrite").parquet(f"{target}/keys/{LOAD}={name}")
-    return load
+    index = index_of(rows, key, load).repartition(files, BUCKET).sortWithinPartitions(BUCKET, "block")
+    index.write.mode("overwrite").parquet(f"{target}/keys/{LOAD}={load.name}")
 
 
 def _quarantine(spark: SparkSession, target: str, now: Manifest, bad: DataFrame, own: str) -> None:
     """Writes bad records, but for those of files that an earlier load has quarantined (after a lost checkpoint)."""
-    before = _part(spark, target, "quarantine", now.bad, QUARANTINE).select("file", "modified").distinct()
-    new = bad.join(before, ["file", "modified"], "left_anti")
-    new.write.mode("overwrite").parquet(f"{target}/quarantine/{LOAD}={own}")
-    if new.limit(1).count():
-        now.bad.append(own)
+    if now.bad:
+        before = _part(spark, target, "quarantine", now.bad, QUARANTINE).select("file", "modified").distinct()
+        bad = bad.join(before, ["file", "modified"], "left_anti")
+    bad.write.mode("overwrite").parquet(f"{target}/quarantine/{LOAD}={own}")
+    now.bad.append(own)
 
 
 def add_batch(batch: DataFrame, own: str, target: str, now: Manifest, schema: StructType, key: str) -> None:
@@ -250,23 +250,25 @@ def add_batch(batch: DataFrame, own: str, target: str, now: Manifest, schema: St
     first = keep_first(good, [key], order).drop("file", "modified").withColumn(BUCKET, bucket_of(key)).persist()
     try:
         bad = batch.where(F.col("reason").isNotNull()).drop("row")
-        if bad.limit(1).count():
+        if not bad.isEmpty():
             _quarantine(session, target, now, bad, own)
-        n = first.count()
-        if not n:
+        load = Load(own, _counts(first))
+        if not load.rows:
             return
-        rows = first
-        if any(x.rows for x in now.loads):
+        stored = None
+        if now.loads:
             hits = suspects(session, target, now, first.select(key, BUCKET), key)
             stored = stored_ids(session, target, now, hits, key, schema)
-            if stored is not None:
-                rows = rows_not_in(first, rows_in(stored, first, key, key), key, key)
-        _write_rows(rows, f"{target}/rows/{LOAD}={own}", n)
-        load = _stored(session, target, own, schema, key)
+        rows = first if stored is None else rows_not_in(first, rows_in(stored, first, key, key), key, key)
+        _write_rows(rows, f"{target}/rows/{LOAD}={own}", load.rows)
+        if stored is not None:
+            rows = _part(session, target, "rows", [own], target_schema(schema))
+            load = Load(own, _counts(rows))
         if load.rows:
+            _write_index(rows, target, key, load)
             now.loads.append(load)
         else:
-            now.dropped += [(f"{part}/{LOAD}={own}", now.version) for part in ("rows", "keys")]
+            now.dropped.append((f"rows/{LOAD}={own}", now.version))
     finally:
         first.unpersist()
         batch.unpersist()
@@ -348,7 +350,9 @@ def compact(spark: SparkSession, target: str, schema: StructType, key: str) -> N
             names = [x.name for x in full[0]]
             rows = _part(spark, target, "rows", names, target_schema(schema)).drop(LOAD)
             _write_rows(rows, f"{target}/rows/{LOAD}={name}", sum(x.rows for x in full[0]))
-            merged = _stored(spark, target, name, schema, key)
+            # The loads share no id, so the counts add up.
+            merged = Load(name, [sum(x) for x in zip(*[load.counts for load in full[0]])])
+            _write_index(_part(spark, target, "rows", [name], target_schema(schema)), target, key, merged)
             now.loads = [x for x in now.loads if x.name not in names] + [merged]
             now.dropped += [(f"{part}/{LOAD}={x}", now.version) for x in names for part in ("rows", "keys")]
         if len(now.bad) >= FAN:
