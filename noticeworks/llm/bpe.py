@@ -6,7 +6,7 @@ and its new neighbours queued; entries whose symbols have changed meanwhile are
 the strings of the vocabulary, mapped back to bytes.
 
 The vocabulary file is a parameter. Its size is that of the vocabulary, never of the data, and is checked before it is
-broadcast. Words come back again and again, so each worker keeps the ids of words that it has met, in two generations of
+broadcast. Words come back again and again, so each worker process keeps the ids of words that it has met, from task to task, in two generations of
 bounded size; that changes the time, never the ids.
 
 Defined cases. A null or empty text has no ids and decodes to the empty text. Bytes that are no valid UTF-8 after
@@ -19,6 +19,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -51,6 +52,10 @@ PATTERN = (
     rf"'s|'t|'re|'ve|'m|'ll|'d| ?{_LETTER}+| ?{_NUMBER}+| ?[[^{WHITE}\p{{L}}\p{{N}}]||[{LATER}]]+"
     rf"|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+"
 )
+#: The same for texts of ASCII and the letters of Latin-1 alone, which the plain engine cuts faster.
+_LATIN = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"
+PLAIN = "[\x00-\x7f\xc0-\xd6\xd8-\xf6\xf8-\xff]*"
+PLAIN_PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LATIN}]+| ?[0-9]+| ?[^\s0-9{_LATIN}]+|\s+(?!\S)|\s+"
 MAX_VOCABULARY_BYTES = 64 << 20
 CACHED_WORDS = 200_000
 _BYTES_PER_ID = 4
@@ -64,6 +69,19 @@ def byte_characters() -> list[str]:
     return [shifted.get(b, chr(b)) for b in range(256)]
 
 
+class Cutter:
+    """Cuts texts into pre-tokens."""
+
+    def __init__(self):
+        self.pattern = regex.compile(PATTERN, regex.V1)
+        self.plain = re.compile(PLAIN_PATTERN, re.ASCII)
+        self.only_plain = re.compile(PLAIN).fullmatch
+
+    def cut(self, text: str) -> list[str]:
+        plain = text.isascii() or self.only_plain(text)
+        return (self.plain if plain else self.pattern).findall(text)
+
+
 class Vocabulary:
     """Ids, merge ranks and byte strings of a byte-level vocabulary in its JSON form."""
 
@@ -85,7 +103,7 @@ class Vocabulary:
             left, right = pair.split(" ") if isinstance(pair, str) else pair
             self.ranks.setdefault(ids[left] * self.size + ids[right], rank)
             self.merged.append(ids[left + right])
-        self.pattern = regex.compile(PATTERN, regex.V1)
+        self.pre_tokens = Cutter().cut
         special = sorted(self.special, key=len, reverse=True)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, special)) + ")") if special else None
 
@@ -161,7 +179,7 @@ class Encoder:
 
     def _cut(self, text: str) -> bytes:
         tokens = self.tokens
-        return b"".join([tokens[m.group()] for m in self.vocabulary.pattern.finditer(text)])
+        return b"".join([tokens[x] for x in self.vocabulary.pre_tokens(text)])
 
     def _plain(self, text: str) -> bytes:
         if "  " in text:
@@ -183,6 +201,18 @@ class Encoder:
         )
 
 
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def encoder_of(text: str) -> Encoder:
+    """The encoder of a vocabulary in this worker process, with the words that earlier tasks have met; one is kept."""
+    digest = hashlib.sha256(text.encode()).hexdigest()
+    if digest not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[digest] = Encoder(Vocabulary(text))
+    return _ENCODERS[digest]
+
+
 def load(spark: SparkSession, path: str):
     """The vocabulary of a file that the driver reads, as a broadcast of checked size."""
     with open(path, encoding="utf-8") as file:
@@ -199,8 +229,8 @@ def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     kept = [c for c in docs.columns if c.lower() not in names]
 
     def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Vocabulary(vocabulary.value)
-        encoder = Encoder(words)
+        encoder = encoder_of(vocabulary.value)
+        words = encoder.vocabulary
         for batch in slices(batches, 64):
             texts = batch["_fields_text"].to_pylist()
             ids = [np.frombuffer(encoder.encode(x), "<u4") for x in texts]
@@ -231,7 +261,7 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
 
     @F.pandas_udf("string")
     def decoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        words = Vocabulary(vocabulary.value)
+        words = encoder_of(vocabulary.value).vocabulary
         for rows in batches:
             yield pd.Series(["" if x is None else words.decode(np.asarray(x)) for x in rows], dtype=object)
 
@@ -250,8 +280,8 @@ def digests(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
 
     @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
     def digested(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        words = Vocabulary(vocabulary.value)
-        encoder = Encoder(words)
+        encoder = encoder_of(vocabulary.value)
+        words = encoder.vocabulary
         for texts in batches:
             rows = []
             for text in texts:

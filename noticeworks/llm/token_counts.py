@@ -19,7 +19,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,11 +33,6 @@ from noticeworks.llm.words import add_fields
 LIMIT = 1024
 CACHED_TOKENS = 400_000
 PORTION = 1 << 20
-#: The vocabulary's pre-tokenisation pattern for texts of ASCII and the letters of Latin-1 alone, which the
-#: plain engine finds faster.
-_LETTERS = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"
-PLAIN = "[\x00-\x7f\xc0-\xd6\xd8-\xf6\xf8-\xff]*"
-PLAIN_PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[0-9]+| ?[^\s0-9{_LETTERS}]+|\s+(?!\S)|\s+"
 _NONE = np.iinfo(np.int64).max
 
 
@@ -130,9 +124,7 @@ class Counter:
 
     def __init__(self, text: str):
         self.ranks = Ranks(text)
-        self.plain = re.compile(PLAIN_PATTERN, re.ASCII)
-        self.only_plain = re.compile(PLAIN).fullmatch
-        self.pattern = regex.compile(bpe.PATTERN, regex.V1)
+        self.cutter = bpe.Cutter()
         self.special = sorted(self.ranks.special, key=len, reverse=True)
         self.cut = regex.compile("|".join(map(regex.escape, self.special))) if self.special else None
         self.known: dict[str, int] = {}
@@ -143,8 +135,7 @@ class Counter:
         parts = self.cut.split(text) if text and any(x in text for x in self.special) else [text or ""]
         tokens: list[str] = []
         for part in parts:
-            plain = part.isascii() or self.only_plain(part)
-            tokens += (self.plain if plain else self.pattern).findall(part)
+            tokens += self.cutter.cut(part)
         return tokens, len(parts) - 1
 
     def learn(self, tokens: set[str]) -> None:
