@@ -1,20 +1,24 @@
-"""Line dedup by the passages of two lines.
+"""Line dedup by content-defined chunks of lines.
 
-A window runs over the lines with a word of a text: each of them and the next, with the blank lines between, make a chunk.
-So every repeated passage of two lines or more, wherever it stands in its text, consists of repeated chunks; a chunk
-depends on nothing around it. Blank lines before a text's first chunk and behind its last make one more chunk with it.
-Chunks are compared over all documents: by a 128-bit hash and by their bytes. Of equal chunks the first stays (smallest
-id, then first place in the document) and the lines of the others are removed, line ends included; a chunk that shares a
-line with the first in its own document stays. The first place of a line in all documents is never removed. A single
-line that is repeated between other lines is no passage and stays.
+Each line with a word has a 128-bit hash. A rolling hash runs over every two neighbours of them and the blank lines between;
+it depends on nothing around them. Rolling hashes are counted over all documents, and each that stands twice or more has a
+first place: smallest id, then text hash, then place. The chunks of a document are its longest runs of repeated rolling
+hashes whose first places follow one another in one document, so a chunk's boundaries move with its content, and the whole
+chunk stands in one other place. Chunks of at least ``MIN_CHARACTERS`` are removed, line ends included, but lines that are
+part of the first place of any repeated pair stay: each removed chunk is left whole where it stood first. A single line that
+is repeated between other lines is no chunk and stays.
 
-Chunks are grouped by hash and bytes after a partial aggregation, so a passage that many documents share leaves each task
-once. Should one hash stand for two different chunks, they are left alone. The texts are shuffled twice over to be
-compared (each line is in two chunks), and once to meet the list of their own removals.
+Cutting at local minima of a rolling hash, the usual choice of boundaries, would find a passage only if a chunk's two ends
+both follow from the passage alone, which fails for most passages of two to five lines; the README has the figures.
+
+Hashes alone are shuffled to find what is repeated. Only pairs of lines whose hash stands twice then meet their bytes, and a
+hash that stands for different bytes is left alone. So a passage that many documents share leaves each task once, and texts
+are shuffled to meet the list of their own repeated pairs: once to compare bytes, once to be cut.
 
 Defined cases. Null texts stay null and empty texts empty. A null id counts as smaller than all others. Rows of equal id
-and text are one document: they keep the same chunks. A document all of whose chunks are removed stays, with the rest of
-its text or an empty one. An empty table gives an empty result. Columns of the input named like a result are replaced.
+and text are one document: they keep the same chunks; rows of equal or null id and different texts are different documents.
+A document all of whose lines are removed stays, with an empty text. An empty table gives an empty result. Columns of the
+input named like a result are replaced.
 """
 
 from __future__ import annotations
@@ -28,27 +32,82 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from noticeworks.llm.words import add_fields, slices
-from noticeworks.session import scratch_dir
+from noticeworks.llm.mixing import written
+from noticeworks.llm.words import add_fields, mix, slices
 
+#: Shorter chunks stay, without their line ends: closing braces, rules and the like.
+MIN_CHARACTERS = 40
 _SMALLEST = -(2**63)
-_PLACE = "_dedup_id bigint, _dedup_text bigint, first_line int, lines int, high bigint, low bigint, again boolean"
-_BODY = "_dedup_id bigint, high bigint, low bigint, body string"
+_ID, _TEXT = "_dedup_id", "_dedup_text"
+_PAIRS = f"{_ID} bigint, {_TEXT} bigint, pair int, high bigint, low bigint"
+_FACTORS = np.array([[0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], [0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB]], np.uint64)
 _LEFT = "text string, removed array<struct<first_line:int,lines:int>>"
 
 
-def chunks(text: str) -> list[tuple[int, int, str]]:
-    """(first line, number of lines, text) of each line with a word and the next, and of the blank ends of the text."""
+def worded(text: str) -> tuple[list[str], list[int]]:
+    """The lines of a text, and the places of those with a word."""
     lines = text.split("\n")
-    worded = [k for k, x in enumerate(lines) if x and not x.isspace()]
-    if len(worded) < 2:
-        return []
-    places = list(zip(worded, worded[1:]))
-    if worded[0] > 0:
-        places.insert(0, (0, worded[1]))
-    if worded[-1] < len(lines) - 1:
-        places.append((worded[-2], len(lines) - 1))
-    return [(a, b + 1 - a, "\n".join(lines[a : b + 1])) for a, b in places]
+    return lines, [k for k, x in enumerate(lines) if x and not x.isspace()]
+
+
+def pair_hashes(text: str) -> np.ndarray:
+    """The rolling hash of each line with a word, the next and what is between: two columns of 64 bits."""
+    lines, places = worded(text)
+    if len(places) < 2:
+        return np.empty((0, 2), np.int64)
+    own = np.frombuffer(b"".join([xxhash.xxh3_128_digest(lines[k]) for k in places]), "<u8").reshape(-1, 2)
+    if places[-1] - places[0] + 1 == len(places):
+        between = np.zeros((len(places) - 1, 2), np.uint64)
+    else:
+        gaps = ["\n".join(lines[a + 1 : b]) if b > a + 1 else None for a, b in zip(places, places[1:])]
+        digests = [bytes(16) if x is None else xxhash.xxh3_128_digest(f"{x}\n") for x in gaps]
+        between = np.frombuffer(b"".join(digests), "<u8").reshape(-1, 2)
+    halves = [mix(own[:-1, k] * f[0] + between[:, k] * f[1] + own[1:, k] * f[2]) for k, f in enumerate(_FACTORS)]
+    return np.stack(halves, 1).view(np.int64)
+
+
+def pair_text(lines: list[str], places: list[int], pair: int) -> str:
+    return "\n".join(lines[places[pair] : places[pair + 1] + 1])
+
+
+def chunks(pairs: list[tuple]) -> list[tuple[int, int]]:
+    """(first pair, last pair) of the longest runs whose first places follow one another, elsewhere than here.
+
+    ``pairs`` are (pair, whether this is its first place, id, text hash and pair of the first place), in order.
+    """
+    out: list[tuple[int, int]] = []
+    before = None
+    for pair, is_first, *source, place in pairs:
+        if is_first:
+            before = None
+        elif before == (pair - 1, source, place - 1):
+            out[-1] = (out[-1][0], pair)
+            before = (pair, source, place)
+        else:
+            out.append((pair, pair))
+            before = (pair, source, place)
+    return out
+
+
+def removals(text: str, pairs: list[tuple], least: int = MIN_CHARACTERS) -> list[tuple[int, int]]:
+    """(first line, number of lines) of what leaves a text, given its repeated pairs as ``chunks`` takes them."""
+    lines, places = worded(text)
+    stay = {line for pair, is_first, *_ in pairs if is_first for line in (pair, pair + 1)}
+    gone: set[int] = set()
+    for start, end in chunks(pairs):
+        own = range(places[start], places[end + 1] + 1)
+        if sum(len(lines[k]) for k in own) >= least:
+            gone |= set(range(start, end + 2)) - stay
+    if len(gone) == len(places):
+        return [(0, len(lines))] if gone else []
+    # Blank lines go with the lines with words around them.
+    out: list[tuple[int, int]] = []
+    for k in sorted(gone):
+        if out and k - 1 in gone:
+            out[-1] = (out[-1][0], places[k] + 1 - out[-1][0])
+        else:
+            out.append((places[k], 1))
+    return out
 
 
 def without(text: str, removed: list[tuple[int, int]]) -> str:
@@ -58,110 +117,104 @@ def without(text: str, removed: list[tuple[int, int]]) -> str:
     return "\n".join(x for k, x in enumerate(lines) if k not in gone)
 
 
-def merged(places: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """The same lines as (first line, number of lines) that neither meet nor overlap."""
-    out: list[tuple[int, int]] = []
-    for start, size in sorted(places):
-        if out and start <= sum(out[-1]):
-            out[-1] = (out[-1][0], max(sum(out[-1]), start + size) - out[-1][0])
-        else:
-            out.append((start, size))
-    return out
+def keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """``docs`` with what tells its documents apart: id and text hash."""
+    return docs.withColumns({_ID: F.coalesce(F.col(doc_id).cast("long"), F.lit(_SMALLEST)), _TEXT: F.xxhash64(text)})
 
 
-def chunk_table(docs: DataFrame, doc_id: str, text: str, with_text: bool) -> DataFrame:
-    """A row for each chunk: id, text hash, place, hash and whether it stands earlier in the document, without sharing a
-    line with that place. With the text: id, hash and text of each different chunk of a document."""
+def pair_table(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """A row for each pair of neighbouring lines: id, text hash, number within the document and rolling hash."""
 
     def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            rows, starts, sizes, again, digests, bodies = [], [], [], [], [], []
-            for row, value in enumerate(batch.column(2).to_pylist()):
-                ends: dict[str, int] = {}
-                for start, size, body in chunks(value or ""):
-                    if with_text and body in ends:
-                        continue
-                    again.append(start >= ends.setdefault(body, start + size))
-                    rows.append(row)
-                    starts.append(start)
-                    sizes.append(size)
-                    digests.append(xxhash.xxh3_128_digest(body))
-                    if with_text:
-                        bodies.append(body)
-            halves = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
-            own = batch.take(pa.array(rows, pa.int32()))
-            high, low = pa.array(halves[:, 0].copy()), pa.array(halves[:, 1].copy())
-            if with_text:
-                columns = {"_dedup_id": own.column(0), "high": high, "low": low, "body": pa.array(bodies, pa.string())}
-            else:
-                columns = {
-                    "_dedup_id": own.column(0),
-                    "_dedup_text": own.column(1),
-                    "first_line": pa.array(starts, pa.int32()),
-                    "lines": pa.array(sizes, pa.int32()),
-                    "high": high,
-                    "low": low,
-                    "again": pa.array(again, pa.bool_()),
-                }
-            yield pa.RecordBatch.from_pydict(columns)
-
-    read = docs.select(
-        F.coalesce(F.col(doc_id).cast("long"), F.lit(_SMALLEST)).alias("_dedup_id"),
-        F.xxhash64(text).alias("_dedup_text"),
-        F.col(text).alias("_dedup_body"),
+            hashes = [pair_hashes(value or "") for value in batch.column(2).to_pylist()]
+            sizes = [len(x) for x in hashes]
+            own = batch.take(pa.array(np.repeat(np.arange(len(sizes)), sizes)))
+            both = np.concatenate(hashes)
+            pairs = np.concatenate([np.arange(n, dtype=np.int32) for n in sizes])
+            arrays = [own.column(0), own.column(1), pa.array(pairs), pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())]
+            yield pa.RecordBatch.from_arrays(arrays, [_ID, _TEXT, "pair", "high", "low"])
+
+    read = keyed(docs.select(doc_id, text), doc_id, text).select(_ID, _TEXT, F.col(text).alias("_dedup_body"))
+    return read.mapInArrow(rows_of, _PAIRS)
+
+
+def repeated_in(pairs: DataFrame, first: DataFrame) -> DataFrame:
+    """The repeated pairs of each document that has any, in order, with their first places."""
+    here = F.struct(_ID, _TEXT, "pair")
+    row = F.struct(
+        "pair",
+        (here == F.col("first")).alias("is_first"),
+        F.col(f"first.{_ID}").alias("id"),
+        F.col(f"first.{_TEXT}").alias("text"),
+        F.col("first.pair").alias("place"),
+        "high",
+        "low",
     )
-    return read.mapInArrow(rows_of, _BODY if with_text else _PLACE)
+    found = pairs.join(first, ["high", "low"]).groupBy(_ID, _TEXT)
+    return found.agg(F.array_sort(F.collect_set(row)).alias("_dedup_pairs"))
 
 
-def repeated_chunks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Hash and first document of each chunk that stands twice or more, compared byte by byte. Written to scratch."""
-    spark = docs.sparkSession
-    same = (
-        chunk_table(docs, doc_id, text, with_text=True)
-        .groupBy("high", "low", "body")
-        .agg(F.min("_dedup_id").alias("first_id"), F.count("*").alias("found"))
-    )
-    # A hash with one text of its own is confirmed. Chunks that repeat within one document alone count as well: their
-    # later places carry ``again``.
-    confirmed = (
-        same.groupBy("high", "low")
-        .agg(F.min("first_id").alias("first_id"), F.sum("found").alias("found"), F.count("*").alias("texts"))
-        .where("texts = 1 and found > 1")
-        .drop("texts")
+def ambiguous(docs: DataFrame, repeated: DataFrame, text: str) -> DataFrame:
+    """Rolling hashes of repeated pairs that stand for different bytes."""
+
+    def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            rows: list[tuple] = []
+            for value, pairs in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                lines, places = worded(value)
+                rows += {(p["high"], p["low"], pair_text(lines, places, p["pair"])) for p in pairs}
+            columns = list(zip(*rows)) or [(), (), ()]
+            kinds = [pa.int64(), pa.int64(), pa.string()]
+            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(columns, kinds)], ["high", "low", "body"])
+
+    texts = docs.join(repeated, [_ID, _TEXT]).select(text, "_dedup_pairs")
+    bodies = texts.mapInArrow(rows_of, "high bigint, low bigint, body string")
+    found = bodies.groupBy("high", "low").agg(F.min("body").alias("least"), F.max("body").alias("most"))
+    return found.where("least <> most").select("high", "low")
+
+
+def repeated_pairs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Each document with repeated pairs, and these in order with their first places. Written to scratch."""
+    pairs = written(pair_table(docs, doc_id, text), "line-pairs")
+    first = (
+        pairs.groupBy("high", "low")
+        .agg(F.min(F.struct(_ID, _TEXT, "pair")).alias("first"), F.count("*").alias("found"))
+        .where("found > 1")
+        .drop("found")
     )
-    path = scratch_dir(spark, "repeated-chunks")
-    confirmed.write.parquet(path)
-    return spark.read.schema(confirmed.schema).parquet(path)
+    first = written(first, "repeated-hashes")
+    repeated = written(repeated_in(pairs, first), "repeated-pairs")
+    doubtful = written(ambiguous(keyed(docs, doc_id, text), repeated, text), "ambiguous-hashes")
+    if doubtful.isEmpty():
+        return repeated
+    return written(repeated_in(pairs, first.join(doubtful, ["high", "low"], "left_anti")), "repeated-pairs")
 
 
-def remove_repeated_chunks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def remove_repeated_chunks(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: int = MIN_CHARACTERS
+) -> DataFrame:
     """``docs`` with the text that is left, ``removed`` (first line, number of lines) and ``n_removed_lines``."""
-    repeated = repeated_chunks(docs, doc_id, text)
-    places = chunk_table(docs, doc_id, text, with_text=False)
-    removals = (
-        places.join(repeated.select("high", "low", "first_id"), ["high", "low"], "left")
-        .where("again or _dedup_id <> first_id")
-        .groupBy("_dedup_id", "_dedup_text")
-        .agg(F.array_sort(F.collect_set(F.struct("first_line", "lines"))).alias("_dedup_gone"))
-    )
+    repeated = repeated_pairs(docs, doc_id, text)
+    slim = F.transform("_dedup_pairs", lambda p: F.struct(p["pair"], p["is_first"], p["id"], p["text"], p["place"]))
+    # A document of first places alone loses nothing.
+    repeated = repeated.where(F.exists("_dedup_pairs", lambda p: ~p["is_first"])).select(_ID, _TEXT, slim.alias("_dedup_pairs"))
 
     def left_of(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        for texts, removed in batches:
-            gone = [[] if r is None else merged([(p["first_line"], p["lines"]) for p in r]) for r in removed]
+        for texts, found in batches:
+            gone = [[] if r is None else removals(x, [tuple(p.values()) for p in r], least) for x, r in zip(texts, found)]
             left = [without(x, r) if r else None for x, r in zip(texts, gone)]
             places = [[{"first_line": start, "lines": size} for start, size in r] for r in gone]
             yield pd.DataFrame({"text": pd.Series(left, dtype=object), "removed": pd.Series(places, dtype=object)})
 
-    joined = docs.withColumns(
-        {"_dedup_id": F.coalesce(F.col(doc_id).cast("long"), F.lit(_SMALLEST)), "_dedup_text": F.xxhash64(text)}
-    ).join(removals, ["_dedup_id", "_dedup_text"], "left")
-    joined = joined.withColumn("_dedup_left", F.pandas_udf(left_of, _LEFT)(F.col(text), F.col("_dedup_gone")))
+    joined = keyed(docs, doc_id, text).join(repeated, [_ID, _TEXT], "left")
+    joined = joined.withColumn("_dedup_left", F.pandas_udf(left_of, _LEFT)(F.col(text), F.col("_dedup_pairs")))
     none = F.array().cast("array<struct<first_line:int,lines:int>>")
-    places = F.when(F.col("_dedup_gone").isNull(), none).otherwise(F.col("_dedup_left.removed"))
+    places = F.when(F.col("_dedup_pairs").isNull(), none).otherwise(F.col("_dedup_left.removed"))
     fields = F.struct(
-        F.when(F.col("_dedup_gone").isNull(), F.col(text)).otherwise(F.col("_dedup_left.text")).alias(text),
+        F.when(F.size(places) == 0, F.col(text)).otherwise(F.col("_dedup_left.text")).alias(text),
         places.alias("removed"),
         F.aggregate(places, F.lit(0), lambda n, x: n + x.lines).alias("n_removed_lines"),
     )
     kept = add_fields(joined, fields, [text, "removed", "n_removed_lines"])
-    return kept.drop("_dedup_id", "_dedup_text", "_dedup_gone", "_dedup_left")
+    return kept.drop(_ID, _TEXT, "_dedup_pairs", "_dedup_left")
