@@ -4,8 +4,8 @@ Words and phrases of up to three words are counted per language, pieces of text
 the words that it meets and counts phrases in a trie over word numbers: its leaves are hash containers, each for a range of
 neighbouring prefixes. A container that grows past ``BURST`` entries bursts: a range of several first words is cut in two
 between words, one first word's container is cut between second words, and so on, so the trie is deep only where a prefix
-is frequent. When a task holds ``HELD`` entries, the largest containers, which are whole subtrees, leave the trie as sorted
-runs until half of the entries are left.
+is frequent. When a task holds ``HELD`` entries, the largest containers, which are whole subtrees, leave the trie until half of the
+entries are left; what leaves together is one sorted run.
 
 A run is cut by prefix partition (first word, and a few parts of its second words, so that a frequent first word is spread)
 into compressed blocks of sorted phrases with their counts. Spark brings the blocks of a partition together, sorted by their
@@ -27,25 +27,30 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from noticeworks.llm.mixing import written
-from noticeworks.llm.words import slices
+from noticeworks.llm.words import mix, slices
 
 WORDS = 3
 LEAST = 10
 SCALE = 1_000_000
 COVERED = 50
 FIRST = 2000
-#: Entries that a container and a task hold, and phrases in a block.
+#: Entries that a container and a task hold, and the most phrases in a block.
 BURST = 1 << 15
-HELD = 1 << 20
+HELD = 1 << 21
 BLOCK = 4096
+#: Prefix partitions of each language; as many tasks can merge its runs.
+PARTS = 512
 #: Parts that the second words behind one first word are dealt to.
 SECOND_PARTS = 16
+#: Words that are numbered at once.
+AT_ONCE = 1 << 18
 _BITS = 21
 _MASK = (1 << _BITS) - 1
 #: A-Z are lower-cased, tabs are blanks, and the ends of pieces become a byte that no UTF-8 text holds.
@@ -100,37 +105,77 @@ def keys_of(numbers: np.ndarray) -> np.ndarray:
     return np.concatenate(keys)
 
 
+class Container:
+    """A hash table of keys and counts, open addressing in arrays; many keys are added at once."""
+
+    def __init__(self, keys: np.ndarray | None = None, counts: np.ndarray | None = None):
+        self.size = 0
+        self._empty(1 << 10)
+        if keys is not None:
+            self.add(keys, counts)
+
+    def _empty(self, slots: int) -> None:
+        self.keys, self.counts = np.full(slots, -1, np.int64), np.zeros(slots, np.int64)
+
+    def entries(self) -> tuple[np.ndarray, np.ndarray]:
+        filled = self.keys >= 0
+        return self.keys[filled], self.counts[filled]
+
+    def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
+        """Adds the counts of different keys."""
+        if 2 * (self.size + len(keys)) > len(self.keys):
+            held = self.entries()
+            self._empty(1 << (2 * (self.size + len(keys))).bit_length())
+            self.size = 0
+            self._put(*held)
+        self._put(keys, counts)
+
+    def _put(self, keys: np.ndarray, counts: np.ndarray) -> None:
+        mask = len(self.keys) - 1
+        slots = (mix(keys.view(np.uint64)) & np.uint64(mask)).view(np.int64)
+        while len(keys):
+            free = self.keys[slots] < 0
+            # Of several keys on one free slot one takes it; the others find it taken.
+            self.keys[slots[free]] = keys[free]
+            own = self.keys[slots] == keys
+            self.size += int((free & own).sum())
+            self.counts[slots[own]] += counts[own]
+            other = ~own
+            keys, counts, slots = keys[other], counts[other], (slots[other] + 1) & mask
+
+
 class Trie:
     """Counts of keys in hash containers; container k holds the keys from ``lows[k]`` up to the next."""
 
     def __init__(self):
         self.lows = [0]
-        self.containers: list[dict[int, int]] = [{}]
-        self.size = 0
+        self.containers = [Container()]
+
+    @property
+    def size(self) -> int:
+        return sum(x.size for x in self.containers)
 
     def add(self, keys: np.ndarray) -> None:
-        found, counts = np.unique(keys, return_counts=True)
-        cuts = np.r_[np.searchsorted(found, self.lows), len(found)].tolist()
-        found, counts = found.tolist(), counts.tolist()
+        keys = np.sort(keys)
+        starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else keys
+        counts = np.diff(np.r_[starts, len(keys)])
+        keys = keys[starts]
+        cuts = [*np.searchsorted(keys, self.lows).tolist(), len(keys)]
         full = []
         for k, held in enumerate(self.containers):
-            start, end = cuts[k], cuts[k + 1]
-            if start == end:
-                continue
-            before = len(held)
-            for key, n in zip(found[start:end], counts[start:end]):
-                held[key] = held.get(key, 0) + n
-            self.size += len(held) - before
-            if len(held) > BURST:
-                full.append(self.lows[k])
+            if cuts[k] < cuts[k + 1]:
+                held.add(keys[cuts[k] : cuts[k + 1]], counts[cuts[k] : cuts[k + 1]])
+                if held.size > BURST:
+                    full.append(self.lows[k])
         for low in full:
             self._burst(low)
 
     def _burst(self, low: int) -> None:
         """Cuts a container between words until no part is full; single phrases cannot be cut."""
         k = bisect_right(self.lows, low) - 1
-        held = self.containers[k]
-        keys = np.sort(np.fromiter(held, np.int64, len(held)))
+        keys, counts = self.containers[k].entries()
+        order = np.argsort(keys)
+        keys, counts = keys[order], counts[order]
         middle, cut = int(keys[len(keys) // 2]), None
         for level in range(WORDS - 1, -1, -1):  # between first words if that parts it, else between second words
             at = middle >> (level * _BITS) << (level * _BITS)
@@ -142,53 +187,63 @@ class Trie:
                 break
         if cut is None:
             return
-        upper = {key: n for key, n in held.items() if key >= cut}
-        for key in upper:
-            del held[key]
+        half = int(np.searchsorted(keys, cut))
+        parts = [Container(keys[:half], counts[:half]), Container(keys[half:], counts[half:])]
         self.lows.insert(k + 1, cut)
-        self.containers[k] = dict(held)
-        self.containers.insert(k + 1, upper)
-        for low, part in ((low, held), (cut, upper)):
-            if len(part) > BURST:
+        self.containers[k : k + 1] = parts
+        for low, part in zip((low, cut), parts):
+            if part.size > BURST:
                 self._burst(low)
 
-    def spill(self, left: int) -> Iterator[dict[int, int]]:
-        """The largest containers, taken out until ``left`` entries stay."""
-        for k in sorted(range(len(self.containers)), key=lambda k: -len(self.containers[k])):
-            if self.size <= left:
+    def spill(self, left: int) -> tuple[np.ndarray, np.ndarray]:
+        """Keys and counts of the largest containers, taken out until ``left`` entries stay."""
+        out, size = [], self.size
+        for k in sorted(range(len(self.containers)), key=lambda k: -self.containers[k].size):
+            if size <= left:
                 break
-            held, self.containers[k] = self.containers[k], {}
-            self.size -= len(held)
-            if held:
-                yield held
+            out.append(self.containers[k].entries())
+            size -= self.containers[k].size
+            self.containers[k] = Container()
+        if not out:
+            return np.empty(0, np.int64), np.empty(0, np.int64)
+        return np.concatenate([keys for keys, _ in out]), np.concatenate([counts for _, counts in out])
 
 
-def blocks(held: dict[int, int], numbers: Numbers, parts: int, lang: str) -> Iterator[tuple]:
-    """A container's phrases as rows of ``_RUN``: sorted within each prefix partition."""
-    keys = np.fromiter(held.keys(), np.int64, len(held))
-    counts = np.fromiter(held.values(), np.int64, len(held))
+def blocks(keys: np.ndarray, counts: np.ndarray, numbers: Numbers, parts: int, lang: str) -> Iterator[tuple]:
+    """Phrases and their counts as rows of ``_RUN``: sorted within each prefix partition."""
     columns = [(keys >> ((WORDS - 1 - k) * _BITS)) & _MASK for k in range(WORDS)]
     # Words by their bytes: the numbers of those in here, in order. The end of a piece stands for no word.
-    used = np.unique(np.concatenate(columns))
+    used = np.zeros(len(numbers.words), bool)
+    for column in columns:
+        used[column] = True
+    used = np.flatnonzero(used)
     names = [numbers.words[x] if x else b"" for x in used.tolist()]
     order = sorted(range(len(names)), key=names.__getitem__)
-    rank = np.empty(len(names), np.int64)
-    rank[order] = np.arange(len(names))
-    places = [np.searchsorted(used, x) for x in columns]
+    names = [names[k] for k in order]
+    rank = np.zeros(len(numbers.words), np.int64)
+    rank[used[order]] = np.arange(len(names))
+    places = [rank[x] for x in columns]
     hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, names), np.uint64, len(names))
     second = hashes[places[1]] % np.uint64(SECOND_PARTS)
-    with np.errstate(over="ignore"):
-        part = ((hashes[places[0]] + second * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(16)) % np.uint64(parts)
-    sort = np.lexsort([rank[x] for x in reversed(places)] + [part])
-    first, then, third = ([names[x] for x in column[sort].tolist()] for column in places)
+    part = ((hashes[places[0]] + second * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(16)) % np.uint64(parts)
+    sort = np.argsort((places[0] << (2 * _BITS)) + (places[1] << _BITS) + places[2])
+    sort = sort[np.argsort(part[sort].astype(np.uint16), kind="stable")]
     part, counts = part[sort], counts[sort]
-    phrases = [a + b"\x00" + b + b"\x00" + c if c else a + b"\x00" + b if b else a for a, b, c in zip(first, then, third)]
+    # All phrases behind one another, a line each, without an object for any of them.
+    words = pa.array(names, pa.large_binary())
+    tails = pa.array([b"\x00" + x if x else x for x in names], pa.large_binary())
+    ends = pa.array([(b"\x00" + x if x else x) + b"\n" for x in names], pa.large_binary())
+    parts_of = [x.take(pa.array(column[sort])) for x, column in zip((words, tails, ends), places)]
+    phrases = pc.binary_join_element_wise(*parts_of, pa.scalar(b"", pa.large_binary()))
+    _, offsets, data = phrases.buffers()
+    offsets, data = np.frombuffer(offsets, np.int64)[phrases.offset :], memoryview(data)
     pack = zstandard.ZstdCompressor(level=1).compress
     starts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]]).tolist()
     for start, end in zip(starts, [*starts[1:], len(part)]):
         for at in range(start, end, BLOCK):
             to = min(at + BLOCK, end)
-            yield lang, int(part[start]), phrases[at], pack(b"\n".join(phrases[at:to])), pack(counts[at:to].tobytes())
+            first = bytes(data[offsets[at] : offsets[at + 1] - 1])
+            yield lang, int(part[start]), first, pack(data[offsets[at] : offsets[to] - 1]), pack(counts[at:to].tobytes())
 
 
 def runs(docs: DataFrame, parts: int, text: str = "text") -> DataFrame:
@@ -201,8 +256,9 @@ def runs(docs: DataFrame, parts: int, text: str = "text") -> DataFrame:
         def spilled(left: int) -> Iterator[pa.RecordBatch]:
             whole = sum(trie.size for trie in tries.values())
             for lang, trie in tries.items():
-                for held in trie.spill(left * trie.size // max(whole, 1)):
-                    columns = zip(*blocks(held, numbers, parts, lang))
+                keys, counts = trie.spill(left * trie.size // max(whole, 1))
+                if len(keys):
+                    columns = zip(*blocks(keys, counts, numbers, parts, lang))
                     kinds = [pa.string(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
                     arrays = [pa.array(x, kind) for x, kind in zip(columns, kinds)]
                     yield pa.RecordBatch.from_arrays(arrays, ["lang", "part", "first", "phrases", "counts"])
@@ -213,13 +269,13 @@ def runs(docs: DataFrame, parts: int, text: str = "text") -> DataFrame:
                 texts.setdefault("und" if lang is None else lang, []).append(value)
             for lang, values in texts.items():
                 words = [x for x in words_of(values) if x]
-                for start in range(0, len(words), HELD):  # phrases across this cut come with the next part
-                    part = words[max(0, start - WORDS + 1) : start + HELD]
-                    numbered = np.fromiter(map(numbers.__getitem__, part), np.int64, len(part))
-                    tries.setdefault(lang, Trie()).add(keys_after(numbered, min(start, WORDS - 1)))
-                    if len(numbers.words) > _MASK - HELD:
+                for start in range(0, len(words), AT_ONCE):  # phrases across this cut come with the next part
+                    part = words[max(0, start - WORDS + 1) : start + AT_ONCE]
+                    if len(numbers.words) + len(part) > _MASK:
                         yield from spilled(0)
                         numbers, tries = Numbers(), {}
+                    numbered = np.fromiter(map(numbers.__getitem__, part), np.int64, len(part))
+                    tries.setdefault(lang, Trie()).add(keys_after(numbered, min(start, WORDS - 1)))
             if sum(trie.size for trie in tries.values()) > HELD:
                 yield from spilled(HELD // 2)
         yield from spilled(0)
@@ -276,10 +332,9 @@ def merged(rows: Iterator[tuple[str, int, bytes, bytes, bytes]], least: int) ->
         yield place[0], 0, None, total
 
 
-def frequent(docs: DataFrame, text: str = "text", least: int = LEAST) -> DataFrame:
+def frequent(docs: DataFrame, text: str = "text", least: int = LEAST, parts: int = PARTS) -> DataFrame:
     """lang, words, phrase and n of all words and phrases counted ``least`` times or more; rows without a phrase hold
     numbers of all words."""
-    parts = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     kinds = [pa.string(), pa.int32(), pa.string(), pa.int64()]
 
     def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

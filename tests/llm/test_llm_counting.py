@@ -116,9 +116,10 @@ def some_rows(seed, words, n=120, size=60):
     return [(k, made(), rnd.choice(["en", "de", None]), "s", 1) for k in range(n)]
 
 
-@pytest.mark.parametrize("held", [1 << 20, 60])
-def test_phrases_of_ties_and_spills(spark, monkeypatch, held):
+@pytest.mark.parametrize(("held", "at_once"), [(1 << 20, 1 << 18), (60, 1 << 18), (1 << 20, 7)])
+def test_phrases_of_ties_and_spills(spark, monkeypatch, held, at_once):
     monkeypatch.setattr(phrases, "HELD", held)
+    monkeypatch.setattr(phrases, "AT_ONCE", at_once)
     monkeypatch.setattr(phrases, "BURST", 16)
     monkeypatch.setattr(phrases, "BLOCK", 8)
     rows = some_rows(3, ["the", "OF", "and", "zéro", "\x00a", "a\x00", "\x01", "日本", "\x1c", "b", "ab", "\U0001f600", "￮"])
@@ -136,6 +137,13 @@ def test_phrases_of_an_empty_table_and_without_words(spark):
     assert mined(spark, [(1, None, "en", "a", 1), (2, " .\t", None, "a", 1)]) == []
 
 
+def test_runs_leave_in_few_blocks(spark):
+    """A task that holds all its entries hands them on once: a block for each partition and language at most."""
+    rows = some_rows(5, [f"w{k}" for k in range(300)], n=600)
+    blocks = phrases.runs(frame(spark, rows).coalesce(1), 8).groupBy("lang", "part").count().collect()
+    assert len(blocks) == 24 and all(r["count"] <= 4 for r in blocks)
+
+
 def test_a_trie_counts_and_spills_whole(monkeypatch):
     monkeypatch.setattr(phrases, "BURST", 64)
     rnd = np.random.default_rng(5)
@@ -146,11 +154,10 @@ def test_a_trie_counts_and_spills_whole(monkeypatch):
         trie.add(keys)
         whole.update(keys.tolist())
     assert len(trie.lows) > 10 and trie.lows == sorted(trie.lows)
-    assert trie.size == len(whole) == sum(map(len, trie.containers))
+    assert trie.size == len(whole) == sum(x.size for x in trie.containers)
     found = Counter()
     for left in (trie.size // 2, 0):
-        for held in trie.spill(left):
-            found.update(held)
+        found.update(dict(zip(*[x.tolist() for x in trie.spill(left)])))
         assert trie.size <= left
     assert found == whole
 
