@@ -45,8 +45,7 @@ _COUNTED = "lang string, source string, term string, n long, docs long"
 
 
 def term_counts(docs: DataFrame, text: str = "text") -> DataFrame:
-    """lang, source, term, occurrences and documents, counted within tasks: a term may come several times. A row
-    without a term stands for the group."""
+    """lang, source, term, occurrences and documents, counted within tasks: a term may come several times."""
 
     def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
@@ -55,11 +54,11 @@ def term_counts(docs: DataFrame, text: str = "text") -> DataFrame:
         def flush() -> pa.RecordBatch:
             langs, sources, terms, found, docs_ = [], [], [], [], []
             for (lang, source), (occurrences, documents) in held.items():
-                langs += [lang] * (len(occurrences) + 1)
-                sources += [source] * (len(occurrences) + 1)
-                terms += [None, *[x.decode() for x in occurrences]]
-                found += [0, *occurrences.values()]
-                docs_ += [0, *[documents[x] for x in occurrences]]
+                langs += [lang] * len(occurrences)
+                sources += [source] * len(occurrences)
+                terms += [x.decode() for x in occurrences]
+                found += occurrences.values()
+                docs_ += map(documents.__getitem__, occurrences)
             arrays = [pa.array(x, pa.string()) for x in (langs, sources, terms)]
             arrays += [pa.array(x, pa.int64()) for x in (found, docs_)]
             held.clear()
@@ -83,9 +82,10 @@ def term_counts(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def share(n: Column, total: Column, terms: Column) -> Column:
-    """``1 + floor(UNIT * (n + 1) / (total + terms))``."""
-    wide = F.lit(UNIT).cast("decimal(10,0)") * (n + 1).cast("decimal(19,0)")
-    return _divided(wide, (total + terms).cast("decimal(20,0)")) + 1
+    """``1 + floor(UNIT * (n + 1) / (total + terms))``; beyond 64 bits in decimals."""
+    narrow = _divided(F.lit(UNIT).cast("long") * (n + 1), total + terms)
+    wide = _divided(F.lit(UNIT).cast("decimal(10,0)") * (n + 1).cast("decimal(19,0)"), (total + terms).cast("decimal(20,0)"))
+    return F.when(n < 2**63 // UNIT - 1, narrow).otherwise(wide) + 1
 
 
 def _divided(a: Column, b: Column) -> Column:
@@ -103,7 +103,7 @@ def kept_terms(counted: DataFrame) -> DataFrame:
     An array has at most one entry for each source of the language; the result has a row for each pair of sources.
     """
     # One exchange serves both aggregations.
-    at_term = counted.where(F.col("term").isNotNull()).repartition("lang", "term")
+    at_term = counted.repartition("lang", "term")
     by_source = at_term.groupBy("lang", "term", "source").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
     return (
         by_source.groupBy("lang", "term")
@@ -117,9 +117,9 @@ def kept_terms(counted: DataFrame) -> DataFrame:
     )
 
 
-def group_totals(counted: DataFrame, kept: DataFrame) -> DataFrame:
+def group_totals(docs: DataFrame, kept: DataFrame) -> DataFrame:
     """lang, source, total (occurrences of kept terms), lang_total and terms (V), one row for each group that occurs."""
-    groups = counted.select("lang", "source").distinct()
+    groups = docs.select(*[F.coalesce(c, F.lit("")).alias(c) for c in ("lang", "source")]).distinct()
     own = kept.select("lang", F.explode("places").alias("at")).groupBy("lang", F.col("at.source").alias("source"))
     of_lang = kept.groupBy("lang").agg(F.sum("lang_n").alias("lang_total"), F.count("*").alias("terms"))
     found = groups.join(own.agg(F.sum("at.n").alias("total")), ["lang", "source"], "left").join(of_lang, "lang", "left")
@@ -130,24 +130,27 @@ def pair_values(kept: DataFrame, totals: DataFrame) -> DataFrame:
     """lang, source, item (another source of the language) and value."""
     here = totals.select("lang", "source", "total", "terms")
     there = totals.select("lang", F.col("source").alias("item"), F.col("total").alias("item_total"))
-    pairs = here.join(there, "lang").where("source <> item")
     n, m, terms = F.col("n"), F.col("m"), F.col("terms")
     p, q = share(n, F.col("total"), terms), share(m, F.col("item_total"), terms)
-    p0, q0 = share(F.lit(0), F.col("total"), terms), share(F.lit(0), F.col("item_total"), terms)
-    none = distance(p0, q0)
+    p0, q0, none = F.col("p0"), F.col("q0"), F.col("none")
+    zero = F.lit(0).cast("long")
+    pairs = (
+        here.join(there, "lang")
+        .where("source <> item")
+        .withColumn("p0", F.when(terms > 0, share(zero, F.col("total"), terms)))
+        .withColumn("q0", F.when(terms > 0, share(zero, F.col("item_total"), terms)))
+        .withColumn("none", distance(p0, q0))
+    )
 
     # Terms with the same counts everywhere first, then cells of two sources, the smaller name first.
     alike = kept.groupBy("lang", "places").agg(F.count("*").alias("times"))
-    two = F.flatten(
-        F.transform(
-            "places",
-            lambda a: F.transform(
-                F.filter("places", lambda b: b["source"] > a["source"]),
-                lambda b: F.struct(a["source"].alias("s"), b["source"].alias("t"), a["n"].alias("n"), b["n"].alias("m")),
-            ),
-        )
+    first = alike.select("lang", "times", "places", F.posexplode("places").alias("at", "a"))
+    behind = F.explode(F.slice("places", F.col("at") + 2, F.size("places"))).alias("b")
+    two = first.select("lang", "times", "a", behind)
+    cells = (
+        two.groupBy("lang", F.col("a.source").alias("s"), F.col("b.source").alias("t"), F.col("a.n").alias("n"), F.col("b.n").alias("m"))
+        .agg(F.sum("times").alias("times"))
     )
-    cells = alike.select("lang", "times", F.inline(two)).groupBy("lang", "s", "t", "n", "m").agg(F.sum("times").alias("times"))
     common = cells.select(
         "lang",
         "times",
@@ -173,7 +176,7 @@ def pair_values(kept: DataFrame, totals: DataFrame) -> DataFrame:
         own.select("lang", F.col("source").alias("item"), F.col("n").alias("m"), "times")
         .join(pairs, ["lang", "item"])
         .select(*keys, (wide * (distance(p0, q) - none)).alias("value")),
-        pairs.select(*keys, F.when(terms > 0, terms.cast("decimal(20,0)") * none).alias("value")),
+        pairs.select(*keys, (terms.cast("decimal(20,0)") * none).alias("value")),
     ]
     summed = parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
     return summed.groupBy(*keys).agg(F.coalesce(F.sum("value"), F.lit(0)).cast("long").alias("value"))
@@ -208,9 +211,8 @@ def term_values(kept: DataFrame, totals: DataFrame) -> DataFrame:
 def audit(docs: DataFrame, text: str = "text") -> DataFrame:
     """lang, source, part (pair or term), item, value and rank: the sources that differ most from each source, and the
     terms that set it apart from its language."""
-    counted = written(term_counts(docs, text), "term-counts")
-    kept = written(kept_terms(counted), "kept-terms")
-    totals = written(group_totals(counted, kept), "group-totals")
+    kept = written(kept_terms(term_counts(docs, text)), "kept-terms")
+    totals = written(group_totals(docs, kept), "group-totals")
     order = Window.partitionBy("lang", "source").orderBy(F.col("value").desc(), F.col("item"))
     pairs = pair_values(kept, totals).withColumn("rank", F.row_number().over(order))
     names = ["lang", "source", "part", "item", "value", "rank"]
