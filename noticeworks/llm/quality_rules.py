@@ -20,6 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from noticeworks.llm.mixing import written
 from noticeworks.llm.words import WINDOW, add_fields, window_hashes, word_hashes
 
 SYMBOLS = "#*$%&|<>"
@@ -39,6 +40,9 @@ MAX_CLASS_DISTANCE = 0.30
 MAX_WORD_DISTANCE = 0.245
 #: A histogram of n words is noisy; its limit is higher by this over the root of n.
 WORD_NOISE = 1.1
+#: References that are sent to every task (some hundred bytes each); beyond that they are joined by this many salts.
+LANGUAGES = 10_000
+SALTS = 64
 
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "class_counts", "common_counts"]
 _TYPE = (
@@ -148,6 +152,18 @@ def references(measures: DataFrame, lang: str) -> DataFrame:
     )
 
 
+def with_references(measures: DataFrame, known: DataFrame, lang: str) -> DataFrame:
+    """``measures`` with the references of their languages. Up to ``LANGUAGES`` of them, which are counted, go to every
+    task, so no document moves; more are joined by language and a salt, so that a frequent language is spread."""
+    same = F.col(lang).eqNullSafe(F.col("_rules_lang"))
+    if known.count() <= LANGUAGES:
+        return measures.join(F.broadcast(known), same, "left")
+    salted = known.withColumn("_rules_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    dealt = measures.withColumn("_rules_own_salt", (F.monotonically_increasing_id() % SALTS).cast("int"))
+    joined = dealt.join(salted, same & (F.col("_rules_own_salt") == F.col("_rules_salt")), "left")
+    return joined.drop("_rules_salt", "_rules_own_salt")
+
+
 def judge(
     docs: DataFrame,
     text: str = "text",
@@ -160,13 +176,12 @@ def judge(
 ) -> DataFrame:
     """``docs`` without the text, with its measures, both distances, ``base_failed`` and ``kept``.
 
-    The measures are taken twice, once for the references and once for the verdicts, so that no text is shuffled.
+    The measures are taken once and written without the texts; no text is shuffled.
     """
     names = [*MEASURES, "class_distance", "word_distance", "base_failed", "judged", "kept"]
     rest = [c for c in docs.columns if c != text and (c == lang or c.lower() not in names)]
-    measures = add_fields(docs, measured(F.col(text)), MEASURES).select(*rest, *MEASURES)
-    known = references(add_fields(docs.select(text, lang), measured(F.col(text)), MEASURES), lang)
-    joined = measures.join(known, F.col(lang).eqNullSafe(F.col("_rules_lang")), "left")
+    measures = written(add_fields(docs, measured(F.col(text)), MEASURES).select(*rest, *MEASURES), "measures")
+    joined = with_references(measures, written(references(measures, lang), "references"), lang)
     long_enough = (F.col("n_words") >= min_words) & (F.col("word_chars") >= min_chars)
     word_limit = max_word_distance + word_noise / F.sqrt(F.greatest("n_words", F.lit(1)))
     near = (F.col("class_distance") <= max_class_distance) & (F.col("word_distance") <= word_limit)
