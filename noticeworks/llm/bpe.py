@@ -229,7 +229,8 @@ def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     kept = [c for c in docs.columns if c.lower() not in names]
 
     def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = encoder_of(vocabulary.value)
+        # The words of this task go with it: other stages of a pipeline run in the same workers and need the memory.
+        encoder = Encoder(Vocabulary(vocabulary.value))
         words = encoder.vocabulary
         for batch in slices(batches, 64):
             texts = batch["_fields_text"].to_pylist()
