@@ -11,9 +11,12 @@ The pairs form a reduction tree. Documents are dealt to leaves of about ``LEAF``
 at most one document undecided, and ``FAN`` leaves at a time are combined, until one document of the source is drawn
 alone. All draws are hashes of ids and the level, so reruns agree, however the rows lie.
 
+Rows of equal id, source and size (among them rows without an id) form a unit. Of a unit of n rows the whole part of n times
+the fraction is certain, and only what is left of it is rounded, as the fraction of one row; the unit's rows are numbered,
+and the first of them get a copy more than the others.
+
 Defined cases. Null and empty texts have size 0 and take 0 words; so does a source without words. A null source is a
-source. Rows of equal id, source and size are one document and get the same copies. An empty table gives an empty result.
-Columns of the input named like a result are replaced.
+source. An empty table gives an empty result. Columns of the input named like a result are replaced.
 """
 
 from __future__ import annotations
@@ -110,28 +113,30 @@ def round_in_pairs(words: list[int], due: list[float], draws: list[float]) -> tu
     return due, held
 
 
-_NODE = "doc_id long, source string, size long, repeats long, whole int, due double, hash long, node long"
+_NODE = "doc_id long, source string, size long, repeats long, whole int, more long, due double, hash long, node long"
 
 
 def _level(rows: DataFrame, level: int) -> DataFrame:
-    """One level of the tree: every node's documents are rounded; ``due`` is left between 0 and 1 for at most one."""
+    """One level of the tree: every node's units are rounded; ``due`` is left between 0 and 1 for at most one."""
 
     def combined(group: pa.Table) -> pa.Table:
         # Long documents first: the one that is left undecided is then mostly a short one.
         order = [("size", "descending"), ("hash", "ascending"), ("doc_id", "ascending")]
         group = group.take(pc.sort_indices(group, order))
-        words = pc.multiply(group["size"], group["repeats"]).to_pylist()
         draws = drawn(group["hash"].to_numpy(), level).tolist()
-        due, _ = round_in_pairs(words, group["due"].to_pylist(), draws)
+        due, _ = round_in_pairs(group["size"].to_pylist(), group["due"].to_pylist(), draws)
         return group.set_column(group.column_names.index("due"), "due", pa.array(due, pa.float64()))
 
     return rows.groupBy("source", "node").applyInArrow(combined, _NODE)
 
 
 def copies(sizes: DataFrame, shares: DataFrame, limit: int = LIMIT) -> DataFrame:
-    """doc_id, source, size, repeats (equal rows) and copies: how often the mix takes each of these rows."""
+    """doc_id, source, size, repeats (rows of the unit), copies and more: how often the mix takes each of these rows, and
+    how many of them it takes once more."""
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     leaves = F.ceil(F.col("documents") / LEAF)
+    # Rows without words need no rounding.
+    part = F.when(F.col("size") > 0, F.col("repeats") * (F.col("rate") - F.col("whole"))).otherwise(F.lit(0.0))
     units = (
         sizes.groupBy("doc_id", "source", "size")
         .agg(F.count("*").alias("repeats"))
@@ -139,10 +144,11 @@ def copies(sizes: DataFrame, shares: DataFrame, limit: int = LIMIT) -> DataFrame
         .withColumn("rate", F.least(rate, F.lit(float(limit))))
         .withColumn("whole", F.floor("rate").cast("int"))
         .withColumn("hash", F.xxhash64(F.lit(SEED), "doc_id", "size"))
-        # Rows without words need no rounding.
-        .withColumn("due", F.when(F.col("size") > 0, F.col("rate") - F.col("whole")).otherwise(F.lit(0.0)))
+        .withColumn("part", part)
+        .withColumn("more", F.floor("part"))
+        .withColumn("due", F.col("part") - F.col("more"))
         .withColumn("node", F.pmod(F.xxhash64(F.lit(SEED + 1), "hash"), leaves))
-        .select("doc_id", "source", "size", "repeats", "whole", "due", "hash", "node")
+        .select("doc_id", "source", "size", "repeats", "whole", "more", "due", "hash", "node")
     )
     undecided = (F.col("due") > 0) & (F.col("due") < 1)
     decided, level = None, 0
@@ -159,8 +165,8 @@ def copies(sizes: DataFrame, shares: DataFrame, limit: int = LIMIT) -> DataFrame
         rows = rows.withColumn("node", F.floor(F.col("node") / FAN))
     chance = F.shiftrightunsigned(F.xxhash64(F.lit(SEED + 2), "hash"), 11) * F.lit(2.0**-53)
     last = rows.withColumn("due", (chance < F.col("due")).cast("double"))
-    number = (F.col("whole") + F.col("due")).cast("int")
-    return decided.unionByName(last).select("doc_id", "source", "size", "repeats", number.alias("copies"))
+    more = F.col("more") + F.col("due").cast("long")
+    return decided.unionByName(last).select("doc_id", "source", "size", "repeats", F.col("whole").alias("copies"), more.alias("more"))
 
 
 def plan(docs: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -170,12 +176,10 @@ def plan(docs: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame]:
     return copies(sizes, shares), shares
 
 
-def mixed(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The mix: each row of ``docs`` as often as it is taken."""
-    taken, _ = plan(docs, text)
-    taken = taken.where("copies > 0").select(
-        F.col("doc_id").alias("_mix_doc_id"), F.col("source").alias("_mix_source"), F.col("size").alias("_mix_size"), "copies"
-    ).withColumnRenamed("copies", "_mix_copies")
+def taken_rows(docs: DataFrame, taken: DataFrame, text: str) -> DataFrame:
+    """``docs`` with ``_mix_copies``: how often the mix takes each row."""
+    names = {"doc_id": "_mix_doc_id", "source": "_mix_source", "size": "_mix_size", "repeats": "_mix_repeats"}
+    units = taken.withColumnsRenamed({**names, "copies": "_mix_copies", "more": "_mix_more"})
     sized = docs.withColumn("_mix_own_size", size_of(text))
     same = (
         F.col("doc_id").eqNullSafe(F.col("_mix_doc_id"))
@@ -183,17 +187,43 @@ def mixed(docs: DataFrame, text: str = "text") -> DataFrame:
         & (F.col("_mix_own_size") == F.col("_mix_size"))
     )
     kept = [F.col(f"`{c}`") for c in docs.columns]
-    repeated = F.explode(F.array_repeat(F.lit(1), F.col("_mix_copies"))).alias("_mix_copy")
-    return sized.join(taken, same).select(*kept, repeated).drop("_mix_copy")
+    joined = sized.join(units.where("_mix_copies > 0 or _mix_more > 0"), same)
+    alone = joined.where("_mix_repeats = 1").select(*kept, (F.col("_mix_copies") + F.col("_mix_more")).alias("_mix_copies"))
+    several = units.where("_mix_repeats > 1 and (_mix_copies > 0 or _mix_more > 0)")
+    if several.isEmpty():
+        return alone
+    # Number the rows of units of several rows: over all of them, less the number that its unit starts with.
+    order = [F.col("_mix_doc_id"), F.col("_mix_source"), F.col("_mix_size"), F.xxhash64(text), F.col("_mix_row")]
+    rows = sized.join(several, same).withColumn("_mix_row", F.monotonically_increasing_id())
+    rows = numbered(rows, *order).withColumnRenamed("number", "_mix_number")
+    unit = ["_mix_doc_id", "_mix_source", "_mix_size"]
+    starts = rows.groupBy(*unit).agg(F.min("_mix_number").alias("_mix_start"))
+    starts = starts.withColumnsRenamed({c: f"{c}_of" for c in unit})
+    of_unit = F.lit(True)
+    for c in unit:
+        of_unit = of_unit & F.col(c).eqNullSafe(F.col(f"{c}_of"))
+    first = (F.col("_mix_number") - F.col("_mix_start") < F.col("_mix_more")).cast("long")
+    numbered_rows = rows.join(starts, of_unit).select(*kept, (F.col("_mix_copies") + first).alias("_mix_copies"))
+    return alone.unionByName(numbered_rows)
+
+
+def mixed(docs: DataFrame, text: str = "text") -> DataFrame:
+    """The mix: each row of ``docs`` as often as it is taken."""
+    taken, _ = plan(docs, text)
+    kept = [F.col(f"`{c}`") for c in docs.columns]
+    repeated = F.explode(F.array_repeat(F.lit(1), F.col("_mix_copies").cast("int"))).alias("_mix_copy")
+    return taken_rows(docs, written(taken, "mix"), text).where("_mix_copies > 0").select(*kept, repeated).drop("_mix_copy")
 
 
 def report(docs: DataFrame, text: str = "text") -> DataFrame:
     """doc_id, size, source_size, target and taken, one row for each document."""
     taken, shares = plan(docs, text)
     shares = shares.select(F.col("source").alias("_source"), "source_size", "target")
-    repeated = F.explode(F.array_repeat(F.lit(1), F.col("repeats").cast("int"))).alias("_row")
-    return (
-        taken.join(shares, F.col("source").eqNullSafe(F.col("_source")))
-        .select("doc_id", "source", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), repeated)
-        .drop("_row")
+    # A unit's rows in stretches of LEAF, so that no row holds a list as long as the unit.
+    stretch = F.explode(F.sequence(F.lit(0), F.col("repeats") - 1, F.lit(LEAF))).alias("_start")
+    numbers = F.explode(F.sequence(F.col("_start"), F.least(F.col("_start") + LEAF, F.col("repeats")) - 1)).alias("_number")
+    rows = taken.select("*", stretch).select("*", numbers)
+    number = F.col("copies") + (F.col("_number") < F.col("more")).cast("long")
+    return rows.join(shares, F.col("source").eqNullSafe(F.col("_source"))).select(
+        "doc_id", "source", "size", "source_size", "target", (F.col("size") * number).alias("taken")
     )
