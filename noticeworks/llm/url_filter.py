@@ -6,10 +6,11 @@ handed out by Spark; each worker maps it into memory. A URL asks for every suffi
 its path that is as long as some key's. All questions of a batch are one vectorised binary search; a digest that is found
 counts only if the stored key is the same string. Of the keys found the longest wins, of equal ones that of the longer host.
 
-Lists of up to ``MAX_KEYS`` keys are mapped. Larger ones, as tables, are joined by key (``judged_by_join``): same results.
+Lists of up to ``MAX_KEYS`` keys are mapped. Longer ones, and lists that are tables, are joined by host and path start
+(``judged_by_join``), which has no bound and gives the same rows.
 
 Defined cases. A null URL or one without ``://`` has an empty host and path and asks for nothing. Keys that come twice
-count once, the last action winning. Repeated rows are judged alike. An empty table or list gives no findings. Columns of
+count once, the last action winning; in a table, which has no order, ``block`` wins. Repeated rows are judged alike. An empty table or list gives no findings. Columns of
 the input named like a result are replaced.
 """
 
@@ -25,6 +26,7 @@ from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from noticeworks.llm.mixing import written
 from noticeworks.llm.words import add_fields
 from noticeworks.session import scratch_dir
 
@@ -133,6 +135,9 @@ def publish(spark: SparkSession, rules: list[tuple[str, str, str]]) -> str:
 
 def judged(pages: DataFrame, rules: list[tuple[str, str, str]], prefix: str = "", host: str = "host", path: str = "path") -> DataFrame:
     """``pages`` with ``<prefix>rule`` and ``<prefix>action`` of the key that wins, or nulls."""
+    if len(rules) > MAX_KEYS:
+        table = pages.sparkSession.createDataFrame(last_of_each(rules), "action string, host string, path string")
+        return judged_by_join(pages, table, prefix, host, path)
     name = publish(pages.sparkSession, rules)
 
     def rows_of(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
@@ -146,36 +151,49 @@ def judged(pages: DataFrame, rules: list[tuple[str, str, str]], prefix: str = ""
     return add_fields(pages, F.pandas_udf(rows_of, kind)(F.col(host), F.col(path)), names)
 
 
-def judged_by_join(pages: DataFrame, rules: DataFrame, page_id: str, host: str = "host", path: str = "path") -> DataFrame:
-    """(page_id, rule, action) of the pages that a key of the table ``rules`` (action, host, path) fits, without a bound."""
-    keys = rules.select(F.concat("host", "path").alias("rule"), "action", F.length("host").alias("_h"), F.length("path").alias("_p"))
-    lengths = [r["_p"] for r in keys.select("_p").distinct().limit(10_001).collect()]
-    if len(lengths) > 10_000:
-        raise ValueError("paths of over 10,000 lengths")
+def last_of_each(rules: list[tuple[str, str, str]]) -> list[tuple[str, str, str]]:
+    return [(action, host, path) for (host, path), action in {(h, p): a for a, h, p in rules}.items()]
+
+
+def judged_by_join(pages: DataFrame, rules: DataFrame, prefix: str = "", host: str = "host", path: str = "path") -> DataFrame:
+    """``judged`` for a table of rules (action, host, path) of any length.
+
+    Each suffix of a host first meets the hosts of the rules, with the lengths of their paths; only for those does a URL
+    ask for starts of its path.
+    """
+    keys = rules.groupBy(F.col("host").alias("_host"), F.col("path").alias("_start")).agg(F.max("action").alias("_action"))
+    hosts = keys.groupBy("_host").agg(F.collect_set(F.length("_start")).alias("_lengths"))
+    rows = written(pages.withColumn("_rules_row", F.monotonically_increasing_id()), "pages")
     labels = F.split(host, r"\.")
     suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda k: F.array_join(F.slice(labels, k, F.size(labels)), "."))
     asked = (
-        pages.where(F.length(host) > 0)
-        .select(page_id, path, F.explode(suffixes).alias("_suffix"))
-        .select(page_id, path, "_suffix", F.explode(F.array(*map(F.lit, lengths))).alias("_n"))
-        .where(F.length(path) >= F.col("_n"))
-        .select(page_id, F.concat("_suffix", F.substring(F.col(path), F.lit(1), F.col("_n"))).alias("rule"))
+        rows.where(F.length(host) > 0)
+        .select("_rules_row", F.col(path).alias("_path"), F.explode(suffixes).alias("_host"))
+        .join(hosts, "_host")
+        .select("_rules_row", "_host", "_path", F.explode(F.filter("_lengths", lambda n: n <= F.length("_path"))).alias("_n"))
+        .select("_rules_row", "_host", F.expr("substring(_path, 1, _n)").alias("_start"))
     )
-    found = asked.join(keys, "rule")
-    return found.groupBy(page_id).agg(
-        F.max_by(F.struct("rule", "action"), F.struct(F.length("rule"), "_h")).alias("_won")
-    ).select(page_id, "_won.rule", "_won.action")
+    size = F.octet_length("_host") + F.octet_length("_start")
+    best = F.max(F.struct(size.alias("size"), F.octet_length("_host").alias("h"), F.concat("_host", "_start").alias("rule"), "_action"))
+    won = asked.join(keys, ["_host", "_start"]).groupBy("_rules_row").agg(best.alias("_rules_won"))
+    fields = F.struct(F.col("_rules_won.rule").alias(f"{prefix}rule"), F.col("_rules_won._action").alias(f"{prefix}action"))
+    joined = rows.join(won, "_rules_row", "left")
+    return add_fields(joined, fields, [f"{prefix}rule", f"{prefix}action"]).drop("_rules_row", "_rules_won")
 
 
 def verdicts(
     pages: DataFrame,
     url: str = "url",
     rules: list[tuple[str, str, str]] = RULES,
-    blocked: list[tuple[str, str, str]] = BLOCKED,
+    blocked: list[tuple[str, str, str]] | DataFrame = BLOCKED,
 ) -> DataFrame:
-    """``pages`` with host, path, rule and verdict: the action of the rule that wins, else of the list, else ``allow``."""
+    """``pages`` with host, path, rule and verdict: the action of the rule that wins, else of the list, else ``allow``.
+
+    The list may be a table (action, host, path).
+    """
     fields = F.struct(host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
     split = add_fields(pages, fields, ["host", "path"])
-    found = judged(judged(split, rules), blocked, "listed_")
+    by_list = judged_by_join if isinstance(blocked, DataFrame) else judged
+    found = by_list(judged(split, rules), blocked, "listed_")
     verdict = F.coalesce("action", "listed_action", F.lit("allow"))
     return found.withColumn("verdict", verdict).drop("action", "listed_action")

@@ -133,15 +133,24 @@ def test_equal_digests_are_told_apart_by_their_strings(tmp_path, monkeypatch):
     assert keys.judge(["x.h7.org", "h41.org", "h3.org"], ["/a/b", "/a/", "/"]) == [("h7.org/a/", "block"), None, ("h3.org", "block")]
 
 
-def test_empty_list_and_the_join_for_long_lists(spark, tmp_path):
+def test_empty_list_and_the_join_for_long_lists(spark, tmp_path, monkeypatch):
     path = tmp_path / "keys"
     path.write_bytes(url_filter.pack([]))
     assert url_filter.DigestArray(str(path)).judge(["a.net"], ["/"]) == [None]
     pages = queries.table(spark, FOLDER, "pages").select("page_id", "url")
-    split = pages.withColumn("host", url_filter.host_of(pages.url)).withColumn("path", url_filter.path_of(pages.url))
-    rules = spark.createDataFrame(url_filter.RULES, "action string, host string, path string")
-    mapped = url_filter.judged(split, url_filter.RULES).where("rule is not null").select("page_id", "rule", "action")
-    assert sorted(map(tuple, url_filter.judged_by_join(split, rules, "page_id").collect())) == sorted(map(tuple, mapped.collect()))
+    odd = spark.createDataFrame([(k % 5, u) for k, u in enumerate(URLS * 2)], "page_id long, url string")
+    rules = [*url_filter.RULES, *url_filter.BLOCKED, ("block", "net", ""), ("allow", "y.net", "/" + "x" * 30)]
+    table = spark.createDataFrame([*rules, rules[0]], "action string, host string, path string")
+    for df in (pages, odd):
+        mapped = url_filter.verdicts(df, blocked=rules)
+        joined = url_filter.verdicts(df, blocked=table)
+        assert joined.columns == mapped.columns
+        assert sorted(joined.collect(), key=repr) == sorted(mapped.collect(), key=repr)
+    assert url_filter.verdicts(odd, blocked=table.where("false")).where("verdict = 'block'").count() > 0
+    monkeypatch.setattr(url_filter, "MAX_KEYS", 3)
+    again = url_filter.verdicts(odd, blocked=rules)
+    assert sorted(again.collect(), key=repr) == sorted(mapped.collect(), key=repr)
+    assert url_filter.verdicts(odd.limit(0), blocked=rules).count() == 0
 
 
 # Fingerprints
@@ -249,13 +258,29 @@ def test_mix_of_uneven_sources(spark, monkeypatch):
 
 
 def test_mix_of_odd_rows(spark):
-    rows = [r for r in ROWS if r[0] is not None]
+    rows = ROWS
     check_mix(rows, with_source(mixing.report(frame(spark, rows)), rows))
     assert mixing.report(frame(spark)).count() == len(ROWS)
     assert mixing.report(frame(spark, [])).count() == 0
     assert mixing.report(frame(spark, [(1, "", "en", "a", 1), (2, None, "en", None, 1)])).count() == 2
 
 
+def test_rows_of_one_unit_are_rounded_one_by_one(spark):
+    """Rows without an id, equal but for their texts, meet the target within one of them."""
+    rows = [(None, prose(10, k), "en", "s", 1) for k in range(3000)] + [(k, prose(13, k), "en", "t", 1) for k in range(100)]
+    df = frame(spark, rows)
+    out = mixing.report(df).collect()
+    assert len(out) == 3100
+    target = {r["source"]: r["target"] for r in out}
+    taken = {s: sum(r["taken"] for r in out if r["source"] == s) for s in target}
+    assert abs(taken["s"] - target["s"]) <= 10 and abs(taken["t"] - target["t"]) <= 13
+    assert {r["taken"] // r["size"] for r in out if r["source"] == "s"} <= {math.floor(target["s"] / 30000), math.ceil(target["s"] / 30000)}
+    got = Counter(r["source"] for r in mixing.mixed(df).collect())
+    assert got == {"s": taken["s"] // 10, "t": taken["t"] // 13}
+    again = Counter(r["text"] for r in mixing.mixed(frame(spark, rows[::-1])).collect())
+    assert again == Counter(r["text"] for r in mixing.mixed(df).collect())
+
+
 def test_mixed_rows_are_the_reported_copies(spark):
     rows = [(k, prose(5 + k % 40, k), "en", "abc"[k % 3], 1) for k in range(400)] + [(1, prose(6, 1), "en", "b", 1)]
     df = frame(spark, rows, {"copies": "x", "size": "y", "_copy": "z"})
@@ -340,6 +365,18 @@ def test_junk_goes_and_clean_documents_stay(spark):
 # The pipeline
 
 
+def test_no_document_is_shuffled_by_language(spark, settings, monkeypatch):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__autoBroadcastJoinThreshold="-1")
+    rows = [(k, prose(50 + k, k), [None, "en", "de"][k % 3], "a", 1) for k in range(40)] + ROWS
+    judged = quality_rules.judge(frame(spark, rows))
+    assert "hashpartitioning" not in judged._jdf.queryExecution().executedPlan().toString()
+    # More languages than may be sent to every task: the same rows by a salted join.
+    monkeypatch.setattr(quality_rules, "LANGUAGES", 0)
+    salted = quality_rules.judge(frame(spark, rows))
+    assert salted.columns == judged.columns
+    assert sorted(map(repr, salted.collect())) == sorted(map(repr, judged.collect()))
+
+
 def test_pipeline(spark):
     import corpus_pipeline as pipeline
 
