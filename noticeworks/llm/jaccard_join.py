@@ -9,8 +9,8 @@ shuffled. A hash that no other set has is dropped, and a set left with fewer tha
 Of the others the rarest are enough: with s shared hashes left, the s - need(n) + 1 rarest of each set must meet. A tile
 is one such hash with the sets that hold it.
 
-Which of them do. A set is first compared with a few centres of its tiles (stars, so a group of n near copies costs a few n
-comparisons and not n * n). Tiles whose sets are not all linked by then are cut in bands of sizes by which only
+Which of them do. A set is first compared with one centre of each of its tiles (stars, so a group of n near copies costs a
+few n comparisons and not n * n), then with a few others that the first has not joined it to. Tiles whose sets are not all linked by then are cut in bands of sizes by which only
 neighbours can link, and in blocks if large; in them the bitmaps of all remaining pairs are compared. Every bit of A that
 B lacks is a shingle of A that B lacks, so bit counts bound the overlap from above. What passes the bound is compared
 exactly, by intersecting sorted arrays. Nothing is capped or sampled.
@@ -394,17 +394,33 @@ def grouped(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tupl
     """The classes of all documents, and (sid, root) of the classes that link with another."""
     known = classes(docs, doc_id, text)
     met = tiles(docs, text)
-    star = met.select(F.explode("centres").alias("a"), F.col("sid").alias("b")).where("a <> b")
-    star = written(star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "stars")
-    wanted = star.select(F.col("a").alias("sid")).unionByName(star.select(F.col("b").alias("sid"))).distinct()
-    sets = sets_of(docs, known, wanted, doc_id, text)
+    sets = sets_of(docs, known, met.select("sid").distinct(), doc_id, text)
+    star = stars(met.select(F.get("centres", 0).alias("a"), F.col("sid").alias("b")))
     roots = written(components(linked(star, sets)), "roots")
-    rest = open_pairs(met, sets, roots).join(star, ["a", "b"], "left_anti")
-    more = linked(written(rest, "open-pairs"), sets)
-    roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
+    # The other centres meet only the sets that the first has not joined to them.
+    others = met.select(F.explode(F.slice("centres", 2, len(CENTRES))).alias("a"), F.col("sid").alias("b"))
+    for side in "ab":
+        own = roots.select(F.col("node").alias(side), F.col("root").alias(f"root_{side}"))
+        others = others.join(own, side, "left").withColumn(f"root_{side}", F.coalesce(f"root_{side}", side))
+    more_stars = stars(others.where("root_a <> root_b"), star)
+    roots = written(components(joined_to(roots, linked(more_stars, sets))), "roots")
+    compared = star.unionByName(more_stars)
+    rest = written(open_pairs(met, sets, roots).join(compared, ["a", "b"], "left_anti"), "open-pairs")
+    roots = components(joined_to(roots, linked(rest, sets)))
     return known, roots.withColumnRenamed("node", "sid")
 
 
+def stars(pairs: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """The different pairs, smaller sid first, but for known ones. Written to the shared folder."""
+    sided = pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return written(sided.join(known, ["a", "b"], "left_anti") if known is not None else sided, "stars")
+
+
+def joined_to(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """Known components and more links as edges."""
+    return roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(links)
+
+
 def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles and component_id: the smallest id that the document reaches by links, itself included."""
     known, roots = grouped(docs, doc_id, text)

@@ -211,3 +211,28 @@ def test_the_query(spark):
     rows = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()]
     got = sorted(map(tuple, queries.op3_ngram_jaccard(spark, "/root/testdata/sf0.001").collect()), key=repr)
     assert got == plain(rows)
+
+
+def test_pairs_grow_in_line_with_a_group(spark, monkeypatch):
+    """One group of near copies, three times as large: three times the stars and the open pairs, not nine times."""
+    rnd, counts = random.Random(1), {}
+    words = [f"w{k}" for k in range(5000)]
+    base = [rnd.choice(words) for _ in range(300)]
+    keep = j.written
+
+    def counted(df, label):
+        out = keep(df, label)
+        if label in ("stars", "open-pairs"):
+            counts[n] = counts.get(n, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(j, "written", counted)
+    for n in (100, 300):
+        rows = []
+        for k in range(n):
+            text = list(base)
+            for _ in range(rnd.randint(0, 14)):
+                text[rnd.randrange(300)] = rnd.choice(words)
+            rows.append((k, " ".join(text), "en", "a", 1))
+        j.near_copies(frame(spark, rows)).count()
+    assert counts[300] <= 4 * counts[100]
