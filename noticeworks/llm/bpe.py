@@ -58,6 +58,8 @@ PLAIN = "[\x00-\x7f\xc0-\xd6\xd8-\xf6\xf8-\xff]*"
 PLAIN_PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LATIN}]+| ?[0-9]+| ?[^\s0-9{_LATIN}]+|\s+(?!\S)|\s+"
 MAX_VOCABULARY_BYTES = 64 << 20
 CACHED_WORDS = 200_000
+#: Words kept by a stage of a pipeline, whose workers share an executor with what other stages have left there.
+STAGE_WORDS = 100_000
 _BYTES_PER_ID = 4
 
 
@@ -146,15 +148,15 @@ class Vocabulary:
 class _Words(dict):
     """Bytes of the ids of each word met, computed on first use. Two generations: the older is dropped when the newer is full."""
 
-    def __init__(self, make):
+    def __init__(self, make, most: int):
         super().__init__()
-        self.make, self.old = make, {}
+        self.make, self.most, self.old = make, most, {}
 
     def __missing__(self, word: str) -> bytes:
         found = self.old.get(word)
         if found is None:
             found = self.make(word)
-        if len(self) >= CACHED_WORDS:
+        if len(self) >= min(self.most, CACHED_WORDS):
             self.old = dict(self)
             self.clear()
         self[word] = found
@@ -164,10 +166,10 @@ class _Words(dict):
 class Encoder:
     """Encodes texts with one vocabulary; ids come as little-endian unsigned 32-bit integers."""
 
-    def __init__(self, vocabulary: Vocabulary):
+    def __init__(self, vocabulary: Vocabulary, most: int = CACHED_WORDS):
         self.vocabulary = vocabulary
-        self.tokens = _Words(self._token)
-        self.words = _Words(self._word)
+        self.tokens = _Words(self._token, most)
+        self.words = _Words(self._word, most)
 
     def _token(self, token: str) -> bytes:
         return np.array(self.vocabulary.merge(token.encode()), "<u4").tobytes()
@@ -230,7 +232,7 @@ def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
 
     def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # The words of this task go with it: other stages of a pipeline run in the same workers and need the memory.
-        encoder = Encoder(Vocabulary(vocabulary.value))
+        encoder = Encoder(Vocabulary(vocabulary.value), STAGE_WORDS)
         words = encoder.vocabulary
         for batch in slices(batches, 64):
             texts = batch["_fields_text"].to_pylist()

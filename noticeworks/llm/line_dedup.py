@@ -208,7 +208,9 @@ def remove_repeated_chunks(
             yield pd.DataFrame({"text": pd.Series(left, dtype=object), "removed": pd.Series(places, dtype=object)})
 
     joined = keyed(docs, doc_id, text).join(repeated, [_ID, _TEXT], "left")
-    joined = joined.withColumn("_dedup_left", F.pandas_udf(left_of, _LEFT)(F.col(text), F.col("_dedup_pairs")))
+    # A filter on what is left would otherwise be pushed below and the texts cut twice, in two workers of each task.
+    cut_once = F.pandas_udf(left_of, _LEFT).asNondeterministic()
+    joined = joined.withColumn("_dedup_left", cut_once(F.col(text), F.col("_dedup_pairs")))
     none = F.array().cast("array<struct<first_line:int,lines:int>>")
     places = F.when(F.col("_dedup_pairs").isNull(), none).otherwise(F.col("_dedup_left.removed"))
     fields = F.struct(

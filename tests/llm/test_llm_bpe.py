@@ -89,3 +89,10 @@ def test_a_vocabulary_over_the_bound_is_refused(spark, monkeypatch):
     monkeypatch.setattr(bpe, "MAX_VOCABULARY_BYTES", 10)
     with pytest.raises(ValueError):
         bpe.load(spark, PATH)
+
+
+def test_an_encoder_keeps_no_more_words_than_it_may(library):
+    with open(PATH, encoding="utf-8") as file:
+        own = bpe.Encoder(bpe.Vocabulary(file.read()), 3)
+    same(library, own, "the ring of the ring, of rings! the end 12 é " * 3)
+    assert all(len(x) <= 3 and len(x.old) <= 3 for x in (own.words, own.tokens))

@@ -4,6 +4,7 @@ from collections import Counter
 from cases import ROWS, frame
 
 from noticeworks.llm import line_dedup as d
+from noticeworks.llm import stages
 
 
 def plain(rows, least=d.MIN_CHARACTERS):
@@ -184,3 +185,9 @@ def test_blank_lines_within_and_around_a_passage(spark):
 def test_runs_of_one_line_keep_a_passage(spark):
     rows = [(k, "\n".join(["a b"] * n), "en", "a", 1) for k, n in ((1, 5), (2, 3))]
     assert texts_left(spark, rows, least=1) == [(1, "a b\na b"), (2, "")]
+
+
+def test_a_filter_on_what_is_left_does_not_cut_texts_twice(spark):
+    left = d.remove_repeated_chunks(frame(spark))
+    for df in (left.where("text <> ''"), stages.lines(spark, frame(spark), "")):
+        assert df._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
