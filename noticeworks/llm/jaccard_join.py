@@ -11,9 +11,9 @@ is one such hash with the sets that hold it.
 
 Which of them do. A set is first compared with one centre of each of its tiles (stars, so a group of n near copies costs a
 few n comparisons and not n * n), then with a few others that the first has not joined it to. Tiles whose sets are not all linked by then are cut in bands of sizes by which only
-neighbours can link, and in blocks if large; in them the bitmaps of all remaining pairs are compared. Every bit of A that
-B lacks is a shingle of A that B lacks, so bit counts bound the overlap from above. What passes the bound is compared
-exactly, by intersecting sorted arrays. Nothing is capped or sampled.
+neighbours can link, and in blocks if large; in them brief bitmaps of all remaining pairs are compared, then the whole
+bitmaps of the pairs that pass. Every bit of A that B lacks is a shingle of A that B lacks, so bit counts bound the overlap
+from above. What passes the bound is compared exactly, by intersecting sorted arrays. Nothing is capped or sampled.
 
 Defined cases. Null and empty texts, and texts without words, have size 0 and link with nothing. Texts of fewer than five
 words are one shingle. A null id counts as smaller than all others where one row of a group is chosen. Rows of equal id
@@ -42,12 +42,14 @@ SPARE = 12
 CENTRES = [0x0, 0x1E3779B97F4A7C15, 0x42B2AE3D27D4EB4F, 0x565667B19E3779F9, 0x66E8FEB86659FD93, 0x20761D6478BD642F]
 #: Sets of a tile that are compared at once.
 BLOCK = 1024
+#: Pairs that a task remembers so as not to give them again.
+REMEMBERED = 100_000
 #: Frequencies are counted up to here; beyond, the order of hashes alone decides.
 FREQUENT = 65_536
 #: Ids that may be broadcast to pick documents; beyond, they are shuffled.
 BROADCAST_ROWS = 1_000_000
-#: A bitmap has BITS to twice as many bits for each hash; pairs are compared first with a quarter of them.
-BITS = 8
+#: A bitmap has BITS to twice as many bits for each hash; tiles are compared by a brief one, folded to BRIEF to twice as many.
+BITS, BRIEF = 8, 2
 MIN_BITS, MAX_BITS = 64, 65_536
 _SMALLEST = -(2**63)
 _GROWTH = 100 / PERCENT + 1e-9
@@ -78,11 +80,17 @@ def set_id(hashes: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(hashes.tobytes()) - 2**63
 
 
-def bitmap(hashes: np.ndarray) -> np.ndarray:
-    """Bytes of a bitmap whose number of bits is a power of two, so that it can be folded in halves."""
+def width(n: int, bits: int) -> int:
+    """Bits of a bitmap of ``n`` hashes: a power of two, so that it can be folded in halves."""
     size = MIN_BITS
-    while size < min(BITS * len(hashes), MAX_BITS):
+    while size < min(bits * n, MAX_BITS):
         size *= 2
+    return size
+
+
+def bitmap(hashes: np.ndarray) -> np.ndarray:
+    """Bytes of the bitmap of a set."""
+    size = width(len(hashes), BITS)
     bits = np.zeros(size, bool)
     bits[(mix(hashes) & np.uint64(size - 1)).astype(np.int64)] = True
     return np.packbits(bits)
@@ -96,6 +104,11 @@ def folded(bits: np.ndarray, size: int) -> np.ndarray:
     return bits
 
 
+def brief(bits: np.ndarray, n: int) -> np.ndarray:
+    """The bitmap of ``n`` hashes folded to what tiles are compared by."""
+    return folded(bits, width(n, BRIEF) // 8)
+
+
 def overlap_bound(n_a, bits_a: np.ndarray, n_b, bits_b: np.ndarray):
     """No fewer than |A and B|: of each set, what the other's bitmap lacks is left out."""
     size = min(bits_a.shape[-1], bits_b.shape[-1])
@@ -234,7 +247,7 @@ def tiles(docs: DataFrame, text: str) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, known: DataFrame, wanted: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(sid, n, bits, hashes) of the wanted sids, each from its smallest document. Written to the shared folder."""
+    """(sid, n, brief, bits, hashes) of the wanted sids, each from its smallest document. Written to the shared folder."""
     ids = known.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(_SMALLEST)))
     chosen = written(ids.join(wanted, "sid", "left_semi").groupBy("sid").agg(F.min("_id").alias("_id")), "chosen")
     few = chosen.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
@@ -245,16 +258,18 @@ def sets_of(docs: DataFrame, known: DataFrame, wanted: DataFrame, doc_id: str, t
             own = [(sid, shingles(x)) for sid, x in zip(batch["sid"].to_pylist(), batch["_t"].to_pylist())]
             # Rows of one id may have different texts; equal rows give equal sets.
             own = [(sid, x) for sid, x in own if set_id(x) == sid]
+            bits = [bitmap(x) for _, x in own]
             columns = [
                 pa.array([sid for sid, _ in own], pa.int64()),
                 pa.array([len(x) for _, x in own], pa.int32()),
-                pa.array([bitmap(x).tobytes() for _, x in own], pa.binary()),
+                pa.array([brief(b, len(x)).tobytes() for b, (_, x) in zip(bits, own)], pa.binary()),
+                pa.array([b.tobytes() for b in bits], pa.binary()),
                 pa.array([x.tobytes() for _, x in own], pa.binary()),
             ]
-            yield pa.RecordBatch.from_arrays(columns, ["sid", "n", "bits", "hashes"])
+            yield pa.RecordBatch.from_arrays(columns, ["sid", "n", "brief", "bits", "hashes"])
 
     picked = texts.join(F.broadcast(chosen) if few else chosen, "_id").select("sid", "_t")
-    made = picked.mapInArrow(rows_of, "sid long, n int, bits binary, hashes binary")
+    made = picked.mapInArrow(rows_of, "sid long, n int, brief binary, bits binary, hashes binary")
     return written(made.dropDuplicates(["sid"]), "sets")
 
 
@@ -280,16 +295,20 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             keep = [bool(enough(overlap(s, t), len(s), len(t))) for s, t in both]
             yield x.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    def with_sets(pairs: DataFrame, fields: list[str]) -> DataFrame:
+    def with_sets(pairs: DataFrame, sets: DataFrame, fields: list[str]) -> DataFrame:
         for side in "ab":
             own = sets.select(F.col("sid").alias(side), *[F.col(f).alias(f"{f}_{side}") for f in fields])
             pairs = pairs.join(own, side)
         return pairs
 
-    sized = with_sets(pairs, ["n", "bits"])
+    sized = with_sets(pairs, sets, ["n", "bits"])
     near = sized.where(100 * F.least("n_a", "n_b") >= PERCENT * F.greatest("n_a", "n_b"))
     bounded = written(near.mapInArrow(possible, "a long, b long"), "bounded")
-    return written(with_sets(bounded, ["hashes"]).mapInArrow(exact, "a long, b long"), "links")
+    # Hashes are the bulk of a set: only those of sets in a bounded pair leave their task.
+    left = bounded.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
+    few = left.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    compared = sets.join(F.broadcast(left) if few else left, "sid", "left_semi")
+    return written(with_sets(bounded, compared, ["hashes"]).mapInArrow(exact, "a long, b long"), "links")
 
 
 def _band(n: Column) -> Column:
@@ -297,25 +316,25 @@ def _band(n: Column) -> Column:
     return F.floor(F.log(n.cast("double")) / F.log(F.lit(_GROWTH))).cast("int")
 
 
-def _width(band: int, bits: int) -> int:
-    """Bytes that bitmaps of so many bits a hash have at least in this band and the one below."""
-    size, smallest = MIN_BITS, int(_GROWTH ** max(0, band - 1))
-    while size < min(bits * smallest, MAX_BITS):
-        size *= 2
-    return size // 8
+_CELL = ["band", "token", "i", "j"]
 
 
-_CELL = ["band", "token", "i", "j"]
+def _stacked(bitmaps: list[np.ndarray], size: int) -> np.ndarray:
+    """The bitmaps folded to ``size`` bytes as rows; zeros for those that are smaller."""
+    none = np.zeros(size, np.uint8)
+    return np.stack([folded(x, size) if len(x) >= size else none for x in bitmaps])
 
 
 def _near_in_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs that the bounds of sizes and bitmaps let through, of rows sorted by cell. Cells are bounded by ``BLOCK``.
 
-    A pair that meets in several tiles is given in the one of the least hash.
+    A pair that meets in several tiles is given once while a task remembers it; what comes again is left out later.
     All cells of a band are compared at once: each row with the next one, then with the one after that, and so on while
     they share a cell.
     """
 
+    given_out: set[tuple[int, int]] = set()
+
     def pairs(rows: pa.Table) -> Iterator[pa.RecordBatch]:
         band = rows["band"].to_numpy()
         for cut in np.split(np.arange(len(band)), np.flatnonzero(np.diff(band)) + 1):
@@ -323,10 +342,11 @@ def _near_in_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             _, token, i, j, sid, root, n, up, block = (
                 own[c].to_numpy() for c in [*_CELL, "sid", "root", "n", "up", "block"]
             )
-            few, all_bits = (_width(int(band[cut[0]]), x) for x in (BITS // 4, BITS))
-            wide = np.stack([folded(x, all_bits) for x in _unpacked(own["bits"], np.uint8)])
-            bits = folded(wide, few)
-            held = [frozenset(x) for x in own["tokens"].to_pylist()]
+            given = _unpacked(own["bits"], np.uint8)
+            wide = np.array([len(x) for x in given])
+            # The sizes of a cell's sets differ by less than a factor of two, so their bitmaps have two widths at most.
+            folds = {size: _stacked(given, size) for size in np.unique(wide).tolist()}
+            halves = {size: folded(bits, max(MIN_BITS // 8, size // 2)) for size, bits in folds.items()}
             new = np.r_[True, (token[1:] != token[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])]
             cell = np.cumsum(new)
             last = np.append(np.flatnonzero(new)[1:], len(cell))[cell - 1]  # behind the last row of the cell
@@ -339,12 +359,18 @@ def _near_in_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                 ok &= 100 * np.minimum(n[a], n[b]) >= PERCENT * np.maximum(n[a], n[b])
                 a, b = a[ok], b[ok]
                 if len(a):
-                    near = enough(overlap_bound(n[a], bits[a], n[b], bits[b]), n[a], n[b])
-                    a, b = a[near], b[near]
-                    near = enough(overlap_bound(n[a], wide[a], n[b], wide[b]), n[a], n[b])
-                    once = [(x, y) for x, y in zip(a[near], b[near]) if min(held[x] & held[y]) == token[x]]
-                    a, b = (sid[np.array([p[side] for p in once], np.int64)] for side in (0, 1))
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+                    size_of = np.minimum(wide[a], wide[b])
+                    for size in folds:
+                        x, y = a[size_of == size], b[size_of == size]
+                        for bits in (halves[size], folds[size]):
+                            near = enough(overlap_bound(n[x], bits[x], n[y], bits[y]), n[x], n[y])
+                            x, y = x[near], y[near]
+                        found = zip(np.minimum(sid[x], sid[y]).tolist(), np.maximum(sid[x], sid[y]).tolist())
+                        if new := [pair for pair in dict.fromkeys(found) if pair not in given_out]:
+                            if len(given_out) > REMEMBERED:
+                                given_out.clear()
+                            given_out.update(new)
+                            yield pa.RecordBatch.from_arrays([pa.array(side, pa.int64()) for side in zip(*new)], ["a", "b"])
 
     wait = None
     for batch in batches:
@@ -383,8 +409,7 @@ def open_pairs(tiles: DataFrame, sets: DataFrame, roots: DataFrame) -> DataFrame
         lambda j: F.struct(F.least("block", j).alias("i"), F.greatest("block", j).alias("j")),
     )
     spread = cut.select("token", "band", "sid", "root", "n", "up", "block", F.explode(cells).alias("cell"))
-    tokens = rows.groupBy("sid").agg(F.collect_set("token").alias("tokens"))
-    about = sets.select("sid", "bits").join(tokens, "sid")
+    about = sets.select("sid", F.col("brief").alias("bits"))
     full = spread.select("band", "token", "cell.i", "cell.j", "sid", "root", "n", "up", "block").join(about, "sid")
     sorted_cells = full.repartition(*_CELL).sortWithinPartitions(*_CELL)
     return sorted_cells.mapInArrow(_near_in_cells, "a long, b long").distinct()

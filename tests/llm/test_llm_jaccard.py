@@ -239,3 +239,36 @@ def test_pairs_grow_in_line_with_a_group(spark, monkeypatch):
             rows.append((k, " ".join(text), "en", "a", 1))
         j.near_copies(frame(spark, rows)).count()
     assert counts[900] <= 4 * counts[300]
+
+
+def test_tiles_are_compared_by_brief_bitmaps(spark):
+    """What open tiles are dealt with needs no whole bitmaps, and their brief ones still let every link through."""
+    rnd = random.Random(12)
+    base = [f"w{rnd.randint(0, 500)}" for _ in range(400)]
+    rows = [(k, varied(" ".join(base[: rnd.randint(300, 400)]), rnd, 0.02), "en", "a", 1) for k in range(60)]
+    docs = frame(spark, rows)
+    known = j.classes(docs, "doc_id", "text")
+    sets = j.sets_of(docs, known, known.select("sid"), "doc_id", "text")
+    for row in sets.collect():
+        assert row["n"] * j.BRIEF <= 8 * len(row["brief"]) < max(2 * j.MIN_BITS, 2 * row["n"] * j.BRIEF)
+        assert bytes(j.folded(np.frombuffer(row["bits"], np.uint8), len(row["brief"]))) == bytes(row["brief"])
+    tile = known.selectExpr("1L token", "array(sid) centres", "sid", "cast(n as int) n")
+    nobody = spark.createDataFrame([], "node long, root long")
+    found = {tuple(r) for r in j.open_pairs(tile, sets.drop("bits", "hashes"), nobody).collect()}
+    own = {r["sid"]: np.frombuffer(r["hashes"], np.uint64) for r in sets.collect()}
+    linked = {(a, b) for a in own for b in own if a < b and j.enough(j.overlap(own[a], own[b]), len(own[a]), len(own[b]))}
+    assert linked <= found and len(linked) > 20
+
+
+def test_only_sets_in_a_pair_send_their_hashes(spark, monkeypatch):
+    keep, plans = j.written, {}
+
+    def seen(df, label):
+        plans[label] = df._jdf.queryExecution().optimizedPlan().toString()
+        return keep(df, label)
+
+    monkeypatch.setattr(j, "written", seen)
+    text = "a b c d e f g h i j k l m n o p q r s t u v w x y z"
+    rows = [(k, f"{text} {x}", "en", "a", 1) for k, x in enumerate(("1", "2", "3"))]
+    assert found(frame(spark, rows)) == plain(rows)
+    assert plans["links"].count("LeftSemi") == 2
