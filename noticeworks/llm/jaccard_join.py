@@ -10,10 +10,12 @@ Of the others the rarest are enough: with s shared hashes left, the s - need(n)
 is one such hash with the sets that hold it.
 
 Which of them do. A set is first compared with one centre of each of its tiles (stars, so a group of n near copies costs a
-few n comparisons and not n * n), then with a few others that the first has not joined it to. Tiles whose sets are not all linked by then are cut in bands of sizes by which only
-neighbours can link, and in blocks if large; in them brief bitmaps of all remaining pairs are compared, then the whole
-bitmaps of the pairs that pass. Every bit of A that B lacks is a shingle of A that B lacks, so bit counts bound the overlap
-from above. What passes the bound is compared exactly, by intersecting sorted arrays. Nothing is capped or sampled.
+few n comparisons and not n * n), then with a few others that the first has not joined it to. Tiles whose sets are not all
+linked by then are cut in cells: bands of sizes by which only neighbours can link, and blocks if large. In a cell brief
+bitmaps of all remaining pairs are compared. Every bit of A that B lacks is a shingle of A that B lacks, so bit counts bound
+the overlap from above. Small cells give the pairs that pass; whole bitmaps of these are compared, then sorted arrays. Large
+cells give the sets that are in such a pair, once each; these meet again with their sorted arrays and give the links that
+join something, so what leaves a cell is never more than its rows. Nothing is capped or sampled.
 
 Defined cases. Null and empty texts, and texts without words, have size 0 and link with nothing. Texts of fewer than five
 words are one shingle. A null id counts as smaller than all others where one row of a group is chosen. Rows of equal id
@@ -22,7 +24,7 @@ are rows of their own, each in the class of its text. Extra columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +44,10 @@ SPARE = 12
 CENTRES = [0x0, 0x1E3779B97F4A7C15, 0x42B2AE3D27D4EB4F, 0x565667B19E3779F9, 0x66E8FEB86659FD93, 0x20761D6478BD642F]
 #: Sets of a tile that are compared at once.
 BLOCK = 1024
+#: Tiles of at most so many sets of a band give pairs; in larger ones these would grow with the square of a group.
+FEW = 64
+#: Hashes of the sets of a tile that are compared at once.
+BLOCK_HASHES = 2**20
 #: Pairs that a task remembers so as not to give them again.
 REMEMBERED = 100_000
 #: Frequencies are counted up to here; beyond, the order of hashes alone decides.
@@ -317,6 +323,7 @@ def _band(n: Column) -> Column:
 
 
 _CELL = ["band", "token", "i", "j"]
+_ROW = [*_CELL, "sid", "root", "n", "up", "block"]
 
 
 def _stacked(bitmaps: list[np.ndarray], size: int) -> np.ndarray:
@@ -325,54 +332,15 @@ def _stacked(bitmaps: list[np.ndarray], size: int) -> np.ndarray:
     return np.stack([folded(x, size) if len(x) >= size else none for x in bitmaps])
 
 
-def _near_in_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs that the bounds of sizes and bitmaps let through, of rows sorted by cell. Cells are bounded by ``BLOCK``.
-
-    A pair that meets in several tiles is given once while a task remembers it; what comes again is left out later.
-    All cells of a band are compared at once: each row with the next one, then with the one after that, and so on while
-    they share a cell.
-    """
-
-    given_out: set[tuple[int, int]] = set()
+def _whole_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows sorted by cell, dealt so that cells stay whole and all rows are of one band."""
+    wait = None
 
-    def pairs(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+    def bands(rows: pa.Table) -> Iterator[pa.Table]:
         band = rows["band"].to_numpy()
         for cut in np.split(np.arange(len(band)), np.flatnonzero(np.diff(band)) + 1):
-            own = rows.slice(int(cut[0]), len(cut))
-            _, token, i, j, sid, root, n, up, block = (
-                own[c].to_numpy() for c in [*_CELL, "sid", "root", "n", "up", "block"]
-            )
-            given = _unpacked(own["bits"], np.uint8)
-            wide = np.array([len(x) for x in given])
-            # The sizes of a cell's sets differ by less than a factor of two, so their bitmaps have two widths at most.
-            folds = {size: _stacked(given, size) for size in np.unique(wide).tolist()}
-            halves = {size: folded(bits, max(MIN_BITS // 8, size // 2)) for size, bits in folds.items()}
-            new = np.r_[True, (token[1:] != token[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])]
-            cell = np.cumsum(new)
-            last = np.append(np.flatnonzero(new)[1:], len(cell))[cell - 1]  # behind the last row of the cell
-            first = np.arange(len(cell))
-            step = 1
-            while len(first := first[first + step < last[first]]):
-                a, b = first, first + step
-                step += 1
-                ok = (root[a] != root[b]) & ((up[a] == 0) | (up[b] == 0)) & ((i[a] == j[a]) | (block[a] != block[b]))
-                ok &= 100 * np.minimum(n[a], n[b]) >= PERCENT * np.maximum(n[a], n[b])
-                a, b = a[ok], b[ok]
-                if len(a):
-                    size_of = np.minimum(wide[a], wide[b])
-                    for size in folds:
-                        x, y = a[size_of == size], b[size_of == size]
-                        for bits in (halves[size], folds[size]):
-                            near = enough(overlap_bound(n[x], bits[x], n[y], bits[y]), n[x], n[y])
-                            x, y = x[near], y[near]
-                        found = zip(np.minimum(sid[x], sid[y]).tolist(), np.maximum(sid[x], sid[y]).tolist())
-                        if new := [pair for pair in dict.fromkeys(found) if pair not in given_out]:
-                            if len(given_out) > REMEMBERED:
-                                given_out.clear()
-                            given_out.update(new)
-                            yield pa.RecordBatch.from_arrays([pa.array(side, pa.int64()) for side in zip(*new)], ["a", "b"])
+            yield rows.slice(int(cut[0]), len(cut))
 
-    wait = None
     for batch in batches:
         rows = pa.Table.from_batches([batch])
         rows = pa.concat_tables([wait, rows]) if wait is not None else rows
@@ -380,14 +348,92 @@ def _near_in_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             continue
         same = np.logical_and.reduce([(v := rows[c].to_numpy()) == v[-1] for c in _CELL])
         cut = int(np.argmax(same))
-        yield from pairs(rows.slice(0, cut)) if cut else ()
+        yield from bands(rows.slice(0, cut)) if cut else ()
         wait = rows.slice(cut)
     if wait is not None and len(wait):
-        yield from pairs(wait)
+        yield from bands(wait)
 
 
-def open_pairs(tiles: DataFrame, sets: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs (a, b) of the tiles that no link joins yet and that the bounds of sizes and bitmaps let through."""
+def _candidates(
+    own: pa.Table, given: list[np.ndarray], wanted: Callable[[np.ndarray, np.ndarray], np.ndarray]
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of wanted pairs of one cell that the bounds of sizes and of the given bitmaps let through.
+
+    All cells of a band are compared at once: each row with the next one, then with the one after that, and so on while
+    they share a cell. ``wanted`` is asked at each step, so it may depend on what has been found.
+    """
+    token, i, j, n, up, block = (own[c].to_numpy() for c in [*_CELL[1:], "n", "up", "block"])
+    wide = np.array([len(x) for x in given])
+    # The sizes of a cell's sets differ by less than a factor of two, so their bitmaps have two widths at most.
+    folds = {size: _stacked(given, size) for size in np.unique(wide).tolist()}
+    halves = {size: folded(bits, max(MIN_BITS // 8, size // 2)) for size, bits in folds.items()}
+    new = np.r_[True, (token[1:] != token[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])]
+    cell = np.cumsum(new)
+    last = np.append(np.flatnonzero(new)[1:], len(cell))[cell - 1]  # behind the last row of the cell
+    first = np.arange(len(cell))
+    step = 1
+    while len(first := first[first + step < last[first]]):
+        a, b = first, first + step
+        step += 1
+        ok = wanted(a, b) & ((up[a] == 0) | (up[b] == 0)) & ((i[a] == j[a]) | (block[a] != block[b]))
+        ok &= 100 * np.minimum(n[a], n[b]) >= PERCENT * np.maximum(n[a], n[b])
+        a, b = a[ok], b[ok]
+        if len(a):
+            size_of = np.minimum(wide[a], wide[b])
+            for size in folds:
+                x, y = a[size_of == size], b[size_of == size]
+                for bits in (halves[size], folds[size]):
+                    near = enough(overlap_bound(n[x], bits[x], n[y], bits[y]), n[x], n[y])
+                    x, y = x[near], y[near]
+                if len(x):
+                    yield x, y
+
+
+def _near_in_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs that the bounds of sizes and bitmaps let through, of rows sorted by cell.
+
+    A pair that meets in several tiles is given once while a task remembers it; what comes again is left out later.
+    """
+    given_out: set[tuple[int, int]] = set()
+    for own in _whole_cells(batches):
+        sid, root = own["sid"].to_numpy(), own["root"].to_numpy()
+        for a, b in _candidates(own, _unpacked(own["bits"], np.uint8), lambda a, b, root=root: root[a] != root[b]):
+            found = zip(np.minimum(sid[a], sid[b]).tolist(), np.maximum(sid[a], sid[b]).tolist())
+            if new := [pair for pair in dict.fromkeys(found) if pair not in given_out]:
+                if len(given_out) > REMEMBERED:
+                    given_out.clear()
+                given_out.update(new)
+                yield pa.RecordBatch.from_arrays([pa.array(side, pa.int64()) for side in zip(*new)], ["a", "b"])
+
+
+def _paired_in_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by cell: those in a pair that the bounds of sizes and bitmaps let through, without their bitmaps."""
+    for own in _whole_cells(batches):
+        root, paired = own["root"].to_numpy(), np.zeros(len(own), bool)
+        wanted = lambda a, b, root=root, paired=paired: (root[a] != root[b]) & ~(paired[a] & paired[b])
+        for a, b in _candidates(own, _unpacked(own["bits"], np.uint8), wanted):
+            paired[a] = paired[b] = True
+        yield from own.select(_ROW).filter(pa.array(paired)).to_batches()
+
+
+def _links_in_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links of rows sorted by cell, found exactly; what earlier links of the same rows have joined is not compared."""
+    for own in _whole_cells(batches):
+        sid, root = own["sid"].to_numpy(), own["root"].to_numpy().copy()
+        hashes = _unpacked(own["hashes"], np.uint64)
+        links = []
+        for a, b in _candidates(own, [bitmap(x) for x in hashes], lambda a, b, root=root: root[a] != root[b]):
+            for x, y in zip(a.tolist(), b.tolist()):
+                s, t = hashes[x], hashes[y]
+                if root[x] != root[y] and enough(overlap(s, t), len(s), len(t)):
+                    root[root == root[y]] = root[x]
+                    links.append((min(sid[x], sid[y]), max(sid[x], sid[y])))
+        if links:
+            yield pa.RecordBatch.from_arrays([pa.array(side, pa.int64()) for side in zip(*links)], ["a", "b"])
+
+
+def open_cells(tiles: DataFrame, roots: DataFrame) -> DataFrame:
+    """The rows of tiles whose sets no link joins yet, by cell: a tile's sets of neighbouring sizes, in blocks if large."""
     rooted = tiles.join(roots.select(F.col("node").alias("sid"), "root"), "sid", "left")
     rooted = rooted.withColumn("root", F.coalesce("root", "sid"))
     unsettled = rooted.groupBy("token").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r <> s")
@@ -399,20 +445,38 @@ def open_pairs(tiles: DataFrame, sets: DataFrame, roots: DataFrame) -> DataFrame
     placed = rows.select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("up"))
     placed = placed.withColumn("band", F.col("band") + F.col("up"))
     counted = placed.groupBy("token", "band").agg(
-        F.count("*").alias("found"), F.sum(1 - F.col("up")).alias("own"), F.min("root").alias("r"), F.max("root").alias("s")
-    )
-    counted = counted.where("own > 0 and r <> s").withColumn("blocks", F.ceil(F.col("found") / BLOCK))
-    counted = counted.select("token", "band", "blocks")
+        F.count("*").alias("found"), F.sum(1 - F.col("up")).alias("own"), F.min("root").alias("r"), F.max("root").alias("s"),
+        F.sum("n").alias("hashes"),
+    )
+    blocks = F.ceil(F.greatest(F.col("found") / BLOCK, F.col("hashes") / BLOCK_HASHES))
+    counted = counted.where("own > 0 and r <> s").select("token", "band", "found", blocks.alias("blocks"))
     cut = placed.join(counted, ["token", "band"]).withColumn("block", F.pmod(F.xxhash64("sid"), "blocks"))
     cells = F.transform(
         F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1),
         lambda j: F.struct(F.least("block", j).alias("i"), F.greatest("block", j).alias("j")),
     )
-    spread = cut.select("token", "band", "sid", "root", "n", "up", "block", F.explode(cells).alias("cell"))
-    about = sets.select("sid", F.col("brief").alias("bits"))
-    full = spread.select("band", "token", "cell.i", "cell.j", "sid", "root", "n", "up", "block").join(about, "sid")
-    sorted_cells = full.repartition(*_CELL).sortWithinPartitions(*_CELL)
-    return sorted_cells.mapInArrow(_near_in_cells, "a long, b long").distinct()
+    spread = cut.select("found", "token", "band", "sid", "root", "n", "up", "block", F.explode(cells).alias("cell"))
+    return spread.select("found", "band", "token", "cell.i", "cell.j", "sid", "root", "n", "up", "block")
+
+
+def _met_in_cells(rows: DataFrame, sets: DataFrame, field: str, name: str) -> DataFrame:
+    """Rows of cells with a field of their sets, cell by cell."""
+    full = rows.join(sets.select("sid", F.col(field).alias(name)), "sid")
+    return full.repartition(*_CELL).sortWithinPartitions(*_CELL)
+
+
+def open_pairs(tiles: DataFrame, sets: DataFrame, roots: DataFrame) -> DataFrame:
+    """Pairs (a, b) of the tiles of up to ``FEW`` sets that no link joins yet and that the bounds let through."""
+    rows = open_cells(tiles, roots).where(F.col("found") <= FEW).select(_ROW)
+    return _met_in_cells(rows, sets, "brief", "bits").mapInArrow(_near_in_cells, "a long, b long").distinct()
+
+
+def open_links(tiles: DataFrame, sets: DataFrame, roots: DataFrame) -> DataFrame:
+    """Links (a, b) of the larger tiles: enough to join all sets that their links join. Written to the shared folder."""
+    rows = open_cells(tiles, roots).where(F.col("found") > FEW).select(_ROW)
+    paired = _met_in_cells(rows, sets, "brief", "bits").mapInArrow(_paired_in_cells, rows.schema)
+    met = _met_in_cells(written(paired, "open-rows"), sets, "hashes", "hashes")
+    return written(met.mapInArrow(_links_in_cells, "a long, b long"), "open-links")
 
 
 def grouped(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -431,7 +495,8 @@ def grouped(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tupl
     roots = written(components(joined_to(roots, linked(more_stars, sets))), "roots")
     compared = star.unionByName(more_stars)
     rest = written(open_pairs(met, sets, roots).join(compared, ["a", "b"], "left_anti"), "open-pairs")
-    roots = components(joined_to(roots, linked(rest, sets)))
+    links = linked(rest, sets).unionByName(open_links(met, sets, roots))
+    roots = components(joined_to(roots, links))
     return known, roots.withColumnRenamed("node", "sid")
 
 

@@ -272,3 +272,40 @@ def test_only_sets_in_a_pair_send_their_hashes(spark, monkeypatch):
     rows = [(k, f"{text} {x}", "en", "a", 1) for k, x in enumerate(("1", "2", "3"))]
     assert found(frame(spark, rows)) == plain(rows)
     assert plans["links"].count("LeftSemi") == 2
+
+
+def test_large_cells_give_no_more_rows_than_they_have(spark, monkeypatch):
+    """A group of copies of which only some link: its pairs stay in their cells, and the links of it suffice."""
+    rnd = random.Random(13)
+    base = [f"w{rnd.randint(0, 500)}" for _ in range(150)]
+    rows = [(k, varied(" ".join(base), rnd, rnd.choice([0.01, 0.03, 0.05])), "en", "a", 1) for k in range(200)]
+    docs = frame(spark, rows)
+    known = j.classes(docs, "doc_id", "text")
+    sets = j.sets_of(docs, known, known.select("sid"), "doc_id", "text")
+    tile = known.selectExpr("1L token", "array(sid) centres", "sid", "cast(n as int) n").distinct()
+    nobody = spark.createDataFrame([], "node long, root long")
+    own = {r["sid"]: np.frombuffer(r["hashes"], np.uint64) for r in sets.collect()}
+    linked = {(a, b) for a in own for b in own if a < b and j.enough(j.overlap(own[a], own[b]), len(own[a]), len(own[b]))}
+    assert len(linked) > 5 * len(own)
+    keep, counts = j.written, {}
+
+    def counted(df, label):
+        out = keep(df, label)
+        counts[label] = out.count()
+        return out
+
+    monkeypatch.setattr(j, "written", counted)
+    assert j.open_pairs(tile, sets, nobody).count() <= j.FEW // 2 * len(own)
+    links = j.open_links(tile, sets, nobody)
+    # Each set stands in two bands; a band's rows are in one block here.
+    assert counts["open-rows"] <= 2 * len(own) and counts["open-links"] < 2 * len(own)
+    assert {tuple(r) for r in links.collect()} <= linked
+    whole = components(spark.createDataFrame(sorted(linked), "a long, b long"))
+    assert sorted(components(links).collect()) == sorted(whole.collect())
+
+
+def test_all_sizes_of_cells_give_the_same_groups(spark, monkeypatch):
+    rows = corpus(14)
+    monkeypatch.setattr(j, "FEW", 3)
+    monkeypatch.setattr(j, "BLOCK_HASHES", 1000)
+    assert found(frame(spark, rows)) == plain(rows)
