@@ -14,8 +14,8 @@ few n comparisons and not n * n), then with a few others that the first has not
 linked by then are cut in cells: bands of sizes by which only neighbours can link, and blocks if large. In a cell brief
 bitmaps of all remaining pairs are compared. Every bit of A that B lacks is a shingle of A that B lacks, so bit counts bound
 the overlap from above. Small cells give the pairs that pass; whole bitmaps of these are compared, then sorted arrays. Large
-cells give the sets that are in such a pair, once each; these meet again with their sorted arrays and give the links that
-join something, so what leaves a cell is never more than its rows. Nothing is capped or sampled.
+cells give the sets that are in such a pair, once each; these meet again with whole bitmaps, those left with their sorted
+arrays, and give the links that join something, so what leaves a cell is never more than its rows. Nothing is capped or sampled.
 
 Defined cases. Null and empty texts, and texts without words, have size 0 and link with nothing. Texts of fewer than five
 words are one shingle. A null id counts as smaller than all others where one row of a group is chosen. Rows of equal id
@@ -255,8 +255,10 @@ def tiles(docs: DataFrame, text: str) -> DataFrame:
 def sets_of(docs: DataFrame, known: DataFrame, wanted: DataFrame, doc_id: str, text: str) -> DataFrame:
     """(sid, n, brief, bits, hashes) of the wanted sids, each from its smallest document. Written to the shared folder."""
     ids = known.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(_SMALLEST)))
-    chosen = written(ids.join(wanted, "sid", "left_semi").groupBy("sid").agg(F.min("_id").alias("_id")), "chosen")
-    few = chosen.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    ids = ids.groupBy("sid", "_id").agg(F.count("*").alias("found"))
+    firsts = ids.groupBy("sid").agg(F.min("_id").alias("_id"), F.min_by("found", "_id").alias("found"))
+    chosen = written(firsts.join(wanted, "sid", "left_semi"), "chosen")
+    few = _few(chosen)
     texts = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(_SMALLEST)).alias("_id"), F.col(text).alias("_t"))
 
     def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -274,9 +276,23 @@ def sets_of(docs: DataFrame, known: DataFrame, wanted: DataFrame, doc_id: str, t
             ]
             yield pa.RecordBatch.from_arrays(columns, ["sid", "n", "brief", "bits", "hashes"])
 
-    picked = texts.join(F.broadcast(chosen) if few else chosen, "_id").select("sid", "_t")
-    made = picked.mapInArrow(rows_of, "sid long, n int, brief binary, bits binary, hashes binary")
-    return written(made.dropDuplicates(["sid"]), "sets")
+    def made(chosen: DataFrame) -> DataFrame:
+        picked = texts.join(F.broadcast(chosen) if few else chosen, "_id").select("sid", "_t")
+        return picked.mapInArrow(rows_of, "sid long, n int, brief binary, bits binary, hashes binary")
+
+    # Only sets that come from several equal rows of one id are shuffled, to leave one of each.
+    repeated = made(chosen.where("found > 1")).dropDuplicates(["sid"])
+    return written(made(chosen.where("found = 1")).unionByName(repeated), "sets")
+
+
+def _few(rows: DataFrame) -> bool:
+    return rows.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+
+
+def _only(sets: DataFrame, sids: Column, rows: DataFrame) -> DataFrame:
+    """The sets that rows name: hashes are the bulk of a set, and those of no others leave their task."""
+    left = rows.select(sids.alias("sid")).distinct()
+    return sets.join(F.broadcast(left) if _few(left) else left, "sid", "left_semi")
 
 
 def _unpacked(column: pa.ChunkedArray | pa.Array, kind) -> list[np.ndarray]:
@@ -310,10 +326,7 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     sized = with_sets(pairs, sets, ["n", "bits"])
     near = sized.where(100 * F.least("n_a", "n_b") >= PERCENT * F.greatest("n_a", "n_b"))
     bounded = written(near.mapInArrow(possible, "a long, b long"), "bounded")
-    # Hashes are the bulk of a set: only those of sets in a bounded pair leave their task.
-    left = bounded.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
-    few = left.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    compared = sets.join(F.broadcast(left) if few else left, "sid", "left_semi")
+    compared = _only(sets, F.explode(F.array("a", "b")), bounded)
     return written(with_sets(bounded, compared, ["hashes"]).mapInArrow(exact, "a long, b long"), "links")
 
 
@@ -467,15 +480,28 @@ def _met_in_cells(rows: DataFrame, sets: DataFrame, field: str, name: str) -> Da
 
 def open_pairs(tiles: DataFrame, sets: DataFrame, roots: DataFrame) -> DataFrame:
     """Pairs (a, b) of the tiles of up to ``FEW`` sets that no link joins yet and that the bounds let through."""
-    rows = open_cells(tiles, roots).where(F.col("found") <= FEW).select(_ROW)
-    return _met_in_cells(rows, sets, "brief", "bits").mapInArrow(_near_in_cells, "a long, b long").distinct()
+    return cell_pairs(open_cells(tiles, roots), sets)
 
 
 def open_links(tiles: DataFrame, sets: DataFrame, roots: DataFrame) -> DataFrame:
     """Links (a, b) of the larger tiles: enough to join all sets that their links join. Written to the shared folder."""
-    rows = open_cells(tiles, roots).where(F.col("found") > FEW).select(_ROW)
-    paired = _met_in_cells(rows, sets, "brief", "bits").mapInArrow(_paired_in_cells, rows.schema)
-    met = _met_in_cells(written(paired, "open-rows"), sets, "hashes", "hashes")
+    return cell_links(open_cells(tiles, roots), sets)
+
+
+def cell_pairs(cells: DataFrame, sets: DataFrame) -> DataFrame:
+    """``open_pairs`` of given cells."""
+    rows = cells.where(F.col("found") <= FEW).select(_ROW)
+    return _met_in_cells(rows, sets, "brief", "bits").mapInArrow(_near_in_cells, "a long, b long").distinct()
+
+
+def cell_links(cells: DataFrame, sets: DataFrame) -> DataFrame:
+    """``open_links`` of given cells."""
+    rows = cells.where(F.col("found") > FEW).select(_ROW)
+    # Brief bitmaps let many sets through; whole ones are a fraction of the hashes that the rest are spared.
+    for field in ("brief", "bits"):
+        paired = _met_in_cells(rows, sets, field, "bits").mapInArrow(_paired_in_cells, rows.schema)
+        rows = written(paired, "open-rows")
+    met = _met_in_cells(rows, _only(sets, F.col("sid"), rows), "hashes", "hashes")
     return written(met.mapInArrow(_links_in_cells, "a long, b long"), "open-links")
 
 
@@ -494,8 +520,9 @@ def grouped(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tupl
     more_stars = stars(others.where("root_a <> root_b"), star)
     roots = written(components(joined_to(roots, linked(more_stars, sets))), "roots")
     compared = star.unionByName(more_stars)
-    rest = written(open_pairs(met, sets, roots).join(compared, ["a", "b"], "left_anti"), "open-pairs")
-    links = linked(rest, sets).unionByName(open_links(met, sets, roots))
+    cells = written(open_cells(met, roots), "open-cells")
+    rest = written(cell_pairs(cells, sets).join(compared, ["a", "b"], "left_anti"), "open-pairs")
+    links = linked(rest, sets).unionByName(cell_links(cells, sets))
     roots = components(joined_to(roots, links))
     return known, roots.withColumnRenamed("node", "sid")
 

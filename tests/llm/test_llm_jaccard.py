@@ -309,3 +309,49 @@ def test_all_sizes_of_cells_give_the_same_groups(spark, monkeypatch):
     monkeypatch.setattr(j, "FEW", 3)
     monkeypatch.setattr(j, "BLOCK_HASHES", 1000)
     assert found(frame(spark, rows)) == plain(rows)
+
+
+def test_large_cells_send_hashes_of_sets_near_by_whole_bitmaps(spark, monkeypatch):
+    """Sets that share a passage and do not link: brief bitmaps let them through, whole ones do not."""
+    keep, counts, plans = j.written, {}, {}
+
+    def seen(df, label):
+        plans[label] = df._jdf.queryExecution().optimizedPlan().toString()
+        out = keep(df, label)
+        counts.setdefault(label, []).append(out.count())
+        return out
+
+    rnd = random.Random(15)
+    base = [f"w{k}" for k in range(304)]
+    rows = [(k, " ".join(base + [f"x{rnd.randint(0, 10**6)}" for _ in range(70)]), "en", "a", 1) for k in range(100)]
+    rows += [(100 + k, rows[k][1] + " end", "en", "a", 1) for k in range(5)]
+    docs = frame(spark, rows)
+    known = j.classes(docs, "doc_id", "text")
+    sets = j.sets_of(docs, known, known.select("sid"), "doc_id", "text")
+    tile = known.selectExpr("1L token", "array(sid) centres", "sid", "cast(n as int) n")
+    monkeypatch.setattr(j, "written", seen)
+    links = j.open_links(tile, sets, spark.createDataFrame([], "node long, root long"))
+    sid = {r["doc_id"]: r["sid"] for r in known.collect()}
+    assert {tuple(r) for r in links.collect()} == {tuple(sorted((sid[k], sid[100 + k]))) for k in range(5)}
+    # Each set stands in two bands.
+    assert counts["open-rows"][0] >= 100 and counts["open-rows"][-1] <= 2 * 10
+    assert plans["open-links"].count("LeftSemi") == 1
+
+
+def test_only_sets_of_repeated_rows_are_shuffled(spark, monkeypatch):
+    keep, plans = j.written, {}
+
+    def seen(df, label):
+        plans[label] = df._jdf.queryExecution().optimizedPlan().toString()
+        return keep(df, label)
+
+    monkeypatch.setattr(j, "written", seen)
+    text = "a b c d e f g h i j k l m n o p q r s t u v w x y z"
+    rows = [(None, text), (None, text), (1, text), (2, text + " 2"), (2, text + " 2"), (2, text + " 3"), (3, "a b"), (4, None)]
+    docs = frame(spark, [(*r, "en", "a", 1) for r in rows])
+    known = j.classes(docs, "doc_id", "text")
+    sets = j.sets_of(docs, known, known.where("n > 0").select("sid"), "doc_id", "text")
+    assert sorted(r["sid"] for r in sets.collect()) == sorted({j.set_id(shingles(t)) for _, t in rows if t})
+    # The other sets are made first, and nothing is grouped above them.
+    assert plans["sets"].index("MapInArrow") < plans["sets"].index("Aggregate")
+    assert found(docs) == plain([(*r, "en", "a", 1) for r in rows])
